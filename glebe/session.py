@@ -25,7 +25,8 @@ DEFAULTS = {
 def build_session(master: str = "local[8]", app: str = "glebe", shuffle_partitions: int = 8, **extra) -> SparkSession:
     """Session for tests and the bench. On a cluster, pass nothing and let spark-submit decide."""
     b = SparkSession.builder.master(master).appName(app)
-    b = b.config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**DEFAULTS, **extra}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
