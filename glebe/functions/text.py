@@ -16,9 +16,16 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# Python's whitespace set (``str.isspace``), derived by rule; all of it lies below U+3001.
+PY_WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+
+
 def py_strip(x) -> Column:
-    """Python ``str.strip()``: Unicode whitespace on both ends (SQL ``trim`` strips blanks only)."""
-    return F.regexp_replace(_c(x), r"(?U)^\s+|\s+$", "")
+    """Python ``str.strip()``: Python's whitespace on both ends (SQL ``trim`` strips blanks only).
+
+    ``btrim`` with an explicit character set: no regex, and exactly Python's set
+    (Java's ``\\s`` differs on U+001C–U+001F)."""
+    return F.btrim(_c(x), F.lit(PY_WHITESPACE))
 
 
 # --- numbers (loader) --------------------------------------------------------
@@ -37,23 +44,31 @@ def pct_text_normalized(x) -> Column:
     s = py_strip(x)
     return F.when(
         s.isNotNull() & ~F.lower(s).isin(*C.NULL_NUMBER_TEXTS),
-        F.regexp_replace(s, ",", "."),
+        F.replace(s, F.lit(","), F.lit(".")),
     )
 
 
+def _pct_decimal(n: Column) -> Column:
+    return n.try_cast(f"decimal({C.PCT_PRECISION},{C.PCT_SCALE})")
+
+
 def pct_rejects_file(x) -> Column:
     """True when the loader would pass the text on but the table type refuses it.
 
     Python's ``float`` accepts it, yet ``NUMERIC(12,4)`` does not: underscores,
     infinities, non-ASCII digits, or a value outside ``|x| < 10^8``. In the
-    reference such a value aborts the whole file.
+    reference such a value aborts the whole file. The Python-grammar regex runs
+    only on the rare rows the decimal cast refused.
     """
     n = pct_text_normalized(x)
-    py_ok = n.rlike(_PY_FLOAT)
+    d = _pct_decimal(n)
     is_nan = F.lower(F.regexp_replace(n, "^[+-]", "")) == "nan"
-    refused = n.contains("_") | F.lower(n).rlike(r"^[+-]?inf") | n.rlike(r"[^\x00-\x7F]")
-    fits = n.try_cast(f"decimal({C.PCT_PRECISION},{C.PCT_SCALE})").isNotNull()
-    return F.coalesce(py_ok & ~is_nan & (refused | ~fits), F.lit(False))
+    refused = (
+        F.when(n.isNull(), F.lit(False))
+        .when(d.isNotNull(), n.rlike(r"[^\x00-\x7F]"))
+        .otherwise(n.rlike(_PY_FLOAT) & ~is_nan)
+    )
+    return F.coalesce(refused, F.lit(False))
 
 
 def clean_pct(x) -> Column:
@@ -61,10 +76,10 @@ def clean_pct(x) -> Column:
 
     NULL/blank/none/null → NULL; decimal comma becomes a point (``1.234,56`` → NULL);
     unparsable → NULL; negative and NaN → NULL (the ``^\\d+([.,]\\d+)?$`` gate).
+    Every text the decimal cast accepts is one Python's ``float`` accepts too.
     """
-    n = pct_text_normalized(x)
-    d = n.try_cast(f"decimal({C.PCT_PRECISION},{C.PCT_SCALE})")
-    return F.when(n.rlike(_PY_FLOAT) & (d >= 0), d)
+    d = _pct_decimal(pct_text_normalized(x))
+    return F.when(d >= 0, d)
 
 
 # --- CPF and names (lookup) --------------------------------------------------

@@ -131,13 +131,11 @@ def read_landing(spark: SparkSession, directory: str) -> DataFrame:
     """
     listing = list_csv(spark, directory)
     headers = read_headers(listing).where(F.col("width") > 0)
-    headers = headers.checkpoint(eager=True)  # small; cut the lineage to the file reads
-    widths = [r["width"] for r in headers.select("width").distinct().collect()]
-    n_files = headers.count()
-    parts = []
-    for w in sorted(widths):
-        paths = [r["path"] for r in headers.where(F.col("width") == w).select("path").collect()]
-        parts.append(_read_width(spark, paths, w))
+    headers = headers.checkpoint(eager=True)  # one row per file; cuts the lineage to the file reads
+    # one small action: the file paths per header width (metadata, bounded by the file count)
+    layouts = headers.groupBy("width").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    n_files = sum(len(r["paths"]) for r in layouts)
+    parts = [_read_width(spark, list(r["paths"]), r["width"]) for r in sorted(layouts, key=lambda r: r["width"])]
     if not parts:
         return _empty_staging(spark)
     body = parts[0]
