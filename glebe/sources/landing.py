@@ -123,11 +123,15 @@ def file_reason() -> F.Column:
     )
 
 
-def read_landing(spark: SparkSession, directory: str) -> DataFrame:
+def read_landing(spark: SparkSession, directory: str, splittable: bool = False) -> DataFrame:
     """Staging rows ``file, pos, <six columns>, uf, file_reason`` of a landing directory.
 
     ``file_reason`` is set on every row of a file the table would refuse as a whole
     (unknown header column, ``uf`` in the header, surplus cells in the first data row).
+
+    ``splittable=True`` reads big files in many tasks (no quoted newlines allowed inside
+    fields); ``pos`` is then ``split start · 2^33 + row within the split's task``, a
+    ``decimal(38,0)`` that still orders the rows of a file.
     """
     listing = list_csv(spark, directory)
     headers = read_headers(listing).where(F.col("width") > 0)
@@ -135,7 +139,7 @@ def read_landing(spark: SparkSession, directory: str) -> DataFrame:
     # one small action: the file paths per header width (metadata, bounded by the file count)
     layouts = headers.groupBy("width").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
     n_files = sum(len(r["paths"]) for r in layouts)
-    parts = [_read_width(spark, list(r["paths"]), r["width"]) for r in sorted(layouts, key=lambda r: r["width"])]
+    parts = [_read_width(spark, list(r["paths"]), r["width"], splittable) for r in sorted(layouts, key=lambda r: r["width"])]
     if not parts:
         return _empty_staging(spark)
     body = parts[0]
@@ -148,10 +152,20 @@ def read_landing(spark: SparkSession, directory: str) -> DataFrame:
     return bind_by_header(rows)
 
 
-def _read_width(spark: SparkSession, paths: list[str], width: int) -> DataFrame:
+def _row_position(splittable: bool) -> F.Column:
+    mono = F.monotonically_increasing_id()
+    if not splittable:
+        return mono  # one file is one split: ids grow with the row order
+    in_task = F.pmod(mono, F.lit(1 << 33))
+    start = F.col("_metadata.file_block_start").cast("decimal(38,0)")
+    return (start * F.lit(1 << 33).cast("decimal(38,0)") + in_task).cast("decimal(38,0)")
+
+
+def _read_width(spark: SparkSession, paths: list[str], width: int, splittable: bool = False) -> DataFrame:
     cols = [f"c{i}" for i in range(width)]
     schema = StructType([StructField(c, StringType()) for c in cols] + [StructField("_corrupt", StringType())])
-    df = spark.read.schema(schema).options(header="true", **CSV_OPTIONS).csv(paths)
+    opts = {**CSV_OPTIONS, "multiLine": "false" if splittable else "true"}
+    df = spark.read.schema(schema).options(header="true", **opts).csv(paths)
     quoted = r'"(?:[^"]|"")*"'
     n_cells = F.when(
         F.col("_corrupt").isNull(), F.lit(width)
@@ -161,7 +175,7 @@ def _read_width(spark: SparkSession, paths: list[str], width: int) -> DataFrame:
         df.select(
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_name").alias("file"),
-            F.monotonically_increasing_id().alias("pos"),
+            _row_position(splittable).alias("pos"),
             *cols,
             "_corrupt",
         )

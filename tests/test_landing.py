@@ -121,3 +121,19 @@ def test_first_row_per_key_plan_is_partial_aggregate(spark):
     # a partial aggregate runs before the exchange: hot keys shrink map-side
     assert plan.count("Aggregate") >= 2 and "Exchange" in plan
     assert L.first_per_key(df).first().pos == 0
+
+
+def test_splittable_read_keeps_row_order(spark, landing_dir):
+    d, put = landing_dir
+    body = "".join(f"K{i % 50};M{i};;;;1\n" for i in range(4000))
+    put("AC_big.csv", HEADER + body)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        stg = landing.read_landing(spark, d, splittable=True)
+        assert stg.rdd.getNumPartitions() > 1
+        firsts = {r.codigo_incra: r.matricula for r in L.first_per_key(L.typed(stg).drop("reason")).collect()}
+        ordered = [r.matricula for r in sorted(stg.select("pos", "matricula").collect(), key=lambda r: r.pos)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert firsts == {f"K{i}": f"M{i}" for i in range(50)}
+    assert ordered == [f"M{i}" for i in range(4000)]
