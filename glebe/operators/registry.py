@@ -82,12 +82,15 @@ class LoadResult:
     summary: DataFrame  # per file: linhas_csv, codigos_unicos, novos, ja_existiam, linhas_inseridas, status, reason
 
 
-def run_load(spark: SparkSession, staging: DataFrame, table: str, run_id: str | None = None) -> LoadResult:
+def run_load(
+    spark: SparkSession, staging: DataFrame, table: str, run_id: str | None = None, listed_files: DataFrame | None = None
+) -> LoadResult:
     """K2/K3/A5: load staged rows into ``table`` insert-only and record the per-file summary.
 
     Steps: stage (typed, durable) → quarantine → first row per key → anti-join
     against the keys already in the table → durable new rows → publish as one
-    ``load_run`` directory → summary written next to the table.
+    ``load_run`` directory → summary written next to the table. ``listed_files``
+    (a ``file`` column) adds files without data rows to the summary as ``empty``.
     """
     run_id = run_id or uuid.uuid4().hex[:12]
     work = scratch_path(spark, f"load-{run_id}")
@@ -126,11 +129,39 @@ def run_load(spark: SparkSession, staging: DataFrame, table: str, run_id: str |
         "file", "linhas_csv", *[F.lit(0).cast("long").alias(c) for c in ["codigos_unicos", "novos", "ja_existiam", "linhas_inseridas"]],
         F.lit("rejected").alias("status"), "reason",
     )
+    summary = loaded.unionByName(refused)
+    if listed_files is not None:
+        empty = listed_files.select("file").distinct().join(staged.select("file").distinct(), "file", "left_anti").select(
+            "file", *[F.lit(0).cast("long").alias(c) for c in ["linhas_csv", "codigos_unicos", "novos", "ja_existiam", "linhas_inseridas"]],
+            F.lit("empty").alias("status"), F.lit(None).cast("string").alias("reason"),
+        )
+        summary = summary.unionByName(empty)
     summary_path = f"{table}/{SUMMARY_DIR}/load_run={run_id}"
-    loaded.unionByName(refused).withColumn("run_id", F.lit(run_id)).coalesce(1).write.parquet(summary_path)
+    summary.withColumn("run_id", F.lit(run_id)).coalesce(1).write.parquet(summary_path)
     return LoadResult(run_id, inserted, spark.read.parquet(summary_path))
 
 
+def load_directory(
+    spark: SparkSession, directory: str, table: str, run_id: str | None = None, splittable: bool = False
+) -> LoadResult:
+    """Load every ``*.csv`` of a landing directory into ``table`` (header-only files reported as ``empty``)."""
+    from glebe.sources import landing
+
+    staging = landing.read_landing(spark, directory, splittable=splittable)
+    return run_load(spark, staging, table, run_id=run_id, listed_files=landing.list_csv(spark, directory))
+
+
+def delete_rows(spark: SparkSession, table: str, predicate, new_table: str) -> DataFrame:
+    """K9: ``DELETE FROM table WHERE predicate`` as a rewrite into ``new_table`` (a new version;
+    the old one is never overwritten while it is being read). NULL predicates keep the row."""
+    current = read_registry(spark, table)
+    if current is None:
+        raise ValueError(f"no committed run under {table}")
+    kept = L.delete_where(current, predicate)
+    write_layout(kept.drop("load_run"), f"{new_table}/load_run=rewrite")
+    return read_registry(spark, new_table)
+
+
 def read_summaries(spark: SparkSession, table: str) -> DataFrame:
     """Every run's per-file summary (``load_run`` from the directory name)."""
     return spark.read.option("basePath", f"{table}/{SUMMARY_DIR}").parquet(f"{table}/{SUMMARY_DIR}/load_run=*")

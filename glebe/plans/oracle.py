@@ -227,6 +227,18 @@ SELECT c_custkey, trim(regexp_replace(strip_accents(label || ' ' || n_name), '[^
         "SELECT lk.*, oc.n_owners FROM lk LEFT JOIN oc USING (codigo_incra)",
     ),
     "layout_pruned_lookup": _w(KEYS_CTES, "SELECT requested, outcome, codigo_incra, area_ha, situacao FROM lk"),
+    "record_json": _w(
+        OWNERS_CTES + """,
+ol AS (SELECT codigo_incra,
+              list(struct_pack(nome_completo := nome_completo, cpf := cpf, vinculo := vinculo,
+                               participacao_pct := participacao_pct) ORDER BY owner_pos) AS proprietarios
+       FROM ow GROUP BY codigo_incra)""",
+        """SELECT r.codigo_incra,
+       CAST(to_json(struct_pack(codigo_incra := r.codigo_incra, area_ha := CAST(r.pct_obtencao AS DOUBLE),
+                                situacao := coalesce(nullif(r.denominacao, ''), 'Nao informado'),
+                                proprietarios := coalesce(ol.proprietarios, []))) AS VARCHAR) AS json
+FROM registry r LEFT JOIN ol USING (codigo_incra)""",
+    ),
     "contract_violations": _w(
         OWNERS_CTES,
         r"""SELECT (SELECT count(*) FROM registry WHERE coalesce(length(codigo_incra), 0) < 1) AS bad_code,

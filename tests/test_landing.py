@@ -137,3 +137,17 @@ def test_splittable_read_keeps_row_order(spark, landing_dir):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert firsts == {f"K{i}": f"M{i}" for i in range(50)}
     assert ordered == [f"M{i}" for i in range(4000)]
+
+
+def test_load_directory_reports_empty_files_and_delete_rewrites(spark, landing_dir):
+    d, put = landing_dir
+    put("AC_a.csv", HEADER + "TESTE_1;M;;;;1\nK2;M;;;;1\nTESTEX1;M;;;;1\n")
+    put("AL_a.csv", HEADER)
+    table = scratch_path(spark, "test-table")
+    res = R.load_directory(spark, d, table)
+    st = {r.file: r.status for r in res.summary.collect()}
+    assert st == {"AC_a.csv": "loaded", "AL_a.csv": "empty"}
+    newer = R.delete_rows(spark, table, F.col("codigo_incra").like("TESTE_%"), scratch_path(spark, "test-table-v2"))
+    # LIKE's "_" matches any one character, so TESTEX1 goes too
+    assert sorted(r.codigo_incra for r in newer.collect()) == ["K2"]
+    assert R.read_registry(spark, table).count() == 3
