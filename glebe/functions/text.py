@@ -162,10 +162,39 @@ def digits_only(x) -> Column:
 
 
 def fold_ci_ai(x) -> Column:
-    """Accent- and case-insensitive comparable form of trimmed text."""
+    """Accent- and case-insensitive comparable form of trimmed text (F14), as a collation.
+
+    Good for comparisons; for join keys prefer :func:`norm_key` (a collated key cannot be
+    hash-joined, so Spark would sort-merge and shuffle both sides)."""
     return F.collate(F.trim(_c(x)), "UNICODE_CI_AI")
 
 
+def _fold_table() -> tuple[str, str]:
+    """Precomposed letters → base letter, derived by rule from Unicode decompositions
+    (a letter whose NFD is one base character plus combining marks U+0300–U+036F);
+    the combining marks themselves map to nothing."""
+    import unicodedata
+
+    src, dst = [], []
+    for i in range(0xC0, 0x2000):
+        ch = chr(i)
+        d = unicodedata.normalize("NFD", ch)
+        if len(d) > 1 and all(0x300 <= ord(m) <= 0x36F for m in d[1:]):
+            src.append(ch)
+            dst.append(d[0])
+    marks = "".join(chr(i) for i in range(0x300, 0x370))
+    return "".join(src) + marks, "".join(dst)
+
+
+_FOLD_FROM, _FOLD_TO = _fold_table()
+
+
+def norm_key(x) -> Column:
+    """Binary join key for accent- and case-insensitive matching: strip combining marks
+    (NFD-style, by table), upper-case, trim Python whitespace (F14, as a hashable string)."""
+    return py_strip(F.upper(F.translate(_c(x), _FOLD_FROM, _FOLD_TO)))
+
+
 def safe_filename_approx(x) -> Column:
     """JVM-side ``_safe_filename`` for Latin text: fold accents, map the rest to ``_``,
     strip edge ``_``. The exact NFKD variant is :func:`glebe.functions.fold.safe_filename`."""

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glebe.functions import constants as C
-from glebe.functions.text import fold_ci_ai, py_strip, uf_from_label
+from glebe.functions.text import norm_key, py_strip, uf_from_label
 from glebe.sources.states import states_dim
 
 
@@ -53,13 +53,20 @@ def selectable_options(options: DataFrame, text_col: str = "text", value_col: st
     )
 
 
+def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows (the check stops
+    reading at ``max_rows + 1``); beyond that, leave the join strategy to the planner."""
+    small = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if small else df
+
+
 def filter_selected_options(options: DataFrame, selected: DataFrame, text_col: str = "text", code_col: str = "code") -> DataFrame:
     """Keep options whose upper-cased label, or its prefix before `` - ``, is selected.
 
-    Two equi-joins against the (distinct) selection instead of one OR-join, so the
-    planner can hash or broadcast; neither join can multiply rows.
+    Two equi-joins against the (distinct, size-checked, broadcast) selection instead of
+    one OR-join; neither join can multiply rows, and the option list is never shuffled.
     """
-    sel = selected.select(F.col(code_col).alias("__k")).distinct()
+    sel = bounded_broadcast(selected.select(F.col(code_col).alias("__k")).distinct())
     full = F.upper(F.col(text_col))
     prefix = F.upper(F.substring_index(F.col(text_col), C.LABEL_SEPARATOR, 1))
     a = sel.select(F.col("__k").alias("__k1"))
@@ -84,14 +91,15 @@ def tiered_match(wanted: DataFrame, options: DataFrame) -> DataFrame:
     Tier 0: option value equals the UF; tier 1: option text starts with ``UF -``;
     tier 2: option text equals the label. All comparisons accent- and
     case-insensitive on trimmed text; the first option (``ord``) of the lowest tier wins.
-    Each tier is an equi-join on a collated key (tier 1 joins on every prefix of the
-    text that is followed by `` -``), so no candidate pairs are enumerated.
+    Each tier is a hash equi-join on a folded binary key against the size-checked,
+    broadcast wanted list (tier 1 joins on every prefix of the text that is followed
+    by `` -``), so no candidate pairs are enumerated and the options are never shuffled.
     """
-    w = wanted.select("uf", "label")
+    w = bounded_broadcast(wanted.select("uf", "label", norm_key("uf").alias("__wu"), norm_key("label").alias("__wl")))
     o = options.select("ord", "value", "text")
-    t0 = w.join(o, fold_ci_ai("uf") == fold_ci_ai("value")).select("uf", F.lit(0).alias("tier"), "ord", "value")
+    t0 = o.join(w, norm_key("value") == F.col("__wu")).select("uf", F.lit(0).alias("tier"), "ord", "value")
     # every position of " -" in the normalised text gives one candidate prefix
-    norm_text = F.upper(py_strip(F.col("text")))
+    norm_text = norm_key(F.col("text"))
     prefixes = o.select(
         "ord", "value",
         F.explode(
@@ -102,12 +110,8 @@ def tiered_match(wanted: DataFrame, options: DataFrame) -> DataFrame:
             )
         ).alias("prefix"),
     )
-    t1 = w.join(prefixes, fold_ci_ai(F.upper(py_strip(F.col("uf")))) == F.collate(F.col("prefix"), "UNICODE_CI_AI")).select(
-        "uf", F.lit(1).alias("tier"), "ord", "value"
-    )
-    t2 = w.join(o, fold_ci_ai(py_strip(F.col("label"))) == fold_ci_ai(py_strip(F.col("text")))).select(
-        "uf", F.lit(2).alias("tier"), "ord", "value"
-    )
+    t1 = prefixes.join(w, F.col("prefix") == F.col("__wu")).select("uf", F.lit(1).alias("tier"), "ord", "value")
+    t2 = o.join(w, norm_key("text") == F.col("__wl")).select("uf", F.lit(2).alias("tier"), "ord", "value")
     best = t0.unionByName(t1).unionByName(t2).groupBy("uf").agg(F.min(F.struct("tier", "ord", "value")).alias("b"))
     return best.select("uf", F.col("b.tier").alias("tier"), F.col("b.ord").alias("ord"), F.col("b.value").alias("value"))
 

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from glebe.functions.constants import LABEL_SEPARATOR, STATE_LABELS
 
-STATES_SCHEMA = "pos int, label string"
-
-
 def state_labels(spark: SparkSession) -> DataFrame:
-    """``(pos, label)`` in list order; ``pos`` is 0-based."""
-    return spark.createDataFrame(list(enumerate(STATE_LABELS)), STATES_SCHEMA)
+    """``(pos, label)`` in list order; ``pos`` is 0-based.
+
+    Built as a ``VALUES`` relation so the optimizer knows its exact (tiny) size and
+    every join against it can be broadcast by Catalyst's own size check.
+    """
+    rows = ", ".join("({}, '{}')".format(i, label.replace("'", "''")) for i, label in enumerate(STATE_LABELS))
+    return spark.sql(f"SELECT CAST(pos AS INT) AS pos, label FROM VALUES {rows} AS t(pos, label)")
 
 
 def states_dim(spark: SparkSession) -> DataFrame:
