@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from glebe.functions import constants as C
 from glebe.functions.text import clean_pct, pct_rejects_file
+from glebe.operators.broadcast import bounded_broadcast
 from glebe.sources.states import states_dim
 
 TEXT_COLUMNS = ["matricula", "municipio", "denominacao", "proprietario"]
@@ -55,9 +56,16 @@ def rejected_files(typed_rows: DataFrame) -> DataFrame:
     )
 
 
+def drop_rejected(typed_rows: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Remove the rows of refused files. The refused list has one row per file; it is
+    broadcast after a size check, so the rows are never shuffled by file (a file holding
+    a third of the data would otherwise land in one task)."""
+    return typed_rows.join(bounded_broadcast(rejected.select("file")), "file", "left_anti")
+
+
 def accepted_rows(typed_rows: DataFrame) -> DataFrame:
     """Rows of files with no bad row (a file is one transaction)."""
-    return typed_rows.join(rejected_files(typed_rows).select("file"), "file", "left_anti")
+    return drop_rejected(typed_rows, rejected_files(typed_rows))
 
 
 def first_per_key(rows: DataFrame, order: list[str] | None = None, key: str = C.KEY) -> DataFrame:
@@ -102,8 +110,7 @@ def load_summary(staging: DataFrame, target_keys: DataFrame | None, inserted: Da
     recomputing the insert.
     """
     t = typed(staging)
-    rej = rejected_files(t)
-    good = t.join(rej.select("file"), "file", "left_anti")
+    good = drop_rejected(t, rejected_files(t))
     stats = (
         good.groupBy("file", C.KEY).agg(F.count(F.lit(1)).alias("n"))
         .groupBy("file")

@@ -1,9 +1,9 @@
 """Lookups by property code: one key or a batch of keys, same plan.
 
-A batch of requested keys is validated (P5), joined to the registry (left,
-so unknown keys stay), classified found / not_found / invalid (Q6) and shaped
-into the response record (R4). The join side is chosen by Catalyst/AQE from
-runtime sizes: a small key batch is broadcast, a large one sort-merges.
+A batch of requested keys is validated (P5), matched against the registry,
+classified found / not_found / invalid (Q6) and shaped into the response record
+(R4). A key batch that passes a size check is broadcast and the table is streamed
+past it; a larger batch sort-merges.
 Only the four looked-up columns of the table are read (P1), and an equality
 on the bare key is pushed into the Parquet scan (P2).
 """
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from glebe.functions import constants as C
 from glebe.functions.owners import OWNER_FIELDS, with_owners
 from glebe.functions.text import is_valid_lookup_key, status_default, to_float
+from glebe.operators.broadcast import is_small
 
 LOOKUP_COLUMNS = [C.KEY, "pct_obtencao", "denominacao", "proprietario"]
 
@@ -39,12 +40,19 @@ def validate_keys(keys: DataFrame, key_col: str = "requested") -> DataFrame:
 def batch_lookup(registry: DataFrame, keys: DataFrame, key_col: str = "requested") -> DataFrame:
     """Q6 + R4 for a batch: one row per requested key with ``outcome`` and the record fields.
 
-    Invalid keys never reach the join (their join key is NULL), mirroring the 422
-    that is raised before any query runs.
+    Invalid keys never reach the join (their probe is NULL), mirroring the 422 that is
+    raised before any query runs. Plan: the distinct valid probes are size-checked and
+    broadcast into an *inner* join, so the table is streamed once and never shuffled;
+    the matches (at most one per probe — codes are unique in the registry) then
+    left-join back to the requested keys. Beyond the size bound both joins are left
+    to the planner (sort-merge, with AQE skew handling).
     """
     k = validate_keys(keys, key_col).withColumn("__probe", F.when(F.col("valid"), F.col(key_col)))
+    probes = k.select("__probe").where(F.col("__probe").isNotNull()).distinct()
+    small = is_small(probes)
     table = registry.select(*LOOKUP_COLUMNS).withColumnRenamed(C.KEY, "__code")
-    joined = k.join(table, F.col("__probe") == F.col("__code"), "left")
+    found = table.join(F.broadcast(probes) if small else probes, F.col("__code") == F.col("__probe")).drop("__probe")
+    joined = k.join(F.broadcast(found) if small else found, F.col("__probe") == F.col("__code"), "left")
     outcome = (
         F.when(~F.col("valid"), F.lit("invalid"))
         .when(F.col("__code").isNotNull(), F.lit("found"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from glebe.functions import constants as C
 from glebe.functions.text import norm_key, py_strip, uf_from_label
+from glebe.operators.broadcast import bounded_broadcast
 from glebe.sources.states import states_dim
 
 
@@ -53,13 +54,6 @@ def selectable_options(options: DataFrame, text_col: str = "text", value_col: st
     )
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows (the check stops
-    reading at ``max_rows + 1``); beyond that, leave the join strategy to the planner."""
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
-
-
 def filter_selected_options(options: DataFrame, selected: DataFrame, text_col: str = "text", code_col: str = "code") -> DataFrame:
     """Keep options whose upper-cased label, or its prefix before `` - ``, is selected.
 

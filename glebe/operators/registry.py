@@ -100,7 +100,7 @@ def run_load(
     staged = spark.read.parquet(f"{work}/staged")
 
     rejected = L.rejected_files(staged)
-    good = staged.join(rejected.select("file"), "file", "left_anti").drop("reason")
+    good = L.drop_rejected(staged, rejected).drop("reason")
     existing = read_registry(spark, table)
     target_keys = existing.select(C.KEY) if existing is not None else None
     new = L.new_rows(L.first_per_key(good), target_keys)
