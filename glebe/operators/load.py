@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from glebe.functions import constants as C
 from glebe.functions.text import clean_pct, pct_rejects_file
-from glebe.operators.broadcast import bounded_broadcast
+from glebe.operators.broadcast import MAX_BROADCAST_ROWS, bounded_broadcast
 from glebe.sources.states import states_dim
 
 TEXT_COLUMNS = ["matricula", "municipio", "denominacao", "proprietario"]
@@ -56,16 +56,25 @@ def rejected_files(typed_rows: DataFrame) -> DataFrame:
     )
 
 
-def drop_rejected(typed_rows: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Remove the rows of refused files. The refused list has one row per file; it is
-    broadcast after a size check, so the rows are never shuffled by file (a file holding
-    a third of the data would otherwise land in one task)."""
-    return typed_rows.join(bounded_broadcast(rejected.select("file")), "file", "left_anti")
+def drop_rejected(typed_rows: DataFrame, rejected: DataFrame, max_files: int | None = None) -> DataFrame:
+    """Remove the rows of refused files, without shuffling the rows by file (a file holding
+    a third of the data would otherwise land in one task).
+
+    The refused list has one row per file, so it is broadcast: directly when the caller
+    knows a bound on the number of files (``max_files``, e.g. from the file listing),
+    otherwise after a bounded count; beyond the bound the planner decides.
+    """
+    ref = rejected.select("file")
+    if max_files is not None and max_files <= MAX_BROADCAST_ROWS:
+        ref = F.broadcast(ref)
+    else:
+        ref = bounded_broadcast(ref)
+    return typed_rows.join(ref, "file", "left_anti")
 
 
-def accepted_rows(typed_rows: DataFrame) -> DataFrame:
+def accepted_rows(typed_rows: DataFrame, max_files: int | None = None) -> DataFrame:
     """Rows of files with no bad row (a file is one transaction)."""
-    return drop_rejected(typed_rows, rejected_files(typed_rows))
+    return drop_rejected(typed_rows, rejected_files(typed_rows), max_files)
 
 
 def first_per_key(rows: DataFrame, order: list[str] | None = None, key: str = C.KEY) -> DataFrame:
@@ -87,9 +96,9 @@ def new_rows(firsts: DataFrame, target_keys: DataFrame | None, key: str = C.KEY)
     return firsts.join(target_keys.select(key).where(F.col(key).isNotNull()), key, "left_anti")
 
 
-def insert_only(staging: DataFrame, target_keys: DataFrame | None) -> DataFrame:
+def insert_only(staging: DataFrame, target_keys: DataFrame | None, max_files: int | None = None) -> DataFrame:
     """K2: the rows a load appends — accepted files, first row per key, keys not yet present."""
-    good = accepted_rows(typed(staging)).drop("reason")
+    good = accepted_rows(typed(staging), max_files).drop("reason")
     return new_rows(first_per_key(good), target_keys)
 
 
@@ -100,7 +109,9 @@ def count_existing(staging: DataFrame, target_keys: DataFrame, key: str = C.KEY)
     return hit.groupBy("file").agg(F.count(F.lit(1)).alias("ja_existiam"))
 
 
-def load_summary(staging: DataFrame, target_keys: DataFrame | None, inserted: DataFrame | None = None) -> DataFrame:
+def load_summary(
+    staging: DataFrame, target_keys: DataFrame | None, inserted: DataFrame | None = None, max_files: int | None = None
+) -> DataFrame:
     """A5: per file ``linhas_csv, codigos_unicos, novos, ja_existiam, linhas_inseridas`` and ``status``.
 
     ``novos`` counts keys whose first occurrence over the sorted files is in this file
@@ -110,7 +121,7 @@ def load_summary(staging: DataFrame, target_keys: DataFrame | None, inserted: Da
     recomputing the insert.
     """
     t = typed(staging)
-    good = drop_rejected(t, rejected_files(t))
+    good = drop_rejected(t, rejected_files(t), max_files)
     stats = (
         good.groupBy("file", C.KEY).agg(F.count(F.lit(1)).alias("n"))
         .groupBy("file")

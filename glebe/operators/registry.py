@@ -83,14 +83,20 @@ class LoadResult:
 
 
 def run_load(
-    spark: SparkSession, staging: DataFrame, table: str, run_id: str | None = None, listed_files: DataFrame | None = None
+    spark: SparkSession,
+    staging: DataFrame,
+    table: str,
+    run_id: str | None = None,
+    listed_files: DataFrame | None = None,
+    max_files: int | None = None,
 ) -> LoadResult:
     """K2/K3/A5: load staged rows into ``table`` insert-only and record the per-file summary.
 
     Steps: stage (typed, durable) → quarantine → first row per key → anti-join
     against the keys already in the table → durable new rows → publish as one
     ``load_run`` directory → summary written next to the table. ``listed_files``
-    (a ``file`` column) adds files without data rows to the summary as ``empty``.
+    (a ``file`` column) adds files without data rows to the summary as ``empty``;
+    ``max_files`` is a known bound on the number of input files (from the listing).
     """
     run_id = run_id or uuid.uuid4().hex[:12]
     work = scratch_path(spark, f"load-{run_id}")
@@ -100,7 +106,7 @@ def run_load(
     staged = spark.read.parquet(f"{work}/staged")
 
     rejected = L.rejected_files(staged)
-    good = L.drop_rejected(staged, rejected).drop("reason")
+    good = L.drop_rejected(staged, rejected, max_files).drop("reason")
     existing = read_registry(spark, table)
     target_keys = existing.select(C.KEY) if existing is not None else None
     new = L.new_rows(L.first_per_key(good), target_keys)
@@ -148,7 +154,9 @@ def load_directory(
     from glebe.sources import landing
 
     staging = landing.read_landing(spark, directory, splittable=splittable)
-    return run_load(spark, staging, table, run_id=run_id, listed_files=landing.list_csv(spark, directory))
+    listing = landing.list_csv(spark, directory)
+    n_files = len(fs.list_files(spark, directory))  # metadata only: the bound for broadcasting file lists
+    return run_load(spark, staging, table, run_id=run_id, listed_files=listing, max_files=n_files)
 
 
 def delete_rows(spark: SparkSession, table: str, predicate, new_table: str) -> DataFrame:

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from glebe.functions.constants import STATE_LABELS
 from glebe.sources.states import states_dim
 
 WAVE_CUTOFF = "1996-01-01"
@@ -22,6 +23,9 @@ WAVE_CUTOFF = "1996-01-01"
 LONG_MATRICULA_REGION = "AFRICA"
 LONG_MATRICULA_PRIORITY = "1-URGENT"
 LOWERCASE_UF_REGION = "EUROPE"
+# Landing files of ``base`` are one per state code (two spellings with the fault rule):
+# a bound known by construction, used to broadcast per-file lists without counting.
+MAX_FILES = 2 * len(STATE_LABELS)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

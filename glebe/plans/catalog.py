@@ -87,7 +87,7 @@ def states_dim_q(spark, sf):
 # --- load -----------------------------------------------------------------------------
 
 def insert_only_load(spark, sf):
-    return L.insert_only(_staging(spark, sf), _prior_keys(spark, sf)).select(*STAGING_COLUMNS)
+    return L.insert_only(_staging(spark, sf), _prior_keys(spark, sf), B.MAX_FILES).select(*STAGING_COLUMNS)
 
 
 def count_existing(spark, sf):
@@ -146,7 +146,7 @@ def _faulty(spark, sf):
 
 
 def load_summary(spark, sf):
-    return L.load_summary(_faulty(spark, sf), _prior_keys(spark, sf))
+    return L.load_summary(_faulty(spark, sf), _prior_keys(spark, sf), max_files=B.MAX_FILES)
 
 
 def run_summary(spark, sf):

@@ -30,7 +30,7 @@ MAX_ROUNDS = 3
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The registry after loading ``base`` into an empty table (table columns only)."""
     stg = B.staging_from_base(B.base(spark, sf_dir))
-    return L.insert_only(stg, None).select(*C.TABLE_COLUMNS)
+    return L.insert_only(stg, None, B.MAX_FILES).select(*C.TABLE_COLUMNS)
 
 
 def lookup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -144,12 +144,12 @@ def read_landing(spark: SparkSession, directory: str, splittable: bool = False)
         return _empty_staging(spark)
     body = parts[0]
     for p in parts[1:]:
-        body = body.unionByName(p)
-    hdr = headers.select(F.col("path").alias("__path"), "header", file_reason().alias("file_reason"))
+        body = body.unionByName(p, allowMissingColumns=True)
+    hdr = header_table(headers)
     if n_files <= MAX_BROADCAST_FILES:
         hdr = F.broadcast(hdr)
     rows = body.join(hdr, F.col("path") == F.col("__path"))
-    return bind_by_header(rows)
+    return bind_by_header(rows, max(r["width"] for r in layouts))
 
 
 def _row_position(splittable: bool) -> F.Column:
@@ -166,31 +166,49 @@ def _read_width(spark: SparkSession, paths: list[str], width: int, splittable: b
     schema = StructType([StructField(c, StringType()) for c in cols] + [StructField("_corrupt", StringType())])
     opts = {**CSV_OPTIONS, "multiLine": "false" if splittable else "true"}
     df = spark.read.schema(schema).options(header="true", **opts).csv(paths)
+    return df.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_name").alias("file"),
+        _row_position(splittable).alias("pos"),
+        *cols,
+        n_cells(width).alias("n_cells"),
+    )
+
+
+def n_cells(width: int) -> F.Column:
+    """Cells of the physical record: the schema width, or counted from the corrupt-record
+    text (quoted sections removed) when the parser flagged a short or long row."""
     quoted = r'"(?:[^"]|"")*"'
-    n_cells = F.when(
-        F.col("_corrupt").isNull(), F.lit(width)
-    ).otherwise(F.size(F.split(F.regexp_replace(F.col("_corrupt"), quoted, ""), ";", -1)))
-    cells = F.array(*[F.when(F.lit(i + 1) <= F.col("__n"), F.coalesce(F.col(c), F.lit(""))) for i, c in enumerate(cols)])
-    return (
-        df.select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.file_name").alias("file"),
-            _row_position(splittable).alias("pos"),
-            *cols,
-            "_corrupt",
-        )
-        .withColumn("__n", n_cells)
-        .select("path", "file", "pos", cells.alias("cells"), F.col("__n").alias("n_cells"), F.lit(width).alias("width"))
+    return F.when(F.col("_corrupt").isNull(), F.lit(width)).otherwise(
+        F.size(F.split(F.regexp_replace(F.col("_corrupt"), quoted, ""), ";", -1))
+    )
+
+
+def header_table(headers: DataFrame) -> DataFrame:
+    """One row per file: the 1-based cell index of every target column (last occurrence of
+    the name, ``dict`` semantics; 0 when absent) and the whole-file refusal reason."""
+    def idx(name: str) -> F.Column:
+        pos = F.array_position(F.reverse(F.col("header")), F.lit(name))
+        return F.when(pos > 0, F.size(F.col("header")) - pos + 1).otherwise(F.lit(0)).cast("int")
+
+    return headers.select(
+        F.col("path").alias("__path"),
+        *[idx(c).alias(f"__i_{c}") for c in C.DATA_COLUMNS],
+        file_reason().alias("file_reason"),
     )
 
 
-def bind_by_header(rows: DataFrame) -> DataFrame:
-    """Map positional ``cells`` to the target columns through the row's ``header``."""
+def bind_by_header(rows: DataFrame, width: int) -> DataFrame:
+    """Map positional cells ``c0..`` to the target columns through the row's header indices.
+
+    An empty cell is ``''``; a cell beyond the record's own cell count is NULL.
+    """
     def cell(name: str) -> F.Column:
-        # last occurrence of the name wins, like a dict built from the header
-        idx = F.array_position(F.reverse(F.col("header")), F.lit(name))
-        pos = F.size(F.col("header")) - idx + 1
-        return F.when(idx > 0, F.element_at(F.col("cells"), pos.cast("int")))
+        i = F.col(f"__i_{name}")
+        out = F.lit(None).cast("string")
+        for k in range(width, 0, -1):
+            out = F.when(i == k, F.when(F.col("n_cells") >= k, F.coalesce(F.col(f"c{k - 1}"), F.lit("")))).otherwise(out)
+        return out
 
     return rows.select(
         "file",

@@ -38,21 +38,11 @@ def _positional_stream(spark: SparkSession, directory: str, max_files: int | Non
 
 def _batch_staging(batch: DataFrame) -> DataFrame:
     """Header-bind one micro-batch: header pass over the batch's files only."""
-    spark = batch.sparkSession
     cols = [f"c{i}" for i in range(STREAM_WIDTH)]
-    quoted = r'"(?:[^"]|"")*"'
-    n_cells = F.when(F.col("_corrupt").isNull(), F.lit(STREAM_WIDTH)).otherwise(
-        F.size(F.split(F.regexp_replace(F.col("_corrupt"), quoted, ""), ";", -1))
-    )
-    rows = batch.withColumn("__n", n_cells).select(
-        F.col("path"), F.col("file"), F.col("pos"),
-        F.array(*[F.when(F.lit(i + 1) <= F.col("__n"), F.coalesce(F.col(c), F.lit(""))) for i, c in enumerate(cols)]).alias("cells"),
-        F.col("__n").alias("n_cells"), F.lit(STREAM_WIDTH).alias("width"),
-    )
-    paths = rows.select("path").distinct()
-    headers = landing.read_headers(paths).checkpoint(eager=True)
-    hdr = headers.select(F.col("path").alias("__path"), "header", landing.file_reason().alias("file_reason"))
-    return landing.bind_by_header(rows.join(F.broadcast(hdr), F.col("path") == F.col("__path")))
+    rows = batch.select("path", "file", "pos", *cols, landing.n_cells(STREAM_WIDTH).alias("n_cells"))
+    headers = landing.read_headers(rows.select("path").distinct()).checkpoint(eager=True)
+    hdr = F.broadcast(landing.header_table(headers))  # one row per file of this micro-batch
+    return landing.bind_by_header(rows.join(hdr, F.col("path") == F.col("__path")), STREAM_WIDTH)
 
 
 def stream_insert_only(
