@@ -20,16 +20,14 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def owner_parts(x) -> Column:
-    """Split free text on ``;``, ``|``, `` / ``, `` e `` into stripped, non-empty parts.
+def split_parts(x) -> Column:
+    """Stripped, non-empty pieces of the text split on the owner separators."""
+    return F.filter(F.transform(F.split(_c(x), C.OWNER_SPLIT_PATTERN, -1), lambda p: py_strip(p)), lambda p: p != "")
 
-    Text with no non-blank part falls back to ``[text]``; NULL and '' give ``[]`` (R1/G17).
-    """
-    x = _c(x)
-    parts = F.filter(
-        F.transform(F.split(x, C.OWNER_SPLIT_PATTERN, -1), lambda p: py_strip(p)),
-        lambda p: p != "",
-    )
+
+def parts_with_fallback(x, parts) -> Column:
+    """Text with no non-blank part falls back to ``[text]``; NULL and '' give ``[]``."""
+    x, parts = _c(x), _c(parts)
     return (
         F.when(x.isNull() | (x == ""), F.array().cast("array<string>"))
         .when(F.size(parts) == 0, F.array(x))
@@ -37,6 +35,13 @@ def owner_parts(x) -> Column:
     )
 
 
+def owner_parts(x) -> Column:
+    """Split free text on ``;``, ``|``, `` / ``, `` e `` into stripped, non-empty parts,
+    with the fallback of :func:`parts_with_fallback`. (Single-expression form; inside
+    :func:`with_owners` the split is staged as its own column so it runs once.)"""
+    return parts_with_fallback(x, split_parts(x))
+
+
 def with_owners(df: DataFrame, text_col: str, pct_col: str | None, out_col: str = "proprietarios") -> DataFrame:
     """Add ``out_col``: ``array<struct<nome_completo, cpf, vinculo, participacao_pct>>`` (R2, D3).
 
@@ -45,7 +50,8 @@ def with_owners(df: DataFrame, text_col: str, pct_col: str | None, out_col: str
     """
     pct = participation_pct(F.col(pct_col)) if pct_col else F.lit(C.PCT_DEFAULT)
     tmp_parts, tmp_raw, tmp_keys = "__owner_parts", "__owner_raw", "__owner_keys"
-    df = df.withColumn(tmp_parts, owner_parts(text_col))
+    df = df.withColumn(tmp_parts, split_parts(text_col))
+    df = df.withColumn(tmp_parts, parts_with_fallback(text_col, tmp_parts))
     df = df.withColumn(
         tmp_raw,
         F.transform(F.col(tmp_parts), lambda p: F.struct(owner_name(p).alias("n"), cpf_extract(p).alias("c"))),
@@ -68,7 +74,14 @@ def with_owners(df: DataFrame, text_col: str, pct_col: str | None, out_col: str
 
 
 def explode_owners(df: DataFrame, keep: list[str], owners_col: str = "proprietarios") -> DataFrame:
-    """One row per owner with its 0-based position in the deduped list."""
-    return df.select(*keep, F.posexplode(owners_col).alias("owner_pos", "o")).select(
-        *keep, "owner_pos", *[F.col("o")[f].alias(f) for f in OWNER_FIELDS]
+    """One row per owner with its 0-based position in the deduped list.
+
+    ``posexplode_outer`` + a filter on the generated position: for the plain generator
+    Spark infers a ``size(owners) > 0`` filter and pushes it below the projections,
+    which would evaluate the whole owner pipeline twice per record.
+    """
+    return (
+        df.select(*keep, F.posexplode_outer(owners_col).alias("owner_pos", "o"))
+        .where(F.col("owner_pos").isNotNull())
+        .select(*keep, "owner_pos", *[F.col("o")[f].alias(f) for f in OWNER_FIELDS])
     )

@@ -96,14 +96,14 @@ def tiered_match(wanted: DataFrame, options: DataFrame) -> DataFrame:
     norm_text = norm_key(F.col("text"))
     prefixes = o.select(
         "ord", "value",
-        F.explode(
+        F.explode_outer(
             F.filter(
                 F.transform(F.sequence(F.lit(1), F.greatest(F.length(norm_text), F.lit(1))), lambda i: F.when(
                     F.substring(norm_text, i, 2) == " -", F.substring(norm_text, F.lit(1), i - 1))),
                 lambda p: p.isNotNull(),
             )
         ).alias("prefix"),
-    )
+    ).where(F.col("prefix").isNotNull())
     t1 = prefixes.join(w, F.col("prefix") == F.col("__wu")).select("uf", F.lit(1).alias("tier"), "ord", "value")
     t2 = o.join(w, norm_key("text") == F.col("__wl")).select("uf", F.lit(2).alias("tier"), "ord", "value")
     best = t0.unionByName(t1).unionByName(t2).groupBy("uf").agg(F.min(F.struct("tier", "ord", "value")).alias("b"))

@@ -216,7 +216,8 @@ def owner_name(spark, sf):
 
 def owners_split(spark, sf):
     r = I.registry(spark, sf)
-    return r.select(C.KEY, F.posexplode(owner_parts("proprietario")).alias("part_pos", "part"))
+    x = r.select(C.KEY, F.posexplode_outer(owner_parts("proprietario")).alias("part_pos", "part"))
+    return x.where(F.col("part_pos").isNotNull())
 
 
 def _owners(spark, sf):
