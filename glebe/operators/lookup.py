@@ -26,6 +26,21 @@ def point_lookup(registry: DataFrame, code: str) -> DataFrame:
     return registry.select(*LOOKUP_COLUMNS).where(F.col(C.KEY) == F.lit(code)).limit(1)
 
 
+def run_point_lookup(registry: DataFrame, code: str) -> list:
+    """Run :func:`point_lookup` now and return its row(s), planned with bucketed scans
+    allowed: on a bucketed registry the equality on the code then reads one bucket file
+    per state directory (Spark's automatic choice would scan all buckets, as the query
+    has no join or aggregate); on a plain Parquet layout nothing changes."""
+    spark = registry.sparkSession
+    key = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return point_lookup(registry, code).collect()
+    finally:
+        spark.conf.set(key, previous)
+
+
 def shape_record(rows: DataFrame) -> DataFrame:
     """``codigo_incra, area_ha, situacao, proprietarios`` from looked-up rows (extra columns kept)."""
     out = with_owners(rows, "proprietario", "pct_obtencao", "proprietarios")

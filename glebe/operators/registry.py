@@ -119,6 +119,16 @@ def run_load(
         write_layout(out.select(*C.TABLE_COLUMNS, "loaded_at"), f"{table}/load_run={run_id}",
                      partitions=max(1, -(-inserted // ROWS_PER_PARTITION)))
 
+    summary = _summary(staged, good, rejected, new, listed_files, run_id)
+    summary_path = f"{table}/{SUMMARY_DIR}/load_run={run_id}"
+    summary.coalesce(1).write.parquet(summary_path)
+    return LoadResult(run_id, inserted, spark.read.parquet(summary_path))
+
+
+def _summary(staged, good, rejected, new, listed_files, run_id: str) -> DataFrame:
+    """A5 per file from durable inputs: ``(file, code)`` counts of accepted rows, new codes
+    by first file, refused files with their reason, and header-only files as ``empty``."""
+    zero = [F.lit(0).cast("long").alias(c) for c in ["codigos_unicos", "novos", "ja_existiam", "linhas_inseridas"]]
     stats = (
         good.groupBy("file", C.KEY).agg(F.count(F.lit(1)).alias("n"))
         .groupBy("file").agg(F.sum("n").cast("long").alias("linhas_csv"), F.count(F.lit(1)).cast("long").alias("codigos_unicos"))
@@ -132,19 +142,16 @@ def run_load(
         F.lit("loaded").alias("status"), F.lit(None).cast("string").alias("reason"),
     )
     refused = staged.groupBy("file").agg(F.count(F.lit(1)).cast("long").alias("linhas_csv")).join(rejected, "file").select(
-        "file", "linhas_csv", *[F.lit(0).cast("long").alias(c) for c in ["codigos_unicos", "novos", "ja_existiam", "linhas_inseridas"]],
-        F.lit("rejected").alias("status"), "reason",
+        "file", "linhas_csv", *zero, F.lit("rejected").alias("status"), "reason",
     )
     summary = loaded.unionByName(refused)
     if listed_files is not None:
         empty = listed_files.select("file").distinct().join(staged.select("file").distinct(), "file", "left_anti").select(
-            "file", *[F.lit(0).cast("long").alias(c) for c in ["linhas_csv", "codigos_unicos", "novos", "ja_existiam", "linhas_inseridas"]],
-            F.lit("empty").alias("status"), F.lit(None).cast("string").alias("reason"),
+            "file", F.lit(0).cast("long").alias("linhas_csv"), *zero, F.lit("empty").alias("status"),
+            F.lit(None).cast("string").alias("reason"),
         )
         summary = summary.unionByName(empty)
-    summary_path = f"{table}/{SUMMARY_DIR}/load_run={run_id}"
-    summary.withColumn("run_id", F.lit(run_id)).coalesce(1).write.parquet(summary_path)
-    return LoadResult(run_id, inserted, spark.read.parquet(summary_path))
+    return summary.withColumn("run_id", F.lit(run_id))
 
 
 def load_directory(
@@ -170,6 +177,63 @@ def delete_rows(spark: SparkSession, table: str, predicate, new_table: str) -> D
     return read_registry(spark, new_table)
 
 
+# --- bucketed catalog table (co-located anti-joins, bucket-pruned lookups) ------------------
+
+DDL_COLUMNS = (
+    "codigo_incra STRING NOT NULL, matricula STRING, municipio STRING, denominacao STRING, "
+    "proprietario STRING, pct_obtencao DECIMAL(12,4), loaded_at TIMESTAMP_NTZ, uf STRING"
+)
+
+
+def create_bucketed(spark: SparkSession, name: str, path: str, buckets: int) -> None:
+    """K6/L1: ``CREATE TABLE IF NOT EXISTS`` the registry as an external Parquet table in the
+    shared folder, partitioned by ``uf`` and bucketed + sorted by the code.
+
+    A load's dedupe already hash-partitions the new rows by code; with the shuffle
+    partition count equal to ``buckets`` the anti-join reads the table without any
+    exchange, and an equality lookup reads one bucket file per state directory.
+    """
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({DDL_COLUMNS}) USING parquet PARTITIONED BY (uf) "
+        f"CLUSTERED BY ({C.KEY}) SORTED BY ({C.KEY}) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+
+
+def _bucket_count(spark: SparkSession, name: str) -> int:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name") == "Num Buckets").collect()
+    return int(rows[0]["data_type"])
+
+
+def run_load_bucketed(spark: SparkSession, staging: DataFrame, name: str, max_files: int | None = None) -> LoadResult:
+    """K2 into a bucketed catalog table: same semantics as :func:`run_load`, appended with
+    ``INSERT INTO`` (bucketed write); the summary goes under ``<location>/_load_summary``."""
+    run_id = uuid.uuid4().hex[:12]
+    work = scratch_path(spark, f"load-{run_id}")
+    buckets = _bucket_count(spark, name)
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name") == "Location").first()["data_type"]
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(buckets))  # align the dedupe with the buckets
+    try:
+        L.typed(staging).write.parquet(f"{work}/staged")
+        staged = spark.read.parquet(f"{work}/staged")
+        rejected = L.rejected_files(staged)
+        good = L.drop_rejected(staged, rejected, max_files).drop("reason")
+        new = L.new_rows(L.first_per_key(good), spark.table(name).select(C.KEY))
+        new.write.parquet(f"{work}/new")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
+    new = spark.read.parquet(f"{work}/new")
+    inserted = new.count()
+    if inserted:
+        out = new.withColumn("loaded_at", F.localtimestamp()).select(*C.DATA_COLUMNS, "loaded_at", "uf")
+        # one task per bucket (same Murmur3 hash as the bucket id): one file per bucket and state
+        out.repartition(buckets, C.KEY).write.insertInto(name)
+    summary = _summary(staged, good, rejected, new, None, run_id)
+    summary_path = f"{location}/{SUMMARY_DIR}/load_run={run_id}"
+    summary.coalesce(1).write.parquet(summary_path)
+    return LoadResult(run_id, inserted, spark.read.parquet(summary_path))
+
+
 def read_summaries(spark: SparkSession, table: str) -> DataFrame:
     """Every run's per-file summary (``load_run`` from the directory name)."""
     return spark.read.option("basePath", f"{table}/{SUMMARY_DIR}").parquet(f"{table}/{SUMMARY_DIR}/load_run=*")

@@ -151,3 +151,37 @@ def test_load_directory_reports_empty_files_and_delete_rewrites(spark, landing_d
     # LIKE's "_" matches any one character, so TESTEX1 goes too
     assert sorted(r.codigo_incra for r in newer.collect()) == ["K2"]
     assert R.read_registry(spark, table).count() == 3
+
+
+def test_bucketed_registry_load_is_colocated_and_idempotent(spark, landing_dir):
+    d, put = landing_dir
+    put("AC_a.csv", HEADER + "".join(f"K{i};M{i};;;;1\n" for i in range(40)))
+    put("AL_a.csv", HEADER + "".join(f"K{i};N{i};;;;2\n" for i in range(30, 60)))
+    name = "reg_" + scratch_path(spark, "x").rsplit("-", 1)[-1]
+    R.create_bucketed(spark, name, scratch_path(spark, "bucketed"), 4)
+    R.create_bucketed(spark, name, scratch_path(spark, "ignored"), 4)  # IF NOT EXISTS: no-op
+    first = R.run_load_bucketed(spark, landing.read_landing(spark, d), name)
+    second = R.run_load_bucketed(spark, landing.read_landing(spark, d), name)
+    table = spark.table(name)
+    assert (first.inserted, second.inserted, table.count()) == (60, 0, 60)
+    assert table.where(F.col("codigo_incra") == "K35").first().matricula == "M35"
+    # the anti-join reads the bucketed table without an exchange on its side
+    keys = spark.createDataFrame([("K1",), ("K99",)], "codigo_incra string")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    try:
+        firsts = L.first_per_key(keys.withColumn("file", F.lit("f")).withColumn("pos", F.lit(0)))
+        plan = L.new_rows(firsts, table.select("codigo_incra"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    from glebe.operators import lookup as LK
+
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    try:
+        q = LK.point_lookup(table, "K35")
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        lookup = q._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "true")
+    assert "SelectedBucketsCount: 1 out of 4" in lookup
+    assert [r.codigo_incra for r in LK.run_point_lookup(table, "K35")] == ["K35"]
