@@ -36,7 +36,13 @@ def build_session(master: str = "local[8]", app: str = "glebe", shuffle_partitio
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session; set one only if it is unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 — a remote session exposes only its conf
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder") from None
+        return configured.rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
