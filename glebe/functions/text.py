@@ -195,15 +195,6 @@ def norm_key(x) -> Column:
     return py_strip(F.upper(F.translate(_c(x), _FOLD_FROM, _FOLD_TO)))
 
 
-def safe_filename_approx(x) -> Column:
-    """JVM-side ``_safe_filename`` for Latin text: fold accents, map the rest to ``_``,
-    strip edge ``_``. The exact NFKD variant is :func:`glebe.functions.fold.safe_filename`."""
-    src = "ÀÁÂÃÄÅàáâãäåÇçÈÉÊËèéêëÌÍÎÏìíîïÑñÒÓÔÕÖòóôõöÙÚÛÜùúûüÝýÿ"
-    dst = "AAAAAAaaaaaaCcEEEEeeeeIIIIiiiiNnOOOOOoooooUUUUuuuuYyy"
-    folded = F.translate(_c(x), src, dst)
-    return F.btrim(F.regexp_replace(folded, r"[^A-Za-z0-9_-]", "_"), F.lit("_"))
-
-
 # --- lookup keys ----------------------------------------------------------------
 
 def is_valid_lookup_key(k) -> Column:
