@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from glebe.operators import progress as P
 from glebe.operators import quality as Q
