@@ -23,10 +23,17 @@ MATRICULA_MAX_LEN = 20
 UF_MAX_LEN = 2
 PCT_PRECISION, PCT_SCALE = 12, 4
 
-# FIXED VALUES — patterns (Java regex). (?U) makes \d and \s Unicode-aware like Python's re.
-CPF_PATTERN = r"(?U)(\d{3})\.?\s*(\d{3})\.?\s*(\d{3})\-?(\d{2})"
-OWNER_SPLIT_PATTERN = r"(?iU)\s*(?:;|\||\s/\s|\s+e\s+)\s*"
-LOOKUP_KEY_PATTERN = r"^[A-Za-z0-9./_-]+\z"
+# FIXED VALUES — patterns. CPF: tax number with optional separators; owner split: ";", "|",
+# " / " and the word "e", matched case-insensitively; lookup key: the path-parameter charset.
+CPF_PATTERN = r"(\d{3})\.?\s*(\d{3})\.?\s*(\d{3})\-?(\d{2})"
+OWNER_SPLIT_PATTERN = r"\s*(?:;|\||\s/\s|\s+e\s+)\s*"
+LOOKUP_KEY_PATTERN = r"^[A-Za-z0-9./_-]+$"
+
+# Java forms of the patterns above: (?U) gives \d and \s Python's Unicode meaning, (?i) the
+# case-insensitive split; \z instead of $ because Java's $ also matches before a final newline.
+CPF_REGEX = "(?U)" + CPF_PATTERN
+OWNER_SPLIT_REGEX = "(?iU)" + OWNER_SPLIT_PATTERN
+LOOKUP_KEY_REGEX = LOOKUP_KEY_PATTERN[:-1] + r"\z"
 LOOKUP_KEY_MAX_LEN = 64
 NAME_STRIP_CHARS = " -:\t"
 CPF_MASK_PREFIX = "***.***.***-"

@@ -22,7 +22,7 @@ def _c(x) -> Column:
 
 def split_parts(x) -> Column:
     """Stripped, non-empty pieces of the text split on the owner separators."""
-    return F.filter(F.transform(F.split(_c(x), C.OWNER_SPLIT_PATTERN, -1), lambda p: py_strip(p)), lambda p: p != "")
+    return F.filter(F.transform(F.split(_c(x), C.OWNER_SPLIT_REGEX, -1), lambda p: py_strip(p)), lambda p: p != "")
 
 
 def parts_with_fallback(x, parts) -> Column:

@@ -86,14 +86,14 @@ def clean_pct(x) -> Column:
 
 def cpf_extract(x) -> Column:
     """First CPF-shaped match, digits only; NULL when none."""
-    m = F.regexp_extract(_c(x), C.CPF_PATTERN, 0)
+    m = F.regexp_extract(_c(x), C.CPF_REGEX, 0)
     return F.nullif(F.regexp_replace(m, r"(?U)\D", ""), F.lit(""))
 
 
 def owner_name(x) -> Column:
     """Name without any CPF, one trailing ``-`` and edge `` -:\\t``."""
     x = _c(x)
-    no_cpf = F.regexp_replace(x, C.CPF_PATTERN, "")
+    no_cpf = F.regexp_replace(x, C.CPF_REGEX, "")
     no_dash = F.regexp_replace(no_cpf, r"(?dU)\s*-\s*$", "")
     name = F.btrim(no_dash, F.lit(C.NAME_STRIP_CHARS))
     return F.when(x.isNull() | (x == ""), F.lit(C.NOT_INFORMED)).otherwise(
@@ -111,7 +111,7 @@ def cpf_mask(cpf) -> Column:
 
 def mask_cpfs_in_text(x) -> Column:
     """Mask every CPF-shaped number inside free text, keeping its last two digits."""
-    return F.regexp_replace(_c(x), C.CPF_PATTERN, C.CPF_MASK_PREFIX.replace("$", "\\$") + "$4")
+    return F.regexp_replace(_c(x), C.CPF_REGEX, C.CPF_MASK_PREFIX.replace("$", "\\$") + "$4")
 
 
 # --- numbers (lookup) --------------------------------------------------------
@@ -201,6 +201,6 @@ def is_valid_lookup_key(k) -> Column:
     """Path-parameter rule: 1..64 chars of ``[A-Za-z0-9./_-]``."""
     k = _c(k)
     return F.coalesce(
-        F.length(k).between(1, C.LOOKUP_KEY_MAX_LEN) & k.rlike(C.LOOKUP_KEY_PATTERN),
+        F.length(k).between(1, C.LOOKUP_KEY_MAX_LEN) & k.rlike(C.LOOKUP_KEY_REGEX),
         F.lit(False),
     )

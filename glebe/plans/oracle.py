@@ -14,8 +14,8 @@ from glebe.plans import inputs as I
 from glebe.plans.catalog import POINT_KEY
 from glebe.plans.oracle_base import PCT_SQL, with_base, with_registry
 
-CPF = r"(\d{3})\.?\s*(\d{3})\.?\s*(\d{3})\-?(\d{2})"
-SPLIT = r"(?i)\s*(?:;|\||\s/\s|\s+e\s+)\s*"
+CPF = C.CPF_PATTERN
+SPLIT = "(?i)" + C.OWNER_SPLIT_PATTERN
 TAB = "' -:' || chr(9)"
 
 
@@ -299,5 +299,3 @@ SELECT DISTINCT state FROM a WHERE state NOT IN (SELECT state FROM st WHERE stat
     ),
     "stream_dedupe": with_base("SELECT DISTINCT codigo_incra FROM base"),
 }
-
-assert C.KEY == "codigo_incra"
