@@ -99,6 +99,11 @@ def record_json(records: DataFrame) -> DataFrame:
     return records.select(C.KEY, F.to_json(rec, {"ignoreNullFields": "false"}).alias("json"))
 
 
+def export_json(records: DataFrame, path: str) -> None:
+    """Write one JSON response record per line (``null`` fields kept) to ``path``."""
+    record_json(records).select("json").write.text(path)
+
+
 def contract_violations(records: DataFrame) -> DataFrame:
     """Q5: one row of violation counts of the response contract (all zero when it holds)."""
     owners = F.coalesce(F.col("proprietarios"), F.array())
@@ -119,6 +124,6 @@ def contract_violations(records: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "LOOKUP_COLUMNS", "OWNER_FIELDS", "batch_lookup", "contract_violations", "flatten_record", "point_lookup",
-    "record_json", "shape_record", "validate_keys",
+    "LOOKUP_COLUMNS", "OWNER_FIELDS", "batch_lookup", "contract_violations", "export_json", "flatten_record",
+    "point_lookup", "record_json", "run_point_lookup", "shape_record", "validate_keys",
 ]

@@ -131,7 +131,8 @@ FROM (SELECT row_pos, 0 AS variant, file AS name FROM base
 FROM states"""
     ),
     "file_line_counts": with_base(
-        f"SELECT file, count(*) AS records FROM base GROUP BY file UNION ALL SELECT '{I.HEADER_ONLY_FILE}', CAST(0 AS BIGINT)"
+        f"SELECT file, count(*) AS records FROM base GROUP BY file "
+        f"UNION ALL SELECT '{I.HEADER_ONLY_FILE}', CAST(0 AS BIGINT) UNION ALL SELECT '{I.ZERO_BYTE_FILE}', CAST(0 AS BIGINT)"
     ),
     "states_dim": _w(
         "",

@@ -225,9 +225,17 @@ def _empty_staging(spark: SparkSession) -> DataFrame:
 
 
 def file_line_counts(spark: SparkSession, directory: str) -> DataFrame:
-    """Records per file as physical lines − 1 (floor 0); embedded newlines count as lines."""
+    """Records per file as physical lines − 1 (floor 0); embedded newlines count as lines.
+
+    Zero-byte files (which Spark's scan never lists) come from the directory listing
+    with 0, as a line count of an empty file would give."""
     lines = spark.read.option("pathGlobFilter", "*.csv").text(directory).select(F.col("_metadata.file_name").alias("file"))
-    return lines.groupBy("file").agg(F.greatest(F.count(F.lit(1)) - 1, F.lit(0)).cast("long").alias("records"))
+    counts = lines.groupBy("file").agg(F.greatest(F.count(F.lit(1)) - 1, F.lit(0)).cast("long").alias("records"))
+    names = [(p.rsplit("/", 1)[-1],) for p, n in fs.list_files(spark, directory) if n == 0 and p.endswith(".csv")]
+    if not names:
+        return counts
+    empty = spark.createDataFrame(names, "file string").select("file", F.lit(0).cast("long").alias("records"))
+    return counts.unionByName(empty)
 
 
 def file_manifest(spark: SparkSession, directory: str, expected: DataFrame) -> DataFrame:

@@ -202,3 +202,28 @@ def test_point_lookup_pushes_key_filter(spark):
     plan = LK.point_lookup(spark.read.parquet(path), "K00042")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(codigo_incra), EqualTo(codigo_incra,K00042)]" in plan
     assert C.KEY in plan
+
+
+def test_export_json_and_plan_report(spark):
+    import json
+
+    from glebe.operators import inspect
+    from glebe.operators import registry as R
+
+    reg = spark.createDataFrame(
+        [(f"K{i:04d}", "M", "C", "Ativo" if i % 2 else "", f"Dono {i} 123.456.789-{i % 100:02d}", None, "SP") for i in range(200)],
+        "codigo_incra string, matricula string, municipio string, denominacao string, proprietario string, "
+        "pct_obtencao decimal(12,4), uf string",
+    )
+    path = scratch_path(spark, "test-layout")
+    R.write_layout(reg, path)
+    table = spark.read.parquet(path)
+    out = scratch_path(spark, "test-json")
+    LK.export_json(LK.shape_record(table), out)
+    docs = [json.loads(r.value) for r in spark.read.text(out).collect()]
+    assert len(docs) == 200 and all(d["area_ha"] is None for d in docs)
+    assert {d["situacao"] for d in docs} == {"Ativo", "Nao informado"}
+    report = inspect.timed_report(LK.point_lookup(table, "K0042"))
+    assert report["rows"] == 1 and report["within_sla"]
+    assert any("EqualTo(codigo_incra,K0042)" in f for f in report["pushed_filters"])
+    assert report["read_schema"] and "matricula" not in report["read_schema"][0]

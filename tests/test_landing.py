@@ -112,7 +112,7 @@ def test_manifest_and_line_counts(spark, landing_dir):
     present = {r.file: r.present for r in landing.file_manifest(spark, d, expected).collect()}
     assert present == {"AC_a.csv": True, "AL_a.csv": True, "AM_a.csv": False, "AP_a.csv": False}
     counts = {r.file: r.records for r in landing.file_line_counts(spark, d).collect()}
-    assert counts == {"AC_a.csv": 3, "AL_a.csv": 0}
+    assert counts == {"AC_a.csv": 3, "AL_a.csv": 0, "AM_a.csv": 0}
 
 
 def test_first_row_per_key_plan_is_partial_aggregate(spark):
