@@ -37,11 +37,20 @@ WRITE_OPTIONS = {
 ROWS_PER_PARTITION = 1_000_000
 
 
+# Columns a reader of the table sees: the table schema plus the partition columns. Reading with
+# it (instead of inferring from file footers) fixes the schema across runs and drops obsolete
+# columns that older files may still carry (K7 at table level).
+REGISTRY_SCHEMA = (
+    "codigo_incra string, matricula string, municipio string, denominacao string, proprietario string, "
+    "pct_obtencao decimal(12,4), loaded_at timestamp_ntz, load_run string, uf string"
+)
+
+
 def read_registry(spark: SparkSession, table: str) -> DataFrame | None:
     """The table, or ``None`` while it has no committed run."""
     if not _has_runs(spark, table):
         return None
-    return spark.read.option("basePath", table).parquet(f"{table}/load_run=*")
+    return spark.read.schema(REGISTRY_SCHEMA).option("basePath", table).parquet(f"{table}/load_run=*")
 
 
 def _has_runs(spark: SparkSession, table: str) -> bool:

@@ -185,3 +185,20 @@ def test_bucketed_registry_load_is_colocated_and_idempotent(spark, landing_dir):
         spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "true")
     assert "SelectedBucketsCount: 1 out of 4" in lookup
     assert [r.codigo_incra for r in LK.run_point_lookup(table, "K35")] == ["K35"]
+
+
+def test_registry_schema_fixed_and_obsolete_column_ignored(spark, landing_dir):
+    d, put = landing_dir
+    put("AC_a.csv", HEADER + "K1;M;;;;1\n")
+    table = scratch_path(spark, "test-table")
+    R.load_directory(spark, d, table)
+    # an older run that still carried a dropped column
+    old = spark.createDataFrame([("K9", "M", "", "", "", None, None, "AL", "old.csv")],
+                                "codigo_incra string, matricula string, municipio string, denominacao string, "
+                                "proprietario string, pct_obtencao decimal(12,4), loaded_at timestamp_ntz, uf string, "
+                                "source_file string")
+    old.write.partitionBy("uf").parquet(f"{table}/load_run=old")
+    reg = R.read_registry(spark, table)
+    assert "source_file" not in reg.columns
+    assert sorted(r.codigo_incra for r in reg.collect()) == ["K1", "K9"]
+    assert dict(reg.dtypes)["pct_obtencao"] == "decimal(12,4)"

@@ -50,3 +50,20 @@ def test_stream_equals_batch(spark):
     batch = R.read_registry(spark, batch_table).select(*C.TABLE_COLUMNS)
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_stream_one_file_per_batch(spark, landing_dir):
+    d, put = landing_dir
+    header = "codigo_incra;matricula;municipio;denominacao;proprietario;pct_obtencao\n"
+    put("AC_1.csv", header + "K1;A1;;;;1\nK2;A2;;;;1\n")
+    table, ck = scratch_path(spark, "st1-table"), scratch_path(spark, "st1-ck")
+    ingest.stream_insert_only(spark, d, table, ck, max_files=1).awaitTermination()
+    put("AL_1.csv", header + "K2;B2;;;;1\nK3;B3;;;;1\n")
+    put("AM_1.csv", header + "K3;C3;;;;1\n" + "K4;" + "X" * 21 + ";;;;1\n")  # refused as a whole
+    ingest.stream_insert_only(spark, d, table, ck, max_files=1).awaitTermination()
+    got = {r.codigo_incra: r.matricula for r in R.read_registry(spark, table).collect()}
+    assert got == {"K1": "A1", "K2": "A2", "K3": "B3"}
+    runs = R.read_summaries(spark, table)
+    assert runs.select("run_id").distinct().count() == 3  # one micro-batch per file
+    st = {r.file: r.status for r in runs.collect()}
+    assert st == {"AC_1.csv": "loaded", "AL_1.csv": "loaded", "AM_1.csv": "rejected"}
