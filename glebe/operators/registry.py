@@ -84,6 +84,12 @@ def write_layout(rows: DataFrame, path: str, mode: str = "errorifexists", partit
     )
 
 
+SUMMARY_SCHEMA = (
+    "file string, linhas_csv long, codigos_unicos long, novos long, ja_existiam long, linhas_inseridas long, "
+    "status string, reason string, run_id string"
+)
+
+
 @dataclass
 class LoadResult:
     run_id: str
@@ -169,9 +175,13 @@ def load_directory(
     """Load every ``*.csv`` of a landing directory into ``table`` (header-only files reported as ``empty``)."""
     from glebe.sources import landing
 
+    files = [p for p, _ in fs.list_files(spark, directory) if p.endswith(".csv")]  # metadata only
+    if not files:  # nothing landed: nothing to do (the run leaves no trace)
+        empty = spark.createDataFrame([], SUMMARY_SCHEMA)
+        return LoadResult(run_id or "none", 0, empty)
     staging = landing.read_landing(spark, directory, splittable=splittable)
     listing = landing.list_csv(spark, directory)
-    n_files = len(fs.list_files(spark, directory))  # metadata only: the bound for broadcasting file lists
+    n_files = len(files)  # the bound for broadcasting per-file lists
     return run_load(spark, staging, table, run_id=run_id, listed_files=listing, max_files=n_files)
 
 

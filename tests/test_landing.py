@@ -202,3 +202,12 @@ def test_registry_schema_fixed_and_obsolete_column_ignored(spark, landing_dir):
     assert "source_file" not in reg.columns
     assert sorted(r.codigo_incra for r in reg.collect()) == ["K1", "K9"]
     assert dict(reg.dtypes)["pct_obtencao"] == "decimal(12,4)"
+
+
+def test_load_directory_without_files(spark, landing_dir):
+    d, _ = landing_dir
+    table = scratch_path(spark, "test-table")
+    res = R.load_directory(spark, d, table)
+    assert res.inserted == 0 and res.summary.count() == 0
+    assert R.load_directory(spark, d + "/missing", table).inserted == 0
+    assert R.read_registry(spark, table) is None
