@@ -46,9 +46,11 @@ def _batch_staging(batch: DataFrame) -> DataFrame:
 
 
 def stream_insert_only(
-    spark: SparkSession, directory: str, table: str, checkpoint: str, max_files: int | None = None
+    spark: SparkSession, directory: str, table: str, checkpoint: str, max_files: int | None = None,
+    bucketed: bool = False,
 ):
-    """Start an ``availableNow`` stream that loads new landing files into ``table``.
+    """Start an ``availableNow`` stream that loads new landing files into ``table``
+    (a path-layout table, or with ``bucketed=True`` the name of a bucketed catalog table).
 
     Returns the started ``StreamingQuery``; call ``awaitTermination()``.
     """
@@ -65,7 +67,10 @@ def stream_insert_only(
         # materialise the micro-batch first (the header pass and the load both read it)
         numbered = batch.withColumn("pos", F.monotonically_increasing_id()).checkpoint(eager=True)
         staged = _batch_staging(numbered)
-        R.run_load(spark, staged, table, run_id=f"e{epoch:06d}-{uuid.uuid4().hex[:6]}")
+        if bucketed:
+            R.run_load_bucketed(spark, staged, table)
+        else:
+            R.run_load(spark, staged, table, run_id=f"e{epoch:06d}-{uuid.uuid4().hex[:6]}")
 
     return (
         src.writeStream.foreachBatch(load_batch)
