@@ -249,6 +249,11 @@ def file_manifest(spark: SparkSession, directory: str, expected: DataFrame) -> D
 
 # --- landing writer (fixtures and exports) ------------------------------------------
 
+# Rows per landed file before it is split into ordered parts, and the cut resolution.
+MAX_ROWS_PER_FILE = 2_000_000
+SPLIT_RESOLUTION = 1000
+
+
 def land_csv(
     spark: SparkSession,
     rows: DataFrame,
@@ -256,10 +261,34 @@ def land_csv(
     columns: list[str] | None = None,
     file_col: str = "file",
     order_col: str = "pos",
+    max_rows_per_file: int = MAX_ROWS_PER_FILE,
 ) -> int:
     """Write one ``;`` CSV per distinct ``file_col`` value into ``directory``, rows in ``order_col``
-    order, header first, quoting like Python's ``csv`` (``""`` escape). Returns files written."""
+    order, header first, quoting like Python's ``csv`` (``""`` escape). Returns files written.
+
+    A value with more than ``max_rows_per_file`` rows is written as ordered parts
+    ``<stem>.pNNNNN<ext>`` (cut at approximate percentiles of ``order_col``), so no task
+    ever writes more than about that many rows; the parts sort in row order and keep
+    the state prefix of the name.
+    """
     columns = columns or C.DATA_COLUMNS
+    counts = rows.groupBy(file_col).agg(F.count(F.lit(1)).alias("__n"))
+    big = counts.where(F.col("__n") > max_rows_per_file)
+    if big.limit(1).count():
+        q = SPLIT_RESOLUTION
+        cuts = (
+            rows.join(F.broadcast(big), file_col)  # one row per oversized file
+            .groupBy(file_col)
+            .agg(F.percentile_approx(order_col, [i / q for i in range(1, q)], 10 * q).alias("__cuts"), F.first("__n").alias("__n"))
+        )
+        rows = rows.join(F.broadcast(cuts), file_col, "left")
+        n_parts = F.ceil(F.col("__n") / F.lit(max_rows_per_file))
+        rank = F.size(F.filter(F.col("__cuts"), lambda c: c < F.col(order_col)))
+        part = F.floor(rank * n_parts / F.lit(q))
+        stem = F.regexp_replace(F.col(file_col), r"(?<=.)\.[^.]*$", "")
+        ext = F.regexp_extract(F.col(file_col), r"(?<=.)(\.[^.]*)$", 1)
+        name = F.concat(stem, F.lit(".p"), F.lpad(part.cast("string"), 5, "0"), ext)
+        rows = rows.withColumn(file_col, F.when(F.col("__cuts").isNull(), F.col(file_col)).otherwise(name))
     tmp = directory.rstrip("/") + "/_write-" + uuid.uuid4().hex[:8]
     (
         rows.repartition(file_col)
