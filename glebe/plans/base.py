@@ -12,6 +12,8 @@ negative and > 100 percentages.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,8 +30,20 @@ LOWERCASE_UF_REGION = "EUROPE"
 MAX_FILES = 2 * len(STATE_LABELS)
 
 
+# DataFrame handles (plans, not data) per session: the driver tables are read-only, so one
+# schema inference per table and one analysed ``base`` plan serve every query of a session.
+_HANDLES: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
+def _memo(spark: SparkSession, key: tuple, build):
+    per_session = _HANDLES.setdefault(spark, {})
+    if key not in per_session:
+        per_session[key] = build()
+    return per_session[key]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _memo(spark, ("table", sf_dir, name), lambda: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _cpf_like(custkey) -> F.Column:
@@ -42,6 +56,10 @@ def _cpf_like(custkey) -> F.Column:
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``codigo_incra, matricula, row_pos, municipio, denominacao, proprietario, pct_obtencao,
     uf_key, landed_on, region, priority, uf, file`` — one row per order."""
+    return _memo(spark, ("base", sf_dir), lambda: _build_base(spark, sf_dir))
+
+
+def _build_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -79,6 +97,10 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
 def base_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``base`` with rule-injected faults: over-long ``matricula`` on urgent orders of one region,
     lower-case (unknown) state prefix in the file names of another region."""
+    return _memo(spark, ("faulty", sf_dir), lambda: _build_faulty(spark, sf_dir))
+
+
+def _build_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = base(spark, sf_dir)
     long_m = (F.col("region") == LONG_MATRICULA_REGION) & (F.col("priority") == LONG_MATRICULA_PRIORITY)
     lower_uf = F.col("region") == LOWERCASE_UF_REGION
