@@ -229,7 +229,7 @@ def test_export_json_and_plan_report(spark):
     assert report["read_schema"] and "matricula" not in report["read_schema"][0]
 
 
-@pytest.mark.parametrize("raw", ["\u00a0 x\u3000", "\x1cx\x1f", "\tx\n", " x ", "x", "\u2028x\u0085"]))
+@pytest.mark.parametrize("raw", ["\u00a0 x\u3000", "\x1cx\x1f", "\tx\n", " x ", "x", "\u2028x\u0085"])
 def test_py_strip_matches_python(spark, raw):
     df = spark.createDataFrame([(raw,)], "t string")
     assert df.select(T.py_strip("t").alias("v")).first().v == raw.strip()
