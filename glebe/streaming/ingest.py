@@ -80,14 +80,30 @@ def stream_insert_only(
     )
 
 
-def stream_dedupe(spark: SparkSession, directory: str, sink: str, checkpoint: str, max_files: int | None = None):
-    """Append each code the first time the stream sees it (state-only dedupe)."""
+def stream_dedupe(
+    spark: SparkSession, directory: str, sink: str, checkpoint: str, max_files: int | None = None,
+    within: str | None = None,
+):
+    """Append each code the first time the stream sees it (state-only dedupe).
+
+    Without ``within`` the state keeps every code ever seen (exact, unbounded). With
+    ``within`` (e.g. ``"2 hours"``) the file's modification time is the event time and
+    ``dropDuplicatesWithinWatermark`` forgets a code once the watermark passes it, so
+    state stays bounded; repeats further apart than ``within`` are emitted again.
+    """
     cols = [f"c{i}" for i in range(STREAM_WIDTH)]
     src = _positional_stream(spark, directory, max_files)
     # canonical column order for this form; mixed headers go through stream_insert_only
-    keyed = src.select(*[F.coalesce(F.col(c), F.lit("")).alias(n) for c, n in zip(cols, C.DATA_COLUMNS)])
+    keyed = src.select(
+        *[F.coalesce(F.col(c), F.lit("")).alias(n) for c, n in zip(cols, C.DATA_COLUMNS)],
+        F.col("_metadata.file_modification_time").alias("landed_at"),
+    )
+    if within:
+        deduped = keyed.withWatermark("landed_at", within).dropDuplicatesWithinWatermark([C.KEY])
+    else:
+        deduped = keyed.dropDuplicates([C.KEY])
     return (
-        keyed.dropDuplicates([C.KEY])
+        deduped
         .writeStream.format("parquet")
         .option("path", sink)
         .option("checkpointLocation", checkpoint)

@@ -67,3 +67,14 @@ def test_stream_one_file_per_batch(spark, landing_dir):
     assert runs.select("run_id").distinct().count() == 3  # one micro-batch per file
     st = {r.file: r.status for r in runs.collect()}
     assert st == {"AC_1.csv": "loaded", "AL_1.csv": "loaded", "AM_1.csv": "rejected"}
+
+
+def test_stream_dedupe_exact_and_within_watermark(spark, landing_dir):
+    d, put = landing_dir
+    header = "codigo_incra;matricula;municipio;denominacao;proprietario;pct_obtencao\n"
+    put("AC_1.csv", header + "K1;A;;;;1\nK1;B;;;;1\nK2;C;;;;1\n")
+    for within in [None, "1 hour"]:
+        sink, ck = scratch_path(spark, "dd-sink"), scratch_path(spark, "dd-ck")
+        ingest.stream_dedupe(spark, d, sink, ck, within=within).awaitTermination()
+        got = sorted(r.codigo_incra for r in spark.read.parquet(sink).collect())
+        assert got == ["K1", "K2"]
