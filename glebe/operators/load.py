@@ -24,8 +24,6 @@ from glebe.functions.text import clean_pct, pct_rejects_file
 from glebe.operators.broadcast import MAX_BROADCAST_ROWS, bounded_broadcast
 from glebe.sources.states import states_dim
 
-TEXT_COLUMNS = ["matricula", "municipio", "denominacao", "proprietario"]
-
 # FIXED VALUES — rejection reasons, in the order they are tested per row.
 REASONS = ["null_key", "matricula_too_long", "uf_too_long", "pct_not_storable", "unknown_uf"]
 
