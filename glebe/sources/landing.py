@@ -22,6 +22,7 @@ from __future__ import annotations
 import csv
 import io
 import uuid
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -45,7 +46,8 @@ CSV_OPTIONS = {
 }
 HEADER_SCHEMA = StructType(
     [
-        StructField("path", StringType()),
+        StructField("fkey", StringType()),
+        StructField("file", StringType()),
         StructField("header", ArrayType(StringType())),
         StructField("width", IntegerType()),
         StructField("first_row_cells", IntegerType()),
@@ -55,15 +57,16 @@ HEADER_SCHEMA = StructType(
 MAX_BROADCAST_FILES = 200_000
 
 
-def _open(path: str):
+def _open(fkey: str):
+    """Open a file given Spark's URI-encoded ``_metadata.file_path``."""
     import pyarrow.fs as pafs
 
-    if path.startswith("file:"):
-        local = path[len("file:"):]
+    if fkey.startswith("file:"):
+        local = unquote(fkey[len("file:"):])
         while local.startswith("//"):
             local = local[1:]
         return pafs.LocalFileSystem().open_input_stream(local)
-    filesystem, p = pafs.FileSystem.from_uri(path)
+    filesystem, p = pafs.FileSystem.from_uri(fkey)
     return filesystem.open_input_stream(p)
 
 
@@ -89,27 +92,35 @@ def _leading_records(path: str, n: int = 2) -> list[list[str]]:
 def _headers(batches):
     for pdf in batches:
         out = []
-        for path in pdf["path"]:
-            recs = _leading_records(path)
+        for fkey in pdf["fkey"]:
+            recs = _leading_records(fkey)
             header = recs[0] if recs else None
             first = len(recs[1]) if len(recs) > 1 else None
-            out.append((path, header, len(header) if header else 0, first))
-        yield pd.DataFrame(out, columns=["path", "header", "width", "first_row_cells"])
+            name = unquote(fkey.rstrip("/").rsplit("/", 1)[-1])
+            out.append((fkey, name, header, len(header) if header else 0, first))
+        yield pd.DataFrame(out, columns=["fkey", "file", "header", "width", "first_row_cells"])
 
 
 def list_csv(spark: SparkSession, directory: str) -> DataFrame:
-    """``(path, file, length)`` of the non-empty ``*.csv`` files of a directory."""
+    """``(fkey, file, length)`` of the non-empty ``*.csv`` files of a directory.
+
+    ``fkey`` is Spark's URI-encoded ``_metadata.file_path`` (the join key every scan of
+    the same file produces); ``file`` is the plain file name."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.csv")
         .load(directory)
-        .select("path", F.element_at(F.split("path", "/"), -1).alias("file"), "length")
+        .select(
+            F.col("_metadata.file_path").alias("fkey"),
+            F.element_at(F.split("path", "/"), -1).alias("file"),
+            "length",
+        )
     )
 
 
 def read_headers(listing: DataFrame) -> DataFrame:
-    """S3 header pass: ``(path, header, width)`` per file."""
-    return listing.select("path").mapInPandas(_headers, HEADER_SCHEMA)
+    """S3 header pass: ``(fkey, file, header, width, first_row_cells)`` per file."""
+    return listing.select("fkey").mapInPandas(_headers, HEADER_SCHEMA)
 
 
 def file_reason() -> F.Column:
@@ -136,20 +147,16 @@ def read_landing(spark: SparkSession, directory: str, splittable: bool = False)
     listing = list_csv(spark, directory)
     headers = read_headers(listing).where(F.col("width") > 0)
     headers = headers.checkpoint(eager=True)  # one row per file; cuts the lineage to the file reads
-    # one small action: the file paths per header width (metadata, bounded by the file count)
-    layouts = headers.groupBy("width").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
-    n_files = sum(len(r["paths"]) for r in layouts)
-    parts = [_read_width(spark, list(r["paths"]), r["width"], splittable) for r in sorted(layouts, key=lambda r: r["width"])]
-    if not parts:
+    stats = headers.agg(F.max("width").alias("w"), F.count(F.lit(1)).alias("n")).first()  # one small action
+    if not stats["n"]:
         return _empty_staging(spark)
-    body = parts[0]
-    for p in parts[1:]:
-        body = body.unionByName(p, allowMissingColumns=True)
+    width, n_files = int(stats["w"]), int(stats["n"])
+    body = _read_body(spark, directory, width, splittable)
     hdr = header_table(headers)
     if n_files <= MAX_BROADCAST_FILES:
         hdr = F.broadcast(hdr)
-    rows = body.join(hdr, F.col("path") == F.col("__path"))
-    return bind_by_header(rows, max(r["width"] for r in layouts))
+    rows = body.join(hdr, F.col("fkey") == F.col("__fkey"))
+    return bind_by_header(rows, width)
 
 
 def _row_position(splittable: bool) -> F.Column:
@@ -161,14 +168,18 @@ def _row_position(splittable: bool) -> F.Column:
     return (start * F.lit(1 << 33).cast("decimal(38,0)") + in_task).cast("decimal(38,0)")
 
 
-def _read_width(spark: SparkSession, paths: list[str], width: int, splittable: bool = False) -> DataFrame:
+def _read_body(spark: SparkSession, directory: str, width: int, splittable: bool = False) -> DataFrame:
+    """One positional scan of every ``*.csv`` of the directory at the widest header.
+
+    Narrower files come back as short rows (flagged by the parser), whose true cell
+    count is recovered from the raw record; one scan, no per-file path lists (file
+    names are never interpreted as glob patterns)."""
     cols = [f"c{i}" for i in range(width)]
     schema = StructType([StructField(c, StringType()) for c in cols] + [StructField("_corrupt", StringType())])
-    opts = {**CSV_OPTIONS, "multiLine": "false" if splittable else "true"}
-    df = spark.read.schema(schema).options(header="true", **opts).csv(paths)
+    opts = {**CSV_OPTIONS, "multiLine": "false" if splittable else "true", "pathGlobFilter": "*.csv"}
+    df = spark.read.schema(schema).options(header="true", **opts).csv(directory)
     return df.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_path").alias("fkey"),
         _row_position(splittable).alias("pos"),
         *cols,
         n_cells(width).alias("n_cells"),
@@ -192,7 +203,8 @@ def header_table(headers: DataFrame) -> DataFrame:
         return F.when(pos > 0, F.size(F.col("header")) - pos + 1).otherwise(F.lit(0)).cast("int")
 
     return headers.select(
-        F.col("path").alias("__path"),
+        F.col("fkey").alias("__fkey"),
+        "file",
         *[idx(c).alias(f"__i_{c}") for c in C.DATA_COLUMNS],
         file_reason().alias("file_reason"),
     )
@@ -227,10 +239,11 @@ def _empty_staging(spark: SparkSession) -> DataFrame:
 def file_line_counts(spark: SparkSession, directory: str) -> DataFrame:
     """Records per file as physical lines − 1 (floor 0); embedded newlines count as lines.
 
-    Zero-byte files (which Spark's scan never lists) come from the directory listing
-    with 0, as a line count of an empty file would give."""
-    lines = spark.read.option("pathGlobFilter", "*.csv").text(directory).select(F.col("_metadata.file_name").alias("file"))
-    counts = lines.groupBy("file").agg(F.greatest(F.count(F.lit(1)) - 1, F.lit(0)).cast("long").alias("records"))
+    Counted per encoded file path and named from the listing; zero-byte files (which
+    Spark's scan never lists) come from the directory listing with 0."""
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(directory).select(F.col("_metadata.file_path").alias("fkey"))
+    per_key = lines.groupBy("fkey").agg(F.greatest(F.count(F.lit(1)) - 1, F.lit(0)).cast("long").alias("records"))
+    counts = per_key.join(list_csv(spark, directory).select("fkey", "file"), "fkey").select("file", "records")
     names = [(p.rsplit("/", 1)[-1],) for p, n in fs.list_files(spark, directory) if n == 0 and p.endswith(".csv")]
     if not names:
         return counts

@@ -39,10 +39,10 @@ def _positional_stream(spark: SparkSession, directory: str, max_files: int | Non
 def _batch_staging(batch: DataFrame) -> DataFrame:
     """Header-bind one micro-batch: header pass over the batch's files only."""
     cols = [f"c{i}" for i in range(STREAM_WIDTH)]
-    rows = batch.select("path", "file", "pos", *cols, landing.n_cells(STREAM_WIDTH).alias("n_cells"))
-    headers = landing.read_headers(rows.select("path").distinct()).checkpoint(eager=True)
+    rows = batch.select("fkey", "pos", *cols, landing.n_cells(STREAM_WIDTH).alias("n_cells"))
+    headers = landing.read_headers(rows.select("fkey").distinct()).checkpoint(eager=True)
     hdr = F.broadcast(landing.header_table(headers))  # one row per file of this micro-batch
-    return landing.bind_by_header(rows.join(hdr, F.col("path") == F.col("__path")), STREAM_WIDTH)
+    return landing.bind_by_header(rows.join(hdr, F.col("fkey") == F.col("__fkey")), STREAM_WIDTH)
 
 
 def stream_insert_only(
@@ -54,11 +54,7 @@ def stream_insert_only(
 
     Returns the started ``StreamingQuery``; call ``awaitTermination()``.
     """
-    src = _positional_stream(spark, directory, max_files).select(
-        "*",
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_name").alias("file"),
-    )
+    src = _positional_stream(spark, directory, max_files).select("*", F.col("_metadata.file_path").alias("fkey"))
 
     def load_batch(batch: DataFrame, epoch: int) -> None:
         if batch.isEmpty():

@@ -232,3 +232,19 @@ def test_land_csv_splits_oversized_files_in_order(spark):
     ac = back.where(F.col("uf") == "AC").select("file", "pos", "codigo_incra").collect()
     ordered = [r.codigo_incra for r in sorted(ac, key=lambda r: (r.file, r.pos))]
     assert ordered == [f"K{i}" for i in range(2500)]
+
+
+def test_file_names_with_spaces_percent_plus_and_brackets(spark, landing_dir):
+    d, put = landing_dir
+    names = ["SP - São Paulo.csv", "AC_a%20b.csv", "AL_x+y.csv", "AM_[1].csv"]
+    for i, n in enumerate(names):
+        put(n, HEADER + f"K{i};M{i};;;;1\n")
+    got = {r.file: (r.codigo_incra, r.uf) for r in landing.read_landing(spark, d).collect()}
+    assert got == {
+        "SP - São Paulo.csv": ("K0", None),  # no "_" in the stem: no state (G1)
+        "AC_a%20b.csv": ("K1", "AC"),
+        "AL_x+y.csv": ("K2", "AL"),
+        "AM_[1].csv": ("K3", "AM"),
+    }
+    counts = {r.file: r.records for r in landing.file_line_counts(spark, d).collect()}
+    assert counts == {n: 1 for n in names}
