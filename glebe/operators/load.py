@@ -7,7 +7,7 @@ from one plan where ``(file, pos)`` is a *value* that decides which row wins.
 
 Plan shape (shuffles marked):
   staging ─► violation flags ─► groupBy(file) [tiny, map-side partial] ─► rejected files
-  staging ⋉̸ rejected (AQE broadcasts the file list at runtime) ─► good rows
+  staging ⋉̸ rejected (one row per file, broadcast under a file-count bound) ─► good rows
   good ─► groupBy(key).min(struct(file,pos,…)) [shuffle on key, map-side partial:
           a hot key collapses to one row per task before the exchange] ─► first rows
   first rows ⋉̸ target keys [shuffle on key; only the key column of the target is read]
@@ -101,9 +101,10 @@ def insert_only(staging: DataFrame, target_keys: DataFrame | None, max_files: in
 
 
 def count_existing(staging: DataFrame, target_keys: DataFrame, key: str = C.KEY) -> DataFrame:
-    """Per file, distinct staged keys already in the target."""
+    """Per file, distinct staged keys already in the target (a semi-join needs no
+    dedupe of the target side, so the table's keys are only read, never aggregated)."""
     keys = staging.where(F.col(key).isNotNull()).select("file", key).distinct()
-    hit = keys.join(target_keys.select(key).distinct(), key, "left_semi")
+    hit = keys.join(target_keys.select(key), key, "left_semi")
     return hit.groupBy("file").agg(F.count(F.lit(1)).alias("ja_existiam"))
 
 
