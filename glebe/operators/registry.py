@@ -54,16 +54,7 @@ def read_registry(spark: SparkSession, table: str) -> DataFrame | None:
 
 
 def _has_runs(spark: SparkSession, table: str) -> bool:
-    return any(p.rstrip("/").split("/")[-1].startswith("load_run=") for p, _ in _list_dirs(spark, table))
-
-
-def _list_dirs(spark: SparkSession, directory: str) -> list[tuple[str, int]]:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(directory)
-    filesystem = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not filesystem.exists(p):
-        return []
-    return [(st.getPath().toString(), 0) for st in filesystem.listStatus(p) if st.isDirectory()]
+    return any(p.rstrip("/").split("/")[-1].startswith("load_run=") for p in fs.list_dirs(spark, table))
 
 
 def write_layout(rows: DataFrame, path: str, mode: str = "errorifexists", partitions: int | None = None) -> None:

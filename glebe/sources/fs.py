@@ -26,6 +26,14 @@ def list_files(spark: SparkSession, directory: str) -> list[tuple[str, int]]:
     return [(st.getPath().toString(), int(st.getLen())) for st in fs.listStatus(p) if st.isFile()]
 
 
+def list_dirs(spark: SparkSession, directory: str) -> list[str]:
+    """Paths of the sub-directories directly inside ``directory``."""
+    p, fs = _fs(spark, directory)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().toString() for st in fs.listStatus(p) if st.isDirectory()]
+
+
 def mkdirs(spark: SparkSession, directory: str) -> None:
     p, fs = _fs(spark, directory)
     fs.mkdirs(p)
