@@ -248,3 +248,27 @@ def test_file_names_with_spaces_percent_plus_and_brackets(spark, landing_dir):
     }
     counts = {r.file: r.records for r in landing.file_line_counts(spark, d).collect()}
     assert counts == {n: 1 for n in names}
+
+
+def test_restart_after_failed_or_half_finished_runs(spark, landing_dir):
+    from glebe.sources import fs as FS
+
+    d, put = landing_dir
+    put("AC_a.csv", HEADER + "K1;M1;;;;1\nK2;M2;;;;1\n")
+    table = scratch_path(spark, "test-table")
+    # a run whose write job died: only uncommitted task output under _temporary
+    FS.mkdirs(spark, f"{table}/load_run=dead/_temporary/0/task_0")
+    FS.write_small_text(spark, f"{table}/load_run=dead/_temporary/0/task_0/part-0.parquet", "not parquet")
+    assert R.read_registry(spark, table).count() == 0
+    # a run that published K1 but crashed before writing its summary
+    crashed = spark.createDataFrame(
+        [("K1", "M1", "", "", "", None, "AC")],
+        "codigo_incra string, matricula string, municipio string, denominacao string, proprietario string, "
+        "pct_obtencao decimal(12,4), uf string",
+    ).withColumn("loaded_at", F.localtimestamp())
+    R.write_layout(crashed, f"{table}/load_run=crashed")
+    first = R.load_directory(spark, d, table)  # the rerun adds only what is missing
+    assert first.inserted == 1
+    again = R.load_directory(spark, d, table)
+    assert again.inserted == 0 and R.read_registry(spark, table).count() == 2
+    assert L.duplicate_keys(R.read_registry(spark, table), ["codigo_incra"]).count() == 0
