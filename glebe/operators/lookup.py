@@ -59,15 +59,16 @@ def batch_lookup(registry: DataFrame, keys: DataFrame, key_col: str = "requested
     raised before any query runs. Plan: the distinct valid probes are size-checked and
     broadcast into an *inner* join, so the table is streamed once and never shuffled;
     the matches (at most one per probe — codes are unique in the registry) then
-    left-join back to the requested keys. Beyond the size bound both joins are left
-    to the planner (sort-merge, with AQE skew handling).
+    left-join back to the requested keys — a join of two key-batch-sized inputs, left to
+    the planner (the matches carry free text, so they are not force-broadcast). Beyond
+    the size bound both joins sort-merge, with AQE skew handling.
     """
     k = validate_keys(keys, key_col).withColumn("__probe", F.when(F.col("valid"), F.col(key_col)))
     probes = k.select("__probe").where(F.col("__probe").isNotNull()).distinct()
     small = is_small(probes)
     table = registry.select(*LOOKUP_COLUMNS).withColumnRenamed(C.KEY, "__code")
     found = table.join(F.broadcast(probes) if small else probes, F.col("__code") == F.col("__probe")).drop("__probe")
-    joined = k.join(F.broadcast(found) if small else found, F.col("__probe") == F.col("__code"), "left")
+    joined = k.join(found, F.col("__probe") == F.col("__code"), "left")
     outcome = (
         F.when(~F.col("valid"), F.lit("invalid"))
         .when(F.col("__code").isNotNull(), F.lit("found"))

@@ -53,8 +53,9 @@ HEADER_SCHEMA = StructType(
         StructField("first_row_cells", IntegerType()),
     ]
 )
-# Files whose listing exceeds this are joined to their headers without a broadcast hint.
-MAX_BROADCAST_FILES = 200_000
+# Files whose listing exceeds this are joined to their headers without a broadcast hint
+# (one ~250-byte row per file: at most ~25 MB broadcast).
+MAX_BROADCAST_FILES = 100_000
 
 
 def _open(fkey: str):
