@@ -200,8 +200,9 @@ def clean_pct(spark, sf):
 
 
 def cpf_extract(spark, sf):
+    # raw tax numbers never leave the engine: the extracted digits are compared by digest
     r = I.registry(spark, sf)
-    return r.select(C.KEY, T.cpf_extract("proprietario").alias("cpf"))
+    return r.select(C.KEY, F.sha2(T.cpf_extract("proprietario"), 256).alias("cpf_sha256"))
 
 
 def cpf_mask(spark, sf):

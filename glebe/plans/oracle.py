@@ -202,7 +202,7 @@ FROM (SELECT row_pos, 0 AS variant, pct_obtencao AS text FROM base
       UNION ALL SELECT row_pos, 4, pct_obtencao || 'e1' FROM base
       UNION ALL SELECT row_pos, 5, lower(priority) FROM base)"""
     ),
-    "cpf_extract": _w("", f"SELECT codigo_incra, {_cpf('proprietario')} AS cpf FROM registry"),
+    "cpf_extract": _w("", f"SELECT codigo_incra, sha256({_cpf('proprietario')}) AS cpf_sha256 FROM registry"),
     "cpf_mask": _w("", f"SELECT codigo_incra, {_mask(_cpf('proprietario'))} AS cpf FROM registry"),
     "owner_name": _w("", f"SELECT codigo_incra, {_name('proprietario')} AS nome_completo FROM registry"),
     "owners_split": _w(
