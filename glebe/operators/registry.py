@@ -244,6 +244,20 @@ def run_load_bucketed(spark: SparkSession, staging: DataFrame, name: str, max_fi
     return LoadResult(run_id, inserted, spark.read.parquet(summary_path))
 
 
+def compact(spark: SparkSession, table: str, new_table: str, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+    """Rewrite every committed run of ``table`` as one run of ``new_table`` (same layout:
+    range-partitioned on ``(uf, code)``, sorted, bloom filter). Incremental loads and
+    stream micro-batches each add a run; compaction keeps listing and footer reads flat.
+    The old version is left in place — readers switch by path."""
+    current = read_registry(spark, table)
+    if current is None:
+        raise ValueError(f"no committed run under {table}")
+    n = current.count()
+    write_layout(current.drop("load_run"), f"{new_table}/load_run=compacted",
+                 partitions=max(1, -(-n // rows_per_partition)))
+    return read_registry(spark, new_table)
+
+
 def read_summaries(spark: SparkSession, table: str) -> DataFrame:
     """Every run's per-file summary (``load_run`` from the directory name)."""
     return spark.read.option("basePath", f"{table}/{SUMMARY_DIR}").parquet(f"{table}/{SUMMARY_DIR}/load_run=*")

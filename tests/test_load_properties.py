@@ -78,3 +78,18 @@ def test_stream_dedupe_exact_and_within_watermark(spark, landing_dir):
         ingest.stream_dedupe(spark, d, sink, ck, within=within).awaitTermination()
         got = sorted(r.codigo_incra for r in spark.read.parquet(sink).collect())
         assert got == ["K1", "K2"]
+
+
+def test_compaction_keeps_rows_in_one_run(spark, landing_dir):
+    d, put = landing_dir
+    header = "codigo_incra;matricula;municipio;denominacao;proprietario;pct_obtencao\n"
+    for i, uf in enumerate(["AC", "AL", "AM"]):
+        put(f"{uf}_{i}.csv", header + f"K{i};M{i};;;;1\n")
+    table, ck = scratch_path(spark, "cmp-table"), scratch_path(spark, "cmp-ck")
+    ingest.stream_insert_only(spark, d, table, ck, max_files=1).awaitTermination()
+    before = R.read_registry(spark, table)
+    assert before.select("load_run").distinct().count() == 3
+    after = R.compact(spark, table, scratch_path(spark, "cmp-new"))
+    assert after.select("load_run").distinct().count() == 1
+    cols = ["codigo_incra", "matricula", "uf"]
+    assert sorted(map(tuple, after.select(cols).collect())) == sorted(map(tuple, before.select(cols).collect()))
