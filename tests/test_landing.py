@@ -272,3 +272,15 @@ def test_restart_after_failed_or_half_finished_runs(spark, landing_dir):
     again = R.load_directory(spark, d, table)
     assert again.inserted == 0 and R.read_registry(spark, table).count() == 2
     assert L.duplicate_keys(R.read_registry(spark, table), ["codigo_incra"]).count() == 0
+
+
+def test_repeated_header_name_takes_last_cell_and_header_only_unknown_is_empty(spark, landing_dir):
+    d, put = landing_dir
+    put("AC_dup.csv", "codigo_incra;matricula;municipio;matricula\nK1;A;Rio;B\n")
+    put("AL_hdr.csv", "codigo_incra;nonsense\n")
+    table = scratch_path(spark, "test-table")
+    res = R.load_directory(spark, d, table)
+    st = {r.file: (r.status, r.reason) for r in res.summary.collect()}
+    assert st == {"AC_dup.csv": ("loaded", None), "AL_hdr.csv": ("empty", None)}
+    row = R.read_registry(spark, table).first()
+    assert (row.codigo_incra, row.matricula, row.municipio) == ("K1", "B", "Rio")
