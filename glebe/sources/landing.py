@@ -71,19 +71,28 @@ def _open(fkey: str):
     return filesystem.open_input_stream(p)
 
 
+# The header pass reads at most this much of a file (it needs only the first two records).
+HEADER_READ_LIMIT = 64 << 20
+
+
 def _leading_records(path: str, n: int = 2) -> list[list[str]]:
-    """The first ``n`` non-blank CSV records of a file, reading only as many bytes as needed."""
+    """The first ``n`` non-blank CSV records of a file, reading only as many bytes as needed
+    (at most :data:`HEADER_READ_LIMIT`; past it, only records known to be complete are kept)."""
     buf = b""
+    complete = False
     with _open(path) as f:
         while True:
             chunk = f.read(1 << 16)
             buf += chunk
             text = buf.decode("utf-8", errors="replace")
-            reader = csv.reader(io.StringIO(text), delimiter=";")
-            records = [r for r in reader if r]
-            # complete when more text follows the n-th record, or the file has ended
-            if not chunk or len(records) > n:
+            records = [r for r in csv.reader(io.StringIO(text), delimiter=";") if r]
+            if not chunk or len(records) > n:  # file ended, or more text follows the n-th record
+                complete = True
+                break
+            if len(buf) >= HEADER_READ_LIMIT:
                 break
+    if not complete:
+        records = records[:-1]  # the last record may be cut by the read limit
     records = records[:n]
     if records and records[0] and records[0][0].startswith("\ufeff"):
         records[0][0] = records[0][0][1:]
