@@ -154,14 +154,42 @@ def read_landing(spark: SparkSession, directory: str, splittable: bool = False)
     fields); ``pos`` is then ``split start · 2^33 + row within the split's task``, a
     ``decimal(38,0)`` that still orders the rows of a file.
     """
-    listing = list_csv(spark, directory)
+    return _read_listed(spark, list_csv(spark, directory), directory, splittable)
+
+
+def read_files(spark: SparkSession, listing: DataFrame, splittable: bool = False) -> DataFrame:
+    """Like :func:`read_landing`, for an explicit set of files: ``listing`` has one row per
+    file with its encoded ``fkey`` (e.g. the files of one stream micro-batch)."""
+    return _read_listed(spark, listing, None, splittable)
+
+
+def _hadoop_path(fkey: str) -> str:
+    """Encoded ``_metadata.file_path`` → a path string Spark reads literally (glob characters escaped)."""
+    scheme, sep, rest = fkey.partition(":")
+    if not sep:
+        scheme, rest = "", fkey
+    head = ""
+    if rest.startswith("//"):
+        authority_end = rest.find("/", 2)
+        head, rest = (rest[:authority_end], rest[authority_end:]) if authority_end > 0 else (rest, "")
+    path = unquote(rest)
+    for ch in "\\{}[]*?":
+        path = path.replace(ch, "\\" + ch)
+    return (scheme + ":" if sep else "") + head + path
+
+
+def _read_listed(spark: SparkSession, listing: DataFrame, directory: str | None, splittable: bool) -> DataFrame:
     headers = read_headers(listing).where(F.col("width") > 0)
     headers = headers.checkpoint(eager=True)  # one row per file; cuts the lineage to the file reads
     stats = headers.agg(F.max("width").alias("w"), F.count(F.lit(1)).alias("n")).first()  # one small action
     if not stats["n"]:
         return _empty_staging(spark)
     width, n_files = int(stats["w"]), int(stats["n"])
-    body = _read_body(spark, directory, width, splittable)
+    if directory is not None:
+        body = _read_body(spark, directory, width, splittable)
+    else:  # explicit files: their paths are metadata, bounded by the listing given
+        paths = [_hadoop_path(r["fkey"]) for r in headers.select("fkey").collect()]
+        body = _read_body(spark, paths, width, splittable)
     hdr = header_table(headers)
     if n_files <= MAX_BROADCAST_FILES:
         hdr = F.broadcast(hdr)
@@ -178,8 +206,8 @@ def _row_position(splittable: bool) -> F.Column:
     return (start * F.lit(1 << 33).cast("decimal(38,0)") + in_task).cast("decimal(38,0)")
 
 
-def _read_body(spark: SparkSession, directory: str, width: int, splittable: bool = False) -> DataFrame:
-    """One positional scan of every ``*.csv`` of the directory at the widest header.
+def _read_body(spark: SparkSession, source, width: int, splittable: bool = False) -> DataFrame:
+    """One positional scan of every ``*.csv`` of the directory (or of the given paths) at the widest header.
 
     Narrower files come back as short rows (flagged by the parser), whose true cell
     count is recovered from the raw record; one scan, no per-file path lists (file
@@ -187,7 +215,7 @@ def _read_body(spark: SparkSession, directory: str, width: int, splittable: bool
     cols = [f"c{i}" for i in range(width)]
     schema = StructType([StructField(c, StringType()) for c in cols] + [StructField("_corrupt", StringType())])
     opts = {**CSV_OPTIONS, "multiLine": "false" if splittable else "true", "pathGlobFilter": "*.csv"}
-    df = spark.read.schema(schema).options(header="true", **opts).csv(directory)
+    df = spark.read.schema(schema).options(header="true", **opts).csv(source)
     return df.select(
         F.col("_metadata.file_path").alias("fkey"),
         _row_position(splittable).alias("pos"),

@@ -1,8 +1,8 @@
 """Incremental ingestion of landing directories with Structured Streaming.
 
-``stream_insert_only``: a file stream over the landing directory, each
-micro-batch loaded with the batch job (header binding, quarantine, first row
-per key, anti-join against the table, run-named publish). Progress lives in
+``stream_insert_only``: a stream of newly arrived file names (binaryFile source,
+content never read); each micro-batch loads exactly its files with the batch job
+(header binding, quarantine, first row per key, anti-join, run-named publish). Progress lives in
 the query's ``checkpointLocation`` — files are taken once; a replayed batch is
 harmless because the anti-join finds keys already published. Reset (T4) is a
 fresh checkpoint location: the table still refuses keys it has.
@@ -36,13 +36,18 @@ def _positional_stream(spark: SparkSession, directory: str, max_files: int | Non
     return reader.csv(directory)
 
 
-def _batch_staging(batch: DataFrame) -> DataFrame:
-    """Header-bind one micro-batch: header pass over the batch's files only."""
-    cols = [f"c{i}" for i in range(STREAM_WIDTH)]
-    rows = batch.select("fkey", "pos", *cols, landing.n_cells(STREAM_WIDTH).alias("n_cells"))
-    headers = landing.read_headers(rows.select("fkey").distinct()).checkpoint(eager=True)
-    hdr = F.broadcast(landing.header_table(headers))  # one row per file of this micro-batch
-    return landing.bind_by_header(rows.join(hdr, F.col("fkey") == F.col("__fkey")), STREAM_WIDTH)
+def _file_stream(spark: SparkSession, directory: str, max_files: int | None) -> DataFrame:
+    """New ``*.csv`` files of the directory, one row per file: only path metadata is read
+    (the binary content column is never selected, so the stream does not load the files)."""
+    schema = "path string, modificationTime timestamp, length long, content binary"  # the binaryFile schema
+    reader = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.csv")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", str(max_files))
+    return reader.load(directory).select(
+        F.col("_metadata.file_path").alias("fkey"),
+        F.element_at(F.split("path", "/"), -1).alias("file"),
+        "length",
+    )
 
 
 def stream_insert_only(
@@ -52,24 +57,26 @@ def stream_insert_only(
     """Start an ``availableNow`` stream that loads new landing files into ``table``
     (a path-layout table, or with ``bucketed=True`` the name of a bucketed catalog table).
 
+    The stream tracks *files* (its checkpoint records which were taken); each
+    micro-batch runs the batch reader and load on exactly its files, so header
+    binding, quarantine and summaries are the batch semantics for any header layout.
     Returns the started ``StreamingQuery``; call ``awaitTermination()``.
     """
-    src = _positional_stream(spark, directory, max_files).select("*", F.col("_metadata.file_path").alias("fkey"))
 
-    def load_batch(batch: DataFrame, epoch: int) -> None:
-        if batch.isEmpty():
+    def load_batch(files: DataFrame, epoch: int) -> None:
+        listing = files.where(F.col("length") > 0).checkpoint(eager=True)  # one row per new file
+        n_files = listing.count()
+        if not n_files:
             return
-        # row order: a multiLine scan never splits a file, so ids grow with the row order;
-        # materialise the micro-batch first (the header pass and the load both read it)
-        numbered = batch.withColumn("pos", F.monotonically_increasing_id()).checkpoint(eager=True)
-        staged = _batch_staging(numbered)
+        staged = landing.read_files(spark, listing)
         if bucketed:
-            R.run_load_bucketed(spark, staged, table)
+            R.run_load_bucketed(spark, staged, table, max_files=n_files)
         else:
-            R.run_load(spark, staged, table, run_id=f"e{epoch:06d}-{uuid.uuid4().hex[:6]}")
+            R.run_load(spark, staged, table, run_id=f"e{epoch:06d}-{uuid.uuid4().hex[:6]}",
+                       listed_files=listing, max_files=n_files)
 
     return (
-        src.writeStream.foreachBatch(load_batch)
+        _file_stream(spark, directory, max_files).writeStream.foreachBatch(load_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

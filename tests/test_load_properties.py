@@ -93,3 +93,18 @@ def test_compaction_keeps_rows_in_one_run(spark, landing_dir):
     assert after.select("load_run").distinct().count() == 1
     cols = ["codigo_incra", "matricula", "uf"]
     assert sorted(map(tuple, after.select(cols).collect())) == sorted(map(tuple, before.select(cols).collect()))
+
+
+def test_stream_handles_any_header_layout_and_file_names(spark, landing_dir):
+    d, put = landing_dir
+    # seven columns (a repeated name), reversed order, a glob-like and a spaced name, a header-only file
+    put("AC_[1].csv", "codigo_incra;matricula;municipio;denominacao;proprietario;pct_obtencao;matricula\n"
+                      "K1;A;Rio;;Ana;1,5;B\n")
+    put("AL - x.csv", "pct_obtencao;proprietario;codigo_incra\n2;Bia;K2\n")
+    put("AM_empty.csv", "codigo_incra\n")
+    table, ck = scratch_path(spark, "any-table"), scratch_path(spark, "any-ck")
+    ingest.stream_insert_only(spark, d, table, ck).awaitTermination()
+    got = {r.codigo_incra: (r.matricula, r.proprietario, str(r.pct_obtencao), r.uf) for r in R.read_registry(spark, table).collect()}
+    assert got == {"K1": ("B", "Ana", "1.5000", "AC"), "K2": (None, "Bia", "2.0000", None)}
+    st = {r.file: r.status for r in R.read_summaries(spark, table).collect()}
+    assert st == {"AC_[1].csv": "loaded", "AL - x.csv": "loaded", "AM_empty.csv": "empty"}
