@@ -102,3 +102,12 @@ def test_count_by_uf_nulls_last_and_quality(spark):
     assert rep["SP"]["null_pct"] == 1 and rep["SP"]["no_status"] == 1
     assert rep[None]["no_owner"] == 1 and rep["AC"]["duplicated_codes"] == 1 and rep["AC"]["total"] == 2
     assert Q.count_distinct_codes(reg).first().codigos_unicos == 3
+
+
+def test_completed_states_need_a_non_empty_output_file(spark):
+    completed = spark.createDataFrame(
+        [("AC - Acre", "AC_-_Acre.csv"), ("AL - Alagoas", "AL_-_Alagoas.csv"), ("AM - Amazonas", "AM_-_Amazonas.csv")],
+        "state string, file_name string",
+    )
+    listing = spark.createDataFrame([("AC_-_Acre.csv", 120), ("AL_-_Alagoas.csv", 0)], "file_name string, length long")
+    assert [r.state for r in P.valid_completed(completed, listing).collect()] == ["AC - Acre"]
