@@ -21,9 +21,12 @@ from glebe.operators.broadcast import is_small
 LOOKUP_COLUMNS = [C.KEY, "pct_obtencao", "denominacao", "proprietario"]
 
 
-def point_lookup(registry: DataFrame, code: str) -> DataFrame:
-    """``SELECT codigo_incra, pct_obtencao, denominacao, proprietario … WHERE code = ? LIMIT 1``."""
-    return registry.select(*LOOKUP_COLUMNS).where(F.col(C.KEY) == F.lit(code)).limit(1)
+def point_lookup(registry: DataFrame, code: str, uf: str | None = None) -> DataFrame:
+    """``SELECT codigo_incra, pct_obtencao, denominacao, proprietario … WHERE code = ? LIMIT 1``.
+
+    With ``uf`` the state directory is pruned before any file is opened (partition filter)."""
+    rows = registry.where(F.col("uf") == F.lit(uf)) if uf is not None else registry
+    return rows.select(*LOOKUP_COLUMNS).where(F.col(C.KEY) == F.lit(code)).limit(1)
 
 
 def run_point_lookup(registry: DataFrame, code: str) -> list:

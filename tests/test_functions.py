@@ -233,3 +233,21 @@ def test_export_json_and_plan_report(spark):
 def test_py_strip_matches_python(spark, raw):
     df = spark.createDataFrame([(raw,)], "t string")
     assert df.select(T.py_strip("t").alias("v")).first().v == raw.strip()
+
+
+def test_point_lookup_with_state_prunes_partitions(spark):
+    from glebe.operators import inspect
+    from glebe.operators import registry as R
+
+    reg = spark.createDataFrame(
+        [(f"K{i:03d}", "M", "C", "", "Ana", None, uf) for i, uf in enumerate(["AC", "AL", "SP"] * 10)],
+        "codigo_incra string, matricula string, municipio string, denominacao string, proprietario string, "
+        "pct_obtencao decimal(12,4), uf string",
+    )
+    path = scratch_path(spark, "test-pruned")
+    R.write_layout(reg, path)
+    q = LK.point_lookup(spark.read.parquet(path), "K002", uf="SP")
+    facts = inspect.plan_facts(q)
+    assert any("uf" in f and "SP" in f for f in facts["partition_filters"])
+    assert any("EqualTo(codigo_incra,K002)" in f for f in facts["pushed_filters"])
+    assert [r.codigo_incra for r in q.collect()] == ["K002"]
