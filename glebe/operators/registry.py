@@ -214,7 +214,20 @@ def _bucket_count(spark: SparkSession, name: str) -> int:
     return int(rows[0]["data_type"])
 
 
-def run_load_bucketed(spark: SparkSession, staging: DataFrame, name: str, max_files: int | None = None) -> LoadResult:
+def load_directory_bucketed(spark: SparkSession, directory: str, name: str, splittable: bool = False) -> LoadResult:
+    """:func:`load_directory` into a bucketed catalog table."""
+    from glebe.sources import landing
+
+    files = [p for p, _ in fs.list_files(spark, directory) if p.endswith(".csv")]  # metadata only
+    if not files:
+        return LoadResult("none", 0, spark.createDataFrame([], SUMMARY_SCHEMA))
+    staging = landing.read_landing(spark, directory, splittable=splittable)
+    return run_load_bucketed(spark, staging, name, max_files=len(files), listed_files=landing.list_csv(spark, directory))
+
+
+def run_load_bucketed(
+    spark: SparkSession, staging: DataFrame, name: str, max_files: int | None = None, listed_files: DataFrame | None = None
+) -> LoadResult:
     """K2 into a bucketed catalog table: same semantics as :func:`run_load`, appended with
     ``INSERT INTO`` (bucketed write); the summary goes under ``<location>/_load_summary``."""
     run_id = uuid.uuid4().hex[:12]
@@ -238,7 +251,7 @@ def run_load_bucketed(spark: SparkSession, staging: DataFrame, name: str, max_fi
         out = new.withColumn("loaded_at", F.localtimestamp()).select(*C.DATA_COLUMNS, "loaded_at", "uf")
         # one task per bucket (same Murmur3 hash as the bucket id): one file per bucket and state
         out.repartition(buckets, C.KEY).write.insertInto(name)
-    summary = _summary(staged, good, rejected, new, None, run_id)
+    summary = _summary(staged, good, rejected, new, listed_files, run_id)
     summary_path = f"{location}/{SUMMARY_DIR}/load_run={run_id}"
     summary.coalesce(1).write.parquet(summary_path)
     return LoadResult(run_id, inserted, spark.read.parquet(summary_path))

@@ -55,3 +55,14 @@ def test_stream_into_bucketed_table(spark, landing_dir):
     assert got == {"SE000000000000": "MTR1", "SE000000000001": "MTR2", "SE000000000002": "MTR3", "AC1": "M"}
     assert [r.codigo_incra for r in LK.run_point_lookup(spark.table(name), "AC1")] == ["AC1"]
     assert landing.read_landing(spark, d).count() == 5
+
+
+def test_load_directory_bucketed_reports_empty_files(spark, landing_dir):
+    d, put = landing_dir
+    put("SE_a.csv", HEADER + ROWS)
+    put("AC_empty.csv", HEADER)
+    name = "e2e_dir_" + scratch_path(spark, "n").rsplit("-", 1)[-1]
+    R.create_bucketed(spark, name, scratch_path(spark, "e2e-bucketed-dir"), 4)
+    res = R.load_directory_bucketed(spark, d, name)
+    assert res.inserted == 3
+    assert {r.file: r.status for r in res.summary.collect()} == {"SE_a.csv": "loaded", "AC_empty.csv": "empty"}
