@@ -84,3 +84,51 @@ def test_number_cleaning_matches_python_model(spark):
         if not ok:
             bad.append((r.t, r.v, r.r, m))
     assert not bad, bad[:5]
+
+
+def test_landing_reader_matches_python_csv(spark, landing_dir):
+    import csv
+    import io
+
+    from glebe.sources import landing
+
+    d, put = landing_dir
+    rng = random.Random(42)
+    cells = ["", "", "a", "b c", "x;y", 'say "hi"', "line\nbreak", " ", "1,5", "ção", "K"]
+    expected = {}
+    for f in range(20):
+        cols = rng.sample(C.DATA_COLUMNS, rng.randint(1, len(C.DATA_COLUMNS)))
+        buf = io.StringIO()
+        w = csv.writer(buf, delimiter=";", lineterminator="\n")
+        w.writerow(cols)
+        for i in range(rng.randint(0, 25)):
+            row = [rng.choice(cells) for _ in cols]
+            if i > 0 and rng.random() < 0.2:
+                row = row[: rng.randint(1, len(row))]  # short row
+            if i > 0 and rng.random() < 0.1:
+                row = row + ["extra"]  # surplus cell (not in the first data row)
+            if rng.random() < 0.1:
+                buf.write("\n")  # blank line
+            w.writerow(row)
+        name = f"AC_{f}.csv"
+        text = buf.getvalue()
+        put(name, text)
+        expected[name] = [
+            tuple(r.get(c) if c in cols else None for c in C.DATA_COLUMNS)
+            for r in csv.DictReader(io.StringIO(text), delimiter=";")
+        ]
+    got = {}
+    for r in landing.read_landing(spark, d).collect():
+        got.setdefault(r.file, []).append((r.pos, tuple(r[c] for c in C.DATA_COLUMNS)))
+    for name, rows in expected.items():
+        assert [v for _, v in sorted(got.get(name, []))] == rows, name
+
+
+def test_row_of_one_quoted_empty_field(spark, landing_dir):
+    from glebe.sources import landing
+
+    d, put = landing_dir
+    put("AC_q.csv", 'codigo_incra;matricula\n""\nK2;M\n')
+    rows = sorted((r.pos, r.codigo_incra, r.matricula) for r in landing.read_landing(spark, d).collect())
+    # Python's csv yields [''] for the line '""': a row with an empty code and a missing cell
+    assert [(c, m) for _, c, m in rows] == [("", None), ("K2", "M")]
