@@ -189,10 +189,23 @@ def _fold_table() -> tuple[str, str]:
 _FOLD_FROM, _FOLD_TO = _fold_table()
 
 
+def _js_whitespace() -> str:
+    """ECMAScript ``trim`` set: WhiteSpace (TAB, VT, FF, ZWNBSP and every ``Zs`` character)
+    plus LineTerminator (LF, CR, LS, PS), derived from the Unicode categories."""
+    import unicodedata
+
+    zs = "".join(chr(i) for i in range(0x10000) if unicodedata.category(chr(i)) == "Zs")
+    return "\t\x0b\x0c\ufeff\n\r\u2028\u2029" + zs
+
+
+JS_WHITESPACE = _js_whitespace()
+
+
 def norm_key(x) -> Column:
-    """Binary join key for accent- and case-insensitive matching: strip combining marks
-    (NFD-style, by table), upper-case, trim Python whitespace (F14, as a hashable string)."""
-    return py_strip(F.upper(F.translate(_c(x), _FOLD_FROM, _FOLD_TO)))
+    """Binary join key for accent- and case-insensitive matching, as the portal script
+    normalises: strip combining marks (NFD-style, by table), upper-case, trim with the
+    JavaScript whitespace set (F14, as a hashable string)."""
+    return F.btrim(F.upper(F.translate(_c(x), _FOLD_FROM, _FOLD_TO)), F.lit(JS_WHITESPACE))
 
 
 # --- lookup keys ----------------------------------------------------------------

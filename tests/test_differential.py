@@ -132,3 +132,23 @@ def test_row_of_one_quoted_empty_field(spark, landing_dir):
     rows = sorted((r.pos, r.codigo_incra, r.matricula) for r in landing.read_landing(spark, d).collect())
     # Python's csv yields [''] for the line '""': a row with an empty code and a missing cell
     assert [(c, m) for _, c, m in rows] == [("", None), ("K2", "M")]
+
+
+def test_norm_key_matches_nfd_model(spark):
+    import unicodedata
+
+    from glebe.functions.text import JS_WHITESPACE, norm_key
+
+    def model(v):  # NFD, drop U+0300–U+036F, upper-case, trim (JavaScript whitespace)
+        folded = "".join(ch for ch in unicodedata.normalize("NFD", v) if not 0x300 <= ord(ch) <= 0x36F)
+        return folded.upper().strip(JS_WHITESPACE)
+
+    rng = random.Random(3)
+    # U+019B is left out: its upper-case mapping is newer than this Python's Unicode tables
+    # (the JVM maps it to U+A7DC); case mapping follows the engine's Unicode version.
+    letters = [chr(i) for i in range(0xC0, 0x250) if chr(i).isalpha() and i != 0x19B] + list("abcXYZ -")
+    letters += [" ", "\ufeff", "\u0301", "ß", "\u00a0", "\x1c"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    bad = [(r.t, r.v, model(r.t)) for r in df.select("t", norm_key("t").alias("v")).collect() if r.v != model(r.t)]
+    assert not bad, bad[:5]
