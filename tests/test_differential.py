@@ -152,3 +152,17 @@ def test_norm_key_matches_nfd_model(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     bad = [(r.t, r.v, model(r.t)) for r in df.select("t", norm_key("t").alias("v")).collect() if r.v != model(r.t)]
     assert not bad, bad[:5]
+
+
+def test_uf_from_file_name_matches_pathlib(spark):
+    from pathlib import PurePath
+
+    def model(name):
+        stem = PurePath(name).stem
+        return stem.split("_")[0] if "_" in stem else None
+
+    rng = random.Random(11)
+    names = ["".join(rng.choice("aS_._- ç") for _ in range(rng.randint(0, 8))) + ".csv" for _ in range(2000)]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    bad = [(r.n, r.v, model(r.n)) for r in df.select("n", T.uf_from_file_name("n").alias("v")).collect() if r.v != model(r.n)]
+    assert not bad, bad[:5]
