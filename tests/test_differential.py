@@ -166,3 +166,16 @@ def test_uf_from_file_name_matches_pathlib(spark):
     df = spark.createDataFrame([(n,) for n in names], "n string")
     bad = [(r.n, r.v, model(r.n)) for r in df.select("n", T.uf_from_file_name("n").alias("v")).collect() if r.v != model(r.n)]
     assert not bad, bad[:5]
+
+
+def test_key_rule_and_text_masking_match_python(spark):
+    rng = random.Random(5)
+    key_chars = list("aZ09./_-") + ["*", " ", "\n", "ç", "#"]
+    keys = ["".join(rng.choice(key_chars) for _ in range(rng.randint(0, 70))) for _ in range(2000)]
+    texts = [random_text(rng) for _ in range(2000)]
+    df = spark.createDataFrame(list(zip(keys, texts)), "k string, t string")
+    out = df.select("k", "t", T.is_valid_lookup_key("k").alias("ok"), T.mask_cpfs_in_text("t").alias("m")).collect()
+    rule = re.compile(r"[A-Za-z0-9./_-]+")
+    for r in out:
+        assert r.ok == (1 <= len(r.k) <= 64 and rule.fullmatch(r.k) is not None), r.k
+        assert r.m == CPF.sub(lambda m: "***.***.***-" + m.group(4), r.t), r.t
