@@ -6,13 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glebe.llm import exact_dedup, mixing, oracle, sharding
+from glebe.llm import exact_dedup, language_id, mixing, oracle, quality, sharding, simhash, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
+def op3_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_mix_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(_table(spark, sf_dir, "documents"))
 
@@ -25,9 +33,24 @@ def op6_bloom_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op7_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copy_components(_table(spark, sf_dir, "documents"))
+
+
+def op8_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op4_mix_curriculum, op5_rendezvous_shards, op6_bloom_exact_dedup)
+    for f in (
+        op1_language_id, op3_quality_cnn, op4_mix_curriculum, op5_rendezvous_shards, op6_bloom_exact_dedup, op7_simhash_components,
+        op8_warc_roundtrip, op10_url_filter,
+    )
 }
 
 SQL: dict[str, str] = {k: v for k, v in oracle.SQL.items() if k in QUERIES}
