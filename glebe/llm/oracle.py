@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from glebe.llm import mixing
+from glebe.llm import line_dedup, mixing
 from glebe.llm.staging import LOWER_ASCII, UPPER_ASCII
 
 
@@ -120,9 +120,39 @@ select page_id, payload_bytes, {quintets} as payload_digest,
 from f"""
 
 
+_LINES = f"""
+with d as (
+  select doc_id, row_number() over (order by doc_id nulls first) as uid, text, string_split(text, chr(10)) as split from documents
+), l as (
+  select uid, unnest(list_filter(list_transform(split, lambda x, i: {{'line': i - 1, 'words': trim(x, ' ' || chr(9) || chr(11) || chr(12) || chr(13))}}),
+    lambda s: s.words <> '')) as l from d
+), p as (
+  select uid, l.line as line, row_number() over (partition by uid order by l.line) - 1 as seq, l.words as words,
+    len(regexp_extract_all(l.words, '[^\\x20\\x09-\\x0D]+')) as n from l
+), b as (
+  select *, sum(n) over (partition by uid order by seq) - n as before, sum(n) over (partition by uid) as whole from p
+), w as (
+  select *, list(words) over (partition by uid order by before range between current row and {line_dedup.MIN_WORDS - 1} following) as win from b
+), c as (
+  select uid, seq, len(win) as len, row_number() over (partition by win order by uid, seq) as nth from w where whole - before >= {line_dedup.MIN_WORDS}
+), gone as (
+  select distinct uid, unnest(range(seq, seq + len)) as seq from c where nth > 1
+), runs as (
+  select uid, count(*) filter (where first) as runs, count(*) as lines
+  from (select uid, seq, coalesce(seq <> lag(seq) over (partition by uid order by seq) + 1, true) as first from gone) group by uid
+), numbers as (
+  select g.uid, list(p.line) as lines from gone g join p using (uid, seq) group by g.uid
+), total as (select uid, count(*) as n from p group by uid)
+select doc_id, coalesce(total.n, 0)::int as lines, coalesce(runs.lines, 0)::int as removed_lines, coalesce(runs.runs, 0)::int as removed_runs,
+  sha256(coalesce(case when runs.uid is null then text
+    else array_to_string(list_filter(split, lambda x, i: not list_contains(numbers.lines, i - 1)), chr(10)) end, '')) as text_sha256
+from d left join runs using (uid) left join numbers using (uid) left join total using (uid)"""
+
+
 SQL = {
     "op4_mix_curriculum": _mix(),
     "op5_rendezvous_shards": _shards(),
     "op6_bloom_exact_dedup": _EXACT,
     "op8_warc_roundtrip": _warc(),
+    "op9_suffix_line_dedup": _LINES,
 }

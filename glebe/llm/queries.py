@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glebe.llm import exact_dedup, language_id, mixing, oracle, quality, sharding, simhash, url_filter, warc
+from glebe.llm import decontaminate, exact_dedup, language_id, line_dedup, mixing, oracle, quality, sharding, simhash, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_table(spark, sf_dir, "documents"))
 
 
+def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op3_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -41,6 +45,10 @@ def op8_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op9_suffix_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduplicated_lines(_table(spark, sf_dir, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"))
 
@@ -48,8 +56,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_language_id, op3_quality_cnn, op4_mix_curriculum, op5_rendezvous_shards, op6_bloom_exact_dedup, op7_simhash_components,
-        op8_warc_roundtrip, op10_url_filter,
+        op1_language_id, op2_template_decontamination, op3_quality_cnn, op4_mix_curriculum, op5_rendezvous_shards, op6_bloom_exact_dedup, op7_simhash_components,
+        op8_warc_roundtrip, op9_suffix_line_dedup, op10_url_filter,
     )
 }
 

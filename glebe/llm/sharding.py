@@ -11,7 +11,7 @@ Defined results:
   null/empty text   size 1 (0 bytes plus 1), CRC-32 0
   repeated rows     same key, same shard; each row gets its own slot
   empty table       empty result
-  extra columns     :func:`with_shard` keeps them and replaces one that is called like the new column;
+  extra columns     :func:`with_shard` and :func:`sharded` keep them and replace those called like the new columns;
                     :func:`shard_documents` reads doc_id and text only
 """
 
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glebe.llm.offsets import bucket_count, with_running_total
-from glebe.llm.staging import HASH52_SPAN, hash52, staged
+from glebe.llm.staging import HASH52_SPAN, hash52, packed, staged
 
 SHARDS = 8
 
@@ -68,20 +68,30 @@ def write_shards(df: DataFrame, path: str, key: str = "doc_id", weights: Sequenc
     sharded.repartition(len(weights) * files_per_shard, "shard", spread).write.partitionBy("shard").parquet(path)
 
 
-def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard (the shard with one more).
+def _slot_key(key: str = "doc_id") -> Column:
+    """The key, or for null ids (which share one shard) the text's CRC-32 and size, so that many of them spread over buckets."""
+    return F.coalesce(F.col(key).cast("string"), F.concat_ws(":", F.lit("~"), "text_crc32", "size"))
 
-    Null ids share one shard; their slots follow the text's CRC-32 and size, so that many of them spread over buckets.
-    """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    key = F.col("doc_id")
+
+def _measures(text: Column) -> dict[str, Column]:
+    text = F.coalesce(text, F.lit(""))
+    return {"size": (F.octet_length(text) + 1).cast("long"), "text_crc32": F.crc32(text.cast("binary")).cast("long")}
+
+
+def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """One row per document: doc_id, size, text_crc32, law, shard, slot, grown_shard (the shard with one more)."""
     rows = docs.select(
         "doc_id",
-        (F.octet_length(text) + 1).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
+        *[c.alias(name) for name, c in _measures(F.col("text")).items()],
         F.lit("key").alias("law"),
-        shard_of(key, (1.0,) * shards).alias("shard"),
-        shard_of(key, (1.0,) * (shards + 1)).alias("grown_shard"),
+        shard_of(F.col("doc_id"), (1.0,) * shards).alias("shard"),
+        shard_of(F.col("doc_id"), (1.0,) * (shards + 1)).alias("grown_shard"),
     )
-    slot_key = F.coalesce(key.cast("string"), F.concat_ws(":", F.lit("~"), "text_crc32", "size"))
-    return with_slot(staged(rows, "shards"), slot_key).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+    return with_slot(staged(rows, "shards"), _slot_key()).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """All columns of ``docs``, then its shard and slot (columns of these names are replaced); the rows of a shard lie together."""
+    rows = docs.drop("shard", "slot")
+    rows = packed(rows, doc_id=F.col("doc_id"), shard=shard_of(F.col("doc_id"), (1.0,) * shards), **_measures(F.col("text")))
+    return with_slot(rows, _slot_key()).select("_row.*", "shard", "slot")
