@@ -10,7 +10,7 @@ MAX_BROADCAST_ROWS = 100_000
 
 
 def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``."""
+    """True when ``df`` has at most ``max_rows`` rows. Computes ``df`` (a plan below a shuffle runs that shuffle whole)."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 

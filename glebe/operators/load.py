@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from glebe.functions import constants as C
 from glebe.functions.text import clean_pct, pct_rejects_file
 from glebe.operators.broadcast import MAX_BROADCAST_ROWS, bounded_broadcast
+from glebe.session import staged
 from glebe.sources.states import states_dim
 
 # FIXED VALUES — rejection reasons, in the order they are tested per row.
@@ -95,8 +96,10 @@ def new_rows(firsts: DataFrame, target_keys: DataFrame | None, key: str = C.KEY)
 
 
 def insert_only(staging: DataFrame, target_keys: DataFrame | None, max_files: int | None = None) -> DataFrame:
-    """K2: the rows a load appends — accepted files, first row per key, keys not yet present."""
-    good = accepted_rows(typed(staging), max_files).drop("reason")
+    """K2: the rows a load appends — accepted files, first row per key, keys not yet present.
+
+    The typed rows are staged, so the source is read and parsed once for the refusals and the rows."""
+    good = accepted_rows(staged(typed(staging), "typed"), max_files).drop("reason")
     return new_rows(first_per_key(good), target_keys)
 
 
@@ -109,47 +112,48 @@ def count_existing(staging: DataFrame, target_keys: DataFrame, key: str = C.KEY)
 
 
 def load_summary(
-    staging: DataFrame, target_keys: DataFrame | None, inserted: DataFrame | None = None, max_files: int | None = None
+    typed_rows: DataFrame, good: DataFrame, rejected: DataFrame, inserted: DataFrame, listed_files: DataFrame | None = None
 ) -> DataFrame:
-    """A5: per file ``linhas_csv, codigos_unicos, novos, ja_existiam, linhas_inseridas`` and ``status``.
+    """A5: per file ``linhas_csv, codigos_unicos, novos, ja_existiam, linhas_inseridas, status, reason``.
 
     ``novos`` counts keys whose first occurrence over the sorted files is in this file
     and that were not in the target; ``ja_existiam`` is the rest of the file's distinct
     keys — what a file-by-file run reports (earlier files of the same run count as existing).
-    Pass ``inserted`` (rows written by the run, with ``file``) to reuse them instead of
-    recomputing the insert.
+    All inputs are durable: ``typed_rows``, its ``good`` part, the ``rejected`` files and the rows ``inserted``
+    by the run. ``listed_files`` adds header-only files as ``empty``. Counts come from ``(file, code)`` partials.
     """
-    t = typed(staging)
-    good = drop_rejected(t, rejected_files(t), max_files)
+    zero = [F.lit(0).cast("long").alias(c) for c in ["codigos_unicos", "novos", "ja_existiam", "linhas_inseridas"]]
     stats = (
         good.groupBy("file", C.KEY).agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("file")
-        .agg(F.sum("n").alias("linhas_csv"), F.count(F.lit(1)).alias("codigos_unicos"))
+        .groupBy("file").agg(F.sum("n").cast("long").alias("linhas_csv"), F.count(F.lit(1)).cast("long").alias("codigos_unicos"))
     )
-    if inserted is None:
-        inserted = new_rows(first_per_key(good.drop("reason")), target_keys)
-    novos = inserted.groupBy("file").agg(F.count(F.lit(1)).alias("novos"))
-    loaded = (
-        stats.join(novos, "file", "left")
-        .withColumn("novos", F.coalesce(F.col("novos"), F.lit(0)).cast("long"))
-        .select(
-            "file",
-            F.col("linhas_csv").cast("long").alias("linhas_csv"),
-            F.col("codigos_unicos").cast("long").alias("codigos_unicos"),
-            "novos",
-            (F.col("codigos_unicos") - F.col("novos")).cast("long").alias("ja_existiam"),
-            F.col("novos").alias("linhas_inseridas"),
-            F.lit("loaded").alias("status"),
-        )
+    novos = inserted.groupBy("file").agg(F.count(F.lit(1)).cast("long").alias("novos"))
+    none = F.lit(None).cast("string").alias("reason")
+    loaded = stats.join(novos, "file", "left").select(
+        "file", "linhas_csv", "codigos_unicos",
+        F.coalesce("novos", F.lit(0)).cast("long").alias("novos"),
+        (F.col("codigos_unicos") - F.coalesce("novos", F.lit(0))).cast("long").alias("ja_existiam"),
+        F.coalesce("novos", F.lit(0)).cast("long").alias("linhas_inseridas"),
+        F.lit("loaded").alias("status"), none,
     )
-    return loaded
+    read = typed_rows.groupBy("file").agg(F.count_if(F.col("pos") >= 0).cast("long").alias("linhas_csv"))
+    refused = read.join(rejected, "file").select("file", "linhas_csv", *zero, F.lit("rejected").alias("status"), "reason")
+    summary = loaded.unionByName(refused)
+    if listed_files is not None:
+        empty = listed_files.select("file").distinct().join(read.select("file"), "file", "left_anti").select(
+            "file", F.lit(0).cast("long").alias("linhas_csv"), *zero, F.lit("empty").alias("status"), none,
+        )
+        summary = summary.unionByName(empty)
+    return summary
 
 
 def run_summary(manifest: DataFrame) -> DataFrame:
-    """Per status (``loaded``/``empty``/``rejected``) the file count and the sorted names."""
-    return manifest.groupBy("status").agg(
-        F.count(F.lit(1)).alias("files"),
-        F.concat_ws(",", F.sort_array(F.collect_list("file"))).alias("file_names"),
+    """The number of files per status, and one row for each file that failed, with its reason."""
+    totals = manifest.groupBy("status").agg(F.count(F.lit(1)).alias("files"))
+    none = F.lit(None).cast("string")
+    failed = manifest.where(F.col("status") == "rejected")
+    return totals.select("status", "files", none.alias("file"), none.alias("reason")).unionByName(
+        failed.select("status", F.lit(1).cast("long").alias("files"), "file", "reason")
     )
 
 
@@ -178,6 +182,11 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
+def duplicate_state_names(states: DataFrame) -> DataFrame:
+    """Q8: state names that occur more than once (the table has them unique)."""
+    return duplicate_keys(states, ["name"])
+
+
 def deletable_states(spark: SparkSession, fact: DataFrame) -> DataFrame:
     """Q8: states no fact row refers to (``ON DELETE RESTRICT`` lets only these go).
 

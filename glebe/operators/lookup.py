@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 from glebe.functions import constants as C
 from glebe.functions.owners import OWNER_FIELDS, with_owners
 from glebe.functions.text import is_valid_lookup_key, status_default, to_float
-from glebe.operators.broadcast import is_small
+from glebe.operators.broadcast import MAX_BROADCAST_ROWS
+from glebe.session import staged
 
+# Key batches up to this size are pushed into the scan as an IN list.
+PUSHED_KEYS = 1_000
 LOOKUP_COLUMNS = [C.KEY, "pct_obtencao", "denominacao", "proprietario"]
 
 
@@ -29,19 +32,9 @@ def point_lookup(registry: DataFrame, code: str, uf: str | None = None) -> DataF
     return rows.select(*LOOKUP_COLUMNS).where(F.col(C.KEY) == F.lit(code)).limit(1)
 
 
-def run_point_lookup(registry: DataFrame, code: str) -> list:
-    """Run :func:`point_lookup` now and return its row(s), planned with bucketed scans
-    allowed: on a bucketed registry the equality on the code then reads one bucket file
-    per state directory (Spark's automatic choice would scan all buckets, as the query
-    has no join or aggregate); on a plain Parquet layout nothing changes."""
-    spark = registry.sparkSession
-    key = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        return point_lookup(registry, code).collect()
-    finally:
-        spark.conf.set(key, previous)
+def lookup_by(index: DataFrame, column: str, value: str) -> DataFrame:
+    """L1: the records whose ``column`` equals ``value``, from a copy of the table sorted by that column."""
+    return index.select(*LOOKUP_COLUMNS, "municipio").where(F.col(column) == F.lit(value))
 
 
 def shape_record(rows: DataFrame) -> DataFrame:
@@ -60,16 +53,23 @@ def batch_lookup(registry: DataFrame, keys: DataFrame, key_col: str = "requested
 
     Invalid keys never reach the join (their probe is NULL), mirroring the 422 that is
     raised before any query runs. Plan: the distinct valid probes are size-checked and
-    broadcast into an *inner* join, so the table is streamed once and never shuffled;
+    broadcast into an *inner* join, so the table is streamed once and never shuffled, past a pushed-down
+    ``IN`` list of at most :data:`PUSHED_KEYS` keys or the range of the keys (the table is sorted by code);
     the matches (at most one per probe — codes are unique in the registry) then
     left-join back to the requested keys — a join of two key-batch-sized inputs, left to
     the planner (the matches carry free text, so they are not force-broadcast). Beyond
     the size bound both joins sort-merge, with AQE skew handling.
     """
     k = validate_keys(keys, key_col).withColumn("__probe", F.when(F.col("valid"), F.col(key_col)))
-    probes = k.select("__probe").where(F.col("__probe").isNotNull()).distinct()
-    small = is_small(probes)
-    table = registry.select(*LOOKUP_COLUMNS).withColumnRenamed(C.KEY, "__code")
+    probes = staged(k.select("__probe").where(F.col("__probe").isNotNull()).distinct(), "probes")
+    seen = probes.agg(F.count(F.lit(1)).alias("n"), F.min("__probe").alias("low"), F.max("__probe").alias("high")).first()
+    small = seen["n"] <= MAX_BROADCAST_ROWS
+    table = registry.select(*LOOKUP_COLUMNS)
+    if seen["n"] <= PUSHED_KEYS:  # reaches the scan: statistics and bloom filters skip row groups
+        table = table.where(F.col(C.KEY).isin([r["__probe"] for r in probes.collect()]))
+    else:
+        table = table.where(F.col(C.KEY).between(seen["low"], seen["high"]))
+    table = table.withColumnRenamed(C.KEY, "__code")
     found = table.join(F.broadcast(probes) if small else probes, F.col("__code") == F.col("__probe")).drop("__probe")
     joined = k.join(found, F.col("__probe") == F.col("__code"), "left")
     outcome = (
@@ -129,5 +129,5 @@ def contract_violations(records: DataFrame) -> DataFrame:
 
 __all__ = [
     "LOOKUP_COLUMNS", "OWNER_FIELDS", "batch_lookup", "contract_violations", "export_json", "flatten_record",
-    "point_lookup", "record_json", "run_point_lookup", "shape_record", "validate_keys",
+    "lookup_by", "point_lookup", "record_json", "shape_record", "validate_keys",
 ]

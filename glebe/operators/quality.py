@@ -19,22 +19,26 @@ def count_distinct_codes(rows: DataFrame, key: str = C.KEY) -> DataFrame:
 
 
 def quality_report(registry: DataFrame, key: str = C.KEY) -> DataFrame:
-    """Q7: per ``uf`` row count, NULLs in critical columns, and keys seen more than once.
+    """Q7: per ``uf`` row count, NULLs in critical columns, and codes seen more than once in the whole table.
 
-    One shuffle on ``(uf, key)`` with map-side partial counts, then a small
-    ``groupBy(uf)``; a hot state or key is pre-aggregated before any exchange.
+    A code is duplicated when it occurs twice anywhere, also in two states; it then counts in each of its states.
+    Rows are cut to one per ``(code, uf)`` before the first exchange, and a code has at most one of these per
+    state, so hot states and codes never meet as rows. NULL codes are never duplicates of each other.
     """
-    per_key = registry.groupBy("uf", key).agg(
+    per_key = registry.groupBy(key, "uf").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("pct_obtencao").isNull()).alias("null_pct"),
         F.count_if(F.col("proprietario").isNull() | (F.col("proprietario") == "")).alias("no_owner"),
         F.count_if(F.col("denominacao").isNull() | (F.col("denominacao") == "")).alias("no_status"),
     )
-    return per_key.groupBy("uf").agg(
+    measures = ["n", "null_pct", "no_owner", "no_status"]
+    per_code = per_key.groupBy(key).agg(F.sum("n").alias("seen"), F.collect_list(F.struct("uf", *measures)).alias("states"))
+    rows = per_code.select(key, "seen", F.inline("states"))
+    return rows.groupBy("uf").agg(
         F.sum("n").cast("long").alias("total"),
         F.sum(F.when(F.col(key).isNull(), F.col("n")).otherwise(0)).cast("long").alias("null_codes"),
         F.sum("null_pct").cast("long").alias("null_pct"),
         F.sum("no_owner").cast("long").alias("no_owner"),
         F.sum("no_status").cast("long").alias("no_status"),
-        F.count_if(F.col("n") > 1).cast("long").alias("duplicated_codes"),
+        F.count_if((F.col("seen") > 1) & F.col(key).isNotNull()).cast("long").alias("duplicated_codes"),
     )

@@ -26,13 +26,9 @@ from glebe.functions import constants as C
 from glebe.operators import load as L
 from glebe.session import scratch_path
 from glebe.sources import fs
+from glebe.sources.states import states_dim
 
 SUMMARY_DIR = "_load_summary"  # leading underscore: ignored by readers of the table itself
-WRITE_OPTIONS = {
-    "parquet.bloom.filter.enabled#codigo_incra": "true",
-    "parquet.bloom.filter.expected.ndv#codigo_incra": "1000000",
-    "compression": "zstd",
-}
 # Target rows per output partition of a load run (sizes files at ~128 MB for registry rows).
 ROWS_PER_PARTITION = 1_000_000
 
@@ -47,32 +43,51 @@ REGISTRY_SCHEMA = (
 
 
 def read_registry(spark: SparkSession, table: str) -> DataFrame | None:
-    """The table, or ``None`` while it has no committed run."""
+    """The table, or ``None`` while it has no run. Runs whose commit did not finish are left out."""
     if not _has_runs(spark, table):
         return None
-    return spark.read.schema(REGISTRY_SCHEMA).option("basePath", table).parquet(f"{table}/load_run=*")
+    reader = spark.read.schema(REGISTRY_SCHEMA).option("basePath", fs.qualified(spark, table))
+    runs = _committed(spark, table)
+    return reader.parquet(*runs) if runs else spark.createDataFrame([], REGISTRY_SCHEMA)
 
 
 def _has_runs(spark: SparkSession, table: str) -> bool:
     return any(p.rstrip("/").split("/")[-1].startswith("load_run=") for p in fs.list_dirs(spark, table))
 
 
-def write_layout(rows: DataFrame, path: str, mode: str = "errorifexists", partitions: int | None = None) -> None:
-    """L1: range-partition on ``(uf, key)``, sort, ``partitionBy('uf')``, bloom filter on the key.
+def _committed(spark: SparkSession, table: str) -> list[str]:
+    """Run folders whose write job committed: its marker is there."""
+    runs = [p for p in fs.list_dirs(spark, table) if p.rstrip("/").split("/")[-1].startswith("load_run=")]
+    return [p for p in runs if fs.exists(spark, f"{p}/_SUCCESS")]
+
+
+def _partitions(rows: int) -> int:
+    return max(1, -(-rows // ROWS_PER_PARTITION))
+
+
+def write_layout(rows: DataFrame, path: str, count: int, by: tuple[str, ...] = ("uf", C.KEY), partition_by: str | None = "uf") -> None:
+    """L1: range-partition and sort on ``by``, ``partitionBy('uf')``, bloom filter on the last column of ``by``.
 
     Range partitioning (sampled) keeps every task's key range contiguous and
-    splits a state holding a third of the rows over many tasks.
+    splits a state holding a third of the rows over many tasks. ``count`` (the number of rows) sets the
+    number of tasks and the size of the bloom filters.
     """
-    spark = rows.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (
-        rows.repartitionByRange(n, "uf", C.KEY)
-        .sortWithinPartitions("uf", C.KEY)
-        .write.mode(mode)
-        .options(**WRITE_OPTIONS)
-        .partitionBy("uf")
-        .parquet(path)
-    )
+    n = _partitions(count)
+    key = by[-1]
+    writer = rows.repartitionByRange(n, *by).sortWithinPartitions(*by).write.options(**{
+        f"parquet.bloom.filter.enabled#{key}": "true",
+        f"parquet.bloom.filter.expected.ndv#{key}": str(max(1, -(-count // n))),
+        "compression": "zstd",
+    })
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+
+
+def write_index(registry: DataFrame, path: str, column: str) -> DataFrame:
+    """L1: a second copy of the table sorted by another column (``municipio``, ``proprietario``), so that an
+    equality on it reads the row groups that hold the value and no others."""
+    rows = registry.drop("load_run")
+    write_layout(rows, path, rows.count(), by=(column,), partition_by=None)
+    return registry.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 SUMMARY_SCHEMA = (
@@ -107,8 +122,7 @@ def run_load(
     run_id = run_id or uuid.uuid4().hex[:12]
     work = scratch_path(spark, f"load-{run_id}")
 
-    typed = L.typed(staging)
-    typed.write.parquet(f"{work}/staged")
+    L.typed(staging).write.parquet(f"{work}/staged")
     staged = spark.read.parquet(f"{work}/staged")
 
     rejected = L.rejected_files(staged)
@@ -122,58 +136,26 @@ def run_load(
     inserted = new.count()
     if inserted:
         out = new.drop("file", "pos").withColumn("loaded_at", F.localtimestamp())
-        write_layout(out.select(*C.TABLE_COLUMNS, "loaded_at"), f"{table}/load_run={run_id}",
-                     partitions=max(1, -(-inserted // ROWS_PER_PARTITION)))
+        write_layout(out.select(*C.TABLE_COLUMNS, "loaded_at"), f"{table}/load_run={run_id}", inserted)
 
-    summary = _summary(staged, good, rejected, new, listed_files, run_id)
+    summary = L.load_summary(staged, good, rejected, new, listed_files).withColumn("run_id", F.lit(run_id))
     summary_path = f"{table}/{SUMMARY_DIR}/load_run={run_id}"
-    summary.coalesce(1).write.parquet(summary_path)
+    summary.write.parquet(summary_path)
+    fs.delete(spark, work)  # a copy of the whole input; nothing refers to it any more
     return LoadResult(run_id, inserted, spark.read.parquet(summary_path))
 
 
-def _summary(staged, good, rejected, new, listed_files, run_id: str) -> DataFrame:
-    """A5 per file from durable inputs: ``(file, code)`` counts of accepted rows, new codes
-    by first file, refused files with their reason, and header-only files as ``empty``."""
-    zero = [F.lit(0).cast("long").alias(c) for c in ["codigos_unicos", "novos", "ja_existiam", "linhas_inseridas"]]
-    stats = (
-        good.groupBy("file", C.KEY).agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("file").agg(F.sum("n").cast("long").alias("linhas_csv"), F.count(F.lit(1)).cast("long").alias("codigos_unicos"))
-    )
-    novos = new.groupBy("file").agg(F.count(F.lit(1)).cast("long").alias("novos"))
-    loaded = stats.join(novos, "file", "left").select(
-        "file", "linhas_csv", "codigos_unicos",
-        F.coalesce("novos", F.lit(0)).cast("long").alias("novos"),
-        (F.col("codigos_unicos") - F.coalesce("novos", F.lit(0))).cast("long").alias("ja_existiam"),
-        F.coalesce("novos", F.lit(0)).cast("long").alias("linhas_inseridas"),
-        F.lit("loaded").alias("status"), F.lit(None).cast("string").alias("reason"),
-    )
-    refused = staged.groupBy("file").agg(F.count(F.lit(1)).cast("long").alias("linhas_csv")).join(rejected, "file").select(
-        "file", "linhas_csv", *zero, F.lit("rejected").alias("status"), "reason",
-    )
-    summary = loaded.unionByName(refused)
-    if listed_files is not None:
-        empty = listed_files.select("file").distinct().join(staged.select("file").distinct(), "file", "left_anti").select(
-            "file", F.lit(0).cast("long").alias("linhas_csv"), *zero, F.lit("empty").alias("status"),
-            F.lit(None).cast("string").alias("reason"),
-        )
-        summary = summary.unionByName(empty)
-    return summary.withColumn("run_id", F.lit(run_id))
-
-
-def load_directory(
-    spark: SparkSession, directory: str, table: str, run_id: str | None = None, splittable: bool = False
-) -> LoadResult:
+def load_directory(spark: SparkSession, directory: str, table: str, run_id: str | None = None) -> LoadResult:
     """Load every ``*.csv`` of a landing directory into ``table`` (header-only files reported as ``empty``)."""
     from glebe.sources import landing
 
-    files = [p for p, _ in fs.list_files(spark, directory) if p.endswith(".csv")]  # metadata only
-    if not files:  # nothing landed: nothing to do (the run leaves no trace)
-        empty = spark.createDataFrame([], SUMMARY_SCHEMA)
-        return LoadResult(run_id or "none", 0, empty)
-    staging = landing.read_landing(spark, directory, splittable=splittable)
-    listing = landing.list_csv(spark, directory)
-    n_files = len(files)  # the bound for broadcasting per-file lists
-    return run_load(spark, staging, table, run_id=run_id, listed_files=listing, max_files=n_files)
+    if not fs.exists(spark, directory):
+        return LoadResult(run_id or "none", 0, spark.createDataFrame([], SUMMARY_SCHEMA))
+    listing = landing.list_csv(spark, directory).where(F.col("length") > 0)
+    n_files = listing.count()  # the bound for broadcasting per-file lists
+    if not n_files and not landing.unlisted_csv(spark, directory):  # nothing landed: the run leaves no trace
+        return LoadResult(run_id or "none", 0, spark.createDataFrame([], SUMMARY_SCHEMA))
+    return run_load(spark, landing.read_landing(spark, directory), table, run_id=run_id, listed_files=listing, max_files=n_files)
 
 
 def delete_rows(spark: SparkSession, table: str, predicate, new_table: str) -> DataFrame:
@@ -183,81 +165,32 @@ def delete_rows(spark: SparkSession, table: str, predicate, new_table: str) -> D
     if current is None:
         raise ValueError(f"no committed run under {table}")
     kept = L.delete_where(current, predicate)
-    write_layout(kept.drop("load_run"), f"{new_table}/load_run=rewrite")
+    write_layout(kept.drop("load_run"), f"{new_table}/load_run=rewrite", kept.count())
     return read_registry(spark, new_table)
 
 
-# --- bucketed catalog table (co-located anti-joins, bucket-pruned lookups) ------------------
+# --- catalog tables ---------------------------------------------------------------------------
 
 DDL_COLUMNS = (
-    "codigo_incra STRING NOT NULL, matricula STRING, municipio STRING, denominacao STRING, "
-    "proprietario STRING, pct_obtencao DECIMAL(12,4), loaded_at TIMESTAMP_NTZ, uf STRING"
+    "codigo_incra STRING, matricula STRING, municipio STRING, denominacao STRING, "
+    "proprietario STRING, pct_obtencao DECIMAL(12,4), loaded_at TIMESTAMP_NTZ, load_run STRING, uf STRING"
 )
 
 
-def create_bucketed(spark: SparkSession, name: str, path: str, buckets: int) -> None:
-    """K6/L1: ``CREATE TABLE IF NOT EXISTS`` the registry as an external Parquet table in the
-    shared folder, partitioned by ``uf`` and bucketed + sorted by the code.
-
-    A load's dedupe already hash-partitions the new rows by code; with the shuffle
-    partition count equal to ``buckets`` the anti-join reads the table without any
-    exchange, and an equality lookup reads one bucket file per state directory.
-    """
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({DDL_COLUMNS}) USING parquet PARTITIONED BY (uf) "
-        f"CLUSTERED BY ({C.KEY}) SORTED BY ({C.KEY}) INTO {buckets} BUCKETS LOCATION '{path}'"
-    )
-
-
-def _bucket_count(spark: SparkSession, name: str) -> int:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name") == "Num Buckets").collect()
-    return int(rows[0]["data_type"])
+def create_schema(spark: SparkSession, registry: str, location: str, states: str, states_location: str) -> None:
+    """K6/K5: ``CREATE TABLE IF NOT EXISTS`` the registry (the path layout of :func:`run_load` as an external
+    table) and the states dimension, which is seeded when empty. Call :func:`refresh_schema` after loads."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {registry} ({DDL_COLUMNS}) USING parquet PARTITIONED BY (load_run, uf) LOCATION '{location}'")
+    seed_if_empty(spark, states_dim(spark), states_location)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {states} (pos INT, uf STRING, name STRING, label STRING) USING parquet LOCATION '{states_location}'")
 
 
-def load_directory_bucketed(spark: SparkSession, directory: str, name: str, splittable: bool = False) -> LoadResult:
-    """:func:`load_directory` into a bucketed catalog table."""
-    from glebe.sources import landing
-
-    files = [p for p, _ in fs.list_files(spark, directory) if p.endswith(".csv")]  # metadata only
-    if not files:
-        return LoadResult("none", 0, spark.createDataFrame([], SUMMARY_SCHEMA))
-    staging = landing.read_landing(spark, directory, splittable=splittable)
-    return run_load_bucketed(spark, staging, name, max_files=len(files), listed_files=landing.list_csv(spark, directory))
-
-
-def run_load_bucketed(
-    spark: SparkSession, staging: DataFrame, name: str, max_files: int | None = None, listed_files: DataFrame | None = None
-) -> LoadResult:
-    """K2 into a bucketed catalog table: same semantics as :func:`run_load`, appended with
-    ``INSERT INTO`` (bucketed write); the summary goes under ``<location>/_load_summary``."""
-    run_id = uuid.uuid4().hex[:12]
-    work = scratch_path(spark, f"load-{run_id}")
-    buckets = _bucket_count(spark, name)
-    location = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name") == "Location").first()["data_type"]
-    previous = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(buckets))  # align the dedupe with the buckets
-    try:
-        L.typed(staging).write.parquet(f"{work}/staged")
-        staged = spark.read.parquet(f"{work}/staged")
-        rejected = L.rejected_files(staged)
-        good = L.drop_rejected(staged, rejected, max_files).drop("reason")
-        new = L.new_rows(L.first_per_key(good), spark.table(name).select(C.KEY))
-        new.write.parquet(f"{work}/new")
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", previous)
-    new = spark.read.parquet(f"{work}/new")
-    inserted = new.count()
-    if inserted:
-        out = new.withColumn("loaded_at", F.localtimestamp()).select(*C.DATA_COLUMNS, "loaded_at", "uf")
-        # one task per bucket (same Murmur3 hash as the bucket id): one file per bucket and state
-        out.repartition(buckets, C.KEY).write.insertInto(name)
-    summary = _summary(staged, good, rejected, new, listed_files, run_id)
-    summary_path = f"{location}/{SUMMARY_DIR}/load_run={run_id}"
-    summary.coalesce(1).write.parquet(summary_path)
-    return LoadResult(run_id, inserted, spark.read.parquet(summary_path))
+def refresh_schema(spark: SparkSession, registry: str) -> None:
+    """Make the runs that were published since visible in the catalog."""
+    spark.catalog.recoverPartitions(registry)
 
 
-def compact(spark: SparkSession, table: str, new_table: str, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
+def compact(spark: SparkSession, table: str, new_table: str) -> DataFrame:
     """Rewrite every committed run of ``table`` as one run of ``new_table`` (same layout:
     range-partitioned on ``(uf, code)``, sorted, bloom filter). Incremental loads and
     stream micro-batches each add a run; compaction keeps listing and footer reads flat.
@@ -265,9 +198,7 @@ def compact(spark: SparkSession, table: str, new_table: str, rows_per_partition:
     current = read_registry(spark, table)
     if current is None:
         raise ValueError(f"no committed run under {table}")
-    n = current.count()
-    write_layout(current.drop("load_run"), f"{new_table}/load_run=compacted",
-                 partitions=max(1, -(-n // rows_per_partition)))
+    write_layout(current.drop("load_run"), f"{new_table}/load_run=compacted", current.count())
     return read_registry(spark, new_table)
 
 

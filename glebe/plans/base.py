@@ -35,7 +35,7 @@ MAX_FILES = 2 * len(STATE_LABELS)
 _HANDLES: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
 
 
-def _memo(spark: SparkSession, key: tuple, build):
+def memo(spark: SparkSession, key: tuple, build):
     per_session = _HANDLES.setdefault(spark, {})
     if key not in per_session:
         per_session[key] = build()
@@ -43,7 +43,7 @@ def _memo(spark: SparkSession, key: tuple, build):
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return _memo(spark, ("table", sf_dir, name), lambda: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return memo(spark, ("table", sf_dir, name), lambda: spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _cpf_like(custkey) -> F.Column:
@@ -56,7 +56,7 @@ def _cpf_like(custkey) -> F.Column:
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``codigo_incra, matricula, row_pos, municipio, denominacao, proprietario, pct_obtencao,
     uf_key, landed_on, region, priority, uf, file`` — one row per order."""
-    return _memo(spark, ("base", sf_dir), lambda: _build_base(spark, sf_dir))
+    return memo(spark, ("base", sf_dir), lambda: _build_base(spark, sf_dir))
 
 
 def _build_base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +97,7 @@ def _build_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 def base_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``base`` with rule-injected faults: over-long ``matricula`` on urgent orders of one region,
     lower-case (unknown) state prefix in the file names of another region."""
-    return _memo(spark, ("faulty", sf_dir), lambda: _build_faulty(spark, sf_dir))
+    return memo(spark, ("faulty", sf_dir), lambda: _build_faulty(spark, sf_dir))
 
 
 def _build_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from glebe.functions import constants as C
 from glebe.functions import text as T
-from glebe.functions.fold import safe_filename
+from glebe.functions.fold import with_safe_filename
 from glebe.functions.owners import explode_owners, owner_parts, with_owners
 from glebe.operators import load as L
 from glebe.operators import lookup as LK
@@ -23,7 +23,7 @@ from glebe.operators import quality as Q
 from glebe.operators import registry as R
 from glebe.plans import base as B
 from glebe.plans import inputs as I
-from glebe.session import scratch_path
+from glebe.session import scratch_path, staged
 from glebe.sources import landing
 from glebe.sources.states import states_dim
 from glebe.streaming import ingest
@@ -31,6 +31,7 @@ from glebe.streaming import ingest
 Query = Callable[[SparkSession, str], DataFrame]
 STAGING_COLUMNS = ["file", "pos", *C.DATA_COLUMNS, "uf"]
 POINT_KEY = "00000000001"
+MUNICIPIO = "NATION_2"
 
 
 def _staging(spark, sf):
@@ -45,7 +46,12 @@ def _prior_keys(spark, sf):
 
 def csv_scan(spark, sf):
     d = I.land_base(spark, sf)
-    return landing.read_landing(spark, d).select("file", *C.DATA_COLUMNS, "uf")
+    return landing.with_row_number(landing.read_landing(spark, d)).select("file", "row_no", *C.DATA_COLUMNS, "uf")
+
+
+def file_refusals(spark, sf):
+    table = scratch_path(spark, "refusals")
+    return R.load_directory(spark, I.land_faulty(spark, sf), table).summary.select("file", "status", "reason")
 
 
 def csv_header_binding(spark, sf):
@@ -137,8 +143,8 @@ def delete_by_pattern(spark, sf):
 
 
 def drop_column_if_exists(spark, sf):
-    s = _staging(spark, sf).withColumn("source_file", F.col("file"))
-    return L.drop_column_if_exists(L.drop_column_if_exists(s, "source_file"), "source_file")
+    written = staged(_staging(spark, sf).withColumn("source_file", F.col("file")), "with-column")
+    return L.drop_column_if_exists(L.drop_column_if_exists(written, "source_file"), "source_file")
 
 
 def _faulty(spark, sf):
@@ -146,7 +152,11 @@ def _faulty(spark, sf):
 
 
 def load_summary(spark, sf):
-    return L.load_summary(_faulty(spark, sf), _prior_keys(spark, sf), max_files=B.MAX_FILES)
+    # the load job itself, into a table that holds the prior wave
+    table = scratch_path(spark, "summary")
+    R.run_load(spark, B.staging_from_base(B.prior_wave(B.base(spark, sf))), table, max_files=B.MAX_FILES)
+    summary = R.run_load(spark, _faulty(spark, sf), table, max_files=B.MAX_FILES).summary
+    return summary.where(F.col("status") == "loaded").drop("reason", "run_id")
 
 
 def run_summary(spark, sf):
@@ -165,6 +175,12 @@ def duplicate_keys(spark, sf):
     return L.duplicate_keys(B.read_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+def duplicate_state_names(spark, sf):
+    # the states dimension holds no name twice; the nations of the customers' states do
+    named = I.customer_geo(spark, sf).select(F.col("n_name").alias("name"), "c_mktsegment").distinct()
+    return L.duplicate_state_names(named)
+
+
 def deletable_states(spark, sf):
     return L.deletable_states(spark, I.registry(spark, sf)).select("pos", "uf", "name", "label")
 
@@ -180,7 +196,7 @@ def count_distinct_codes(spark, sf):
 
 
 def quality_report(spark, sf):
-    return Q.quality_report(I.registry(spark, sf))
+    return Q.quality_report(I.table_with_duplicates(spark, sf))
 
 
 # --- scalar functions -------------------------------------------------------------------------
@@ -200,7 +216,7 @@ def clean_pct(spark, sf):
 
 
 def cpf_extract(spark, sf):
-    # raw tax numbers never leave the engine: the extracted digits are compared by digest
+    # a digest for comparing results, not a protection: eleven digits can be enumerated
     r = I.registry(spark, sf)
     return r.select(C.KEY, F.sha2(T.cpf_extract("proprietario"), 256).alias("cpf_sha256"))
 
@@ -255,8 +271,8 @@ def status_default(spark, sf):
 
 def safe_filename_q(spark, sf):
     g = I.customer_geo(spark, sf)
-    label = F.concat(F.col("label"), F.lit(" "), F.col("n_name"))
-    return g.select("c_custkey", safe_filename(label).alias("file_stem"))
+    labelled = g.select("c_custkey", F.concat(F.col("label"), F.lit(" "), F.col("n_name")).alias("label"))
+    return with_safe_filename(labelled, "label", "file_stem").select("c_custkey", "file_stem")
 
 
 # --- lookups -----------------------------------------------------------------------------------
@@ -279,13 +295,15 @@ def record_lookup_flat(spark, sf):
 
 
 def layout_pruned_lookup(spark, sf):
-    path = scratch_path(spark, "layout")
-    R.write_layout(I.registry(spark, sf), path)
-    table = spark.read.parquet(path)
-    recs = LK.batch_lookup(table, I.lookup_keys(spark, sf))
+    recs = LK.batch_lookup(I.registry(spark, sf), I.lookup_keys(spark, sf))
     return recs.select("requested", "outcome", C.KEY, "area_ha", "situacao")
 
 
+def lookup_by_municipio(spark, sf):
+    index = R.write_index(I.registry(spark, sf), scratch_path(spark, "by-municipio"), "municipio")
+    return LK.lookup_by(index, "municipio", MUNICIPIO)
+
+
 def record_json(spark, sf):
     recs = LK.shape_record(I.registry(spark, sf))
     return LK.record_json(recs)
@@ -335,12 +353,26 @@ def tiered_match(spark, sf):
     return P.tiered_match(wanted, I.match_options(spark, sf))
 
 
+def candidate_match(spark, sf):
+    opt = F.when(F.col("pos") % 2 == 0, F.lower("uf")).otherwise(F.lit(I.CANDIDATE_SEGMENT))
+    return P.candidate_match(states_dim(spark).select("uf", opt.alias("opt_value")), I.match_options(spark, sf))
+
+
+def live_state_list(spark, sf):
+    options = I.portal_options(spark, sf)
+    shouted = options.withColumn("text", F.when(F.col("ord") % 2 == 0, F.upper("text")).otherwise(F.col("text")))
+    return P.selectable_options(shouted, ignore_case=True).select("ord", T.uf_from_label("text").alias("uf"))
+
+
 def checkpoint_state(spark, sf):
+    """Load a saved checkpoint, drop entries whose file is missing or empty, save it again, and list what is left to do."""
     status = P.retry_status(I.attempts(spark, sf), I.MAX_ROUNDS)
+    done = status.where(F.col("status") == "done").select("state", F.concat(F.col("state").cast("string"), F.lit(".csv")).alias("file_name"))
     path = scratch_path(spark, "checkpoint")
-    P.save_checkpoint(status.where(F.col("status") == "done"), path)
-    tasks = I.attempts(spark, sf).select("state").distinct()
-    return P.pending_tasks(tasks, P.load_checkpoint(spark, path))
+    P.save_checkpoint(done.withColumn("state", F.col("state").cast("string")), path)
+    completed = P.resume(spark, path, I.output_files(spark, sf), scratch_path(spark, "checkpoint"))
+    tasks = I.attempts(spark, sf).select(F.col("state").cast("string").alias("state")).distinct()
+    return P.pending_tasks(tasks, completed).select(F.col("state").cast("long").alias("state"))
 
 
 def retry_status(spark, sf):
@@ -364,13 +396,14 @@ def stream_dedupe(spark, sf):
     sink, ck = scratch_path(spark, "dedupe-sink"), scratch_path(spark, "dedupe-ck")
     landing.land_csv(spark, w1, d)
     ingest.stream_dedupe(spark, d, sink, ck).awaitTermination()
-    landing.land_csv(spark, w2, d)
+    landing.land_csv(spark, w2, d, columns=list(reversed(C.DATA_COLUMNS)))  # another header, the same codes
     ingest.stream_dedupe(spark, d, sink, ck).awaitTermination()
-    return spark.read.parquet(sink).select(C.KEY)
+    return spark.read.parquet(sink).where(F.col("refused_file").isNull()).select(C.KEY)
 
 
 QUERIES: dict[str, Query] = {
     "csv_scan": csv_scan,
+    "file_refusals": file_refusals,
     "csv_header_binding": csv_header_binding,
     "uf_from_filename": uf_from_filename,
     "file_manifest": file_manifest,
@@ -389,6 +422,7 @@ QUERIES: dict[str, Query] = {
     "file_quarantine": file_quarantine,
     "fk_violations": fk_violations,
     "duplicate_keys": duplicate_keys,
+    "duplicate_state_names": duplicate_state_names,
     "deletable_states": deletable_states,
     "count_by_uf": count_by_uf,
     "count_distinct_codes": count_distinct_codes,
@@ -410,6 +444,7 @@ QUERIES: dict[str, Query] = {
     "point_lookup": point_lookup,
     "record_lookup_flat": record_lookup_flat,
     "layout_pruned_lookup": layout_pruned_lookup,
+    "lookup_by_municipio": lookup_by_municipio,
     "record_json": record_json,
     "contract_violations": contract_violations,
     "state_selection": state_selection,
@@ -417,6 +452,8 @@ QUERIES: dict[str, Query] = {
     "numeric_selection": numeric_selection,
     "label_lookup_default": label_lookup_default,
     "tiered_match": tiered_match,
+    "candidate_match": candidate_match,
+    "live_state_list": live_state_list,
     "checkpoint_state": checkpoint_state,
     "retry_status": retry_status,
     "stream_insert_only": stream_insert_only,

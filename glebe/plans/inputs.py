@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from glebe.functions import constants as C
 from glebe.operators import load as L
+from glebe.operators import registry as R
 from glebe.plans import base as B
 from glebe.sources import fs, landing
 from glebe.sources.states import states_dim
@@ -24,13 +25,30 @@ NO_MATRICULA_REGION = "MIDDLE EAST"
 HEADER_ONLY_FILE = "SP_land.csv"
 ZERO_BYTE_FILE = "TO_land.csv"
 SUCCESS_EVENT = "purchase"
+DUPLICATE_EVERY = 97
+DUPLICATE_STATE = "SP"
+# Wanted options of the candidate match: the exact value of these segments, a value nobody has for the others.
+CANDIDATE_SEGMENT = "BUILDING"
 MAX_ROUNDS = 3
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The registry after loading ``base`` into an empty table (table columns only)."""
-    stg = B.staging_from_base(B.base(spark, sf_dir))
-    return L.insert_only(stg, None, B.MAX_FILES).select(*C.TABLE_COLUMNS)
+    """The registry after loading ``base`` into an empty table: published once per session and input folder by the
+    load job, then read as a table (sorted layout, pushed filters)."""
+    return B.memo(spark, ("registry", sf_dir), lambda: _publish(spark, B.staging_from_base(B.base(spark, sf_dir)))).select(*C.TABLE_COLUMNS)
+
+
+def _publish(spark: SparkSession, staging: DataFrame) -> DataFrame:
+    table = scratch_path(spark, "registry")
+    R.run_load(spark, staging, table, max_files=B.MAX_FILES)
+    return R.read_registry(spark, table)
+
+
+def table_with_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that breaks its key: every landed row typed, and every DUPLICATE_EVERY-th row in a second state too."""
+    rows = L.typed(B.staging_from_base(B.base(spark, sf_dir)))
+    again = rows.where(F.col("pos") % DUPLICATE_EVERY == 0).withColumn("uf", F.lit(DUPLICATE_STATE))
+    return rows.unionByName(again).select(*C.TABLE_COLUMNS)
 
 
 def lookup_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,13 +103,25 @@ def selected_codes(spark: SparkSession, sf_dir: str, region: str = "AMERICA") ->
 
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Acquisition attempts: state = ``user_id``, attempt time = ``ts``, success on purchases."""
+    """Acquisition attempts: state = ``user_id``, attempt time = ``ts``, success on purchases.
+
+    ``size`` is the output file's: 0 below a value of 1, else a header line and the value; ``records`` may be 0."""
     e = B.read_table(spark, sf_dir, "events")
     return e.select(
         F.col("user_id").alias("state"),
         "ts",
         (F.col("event_type") == SUCCESS_EVENT).alias("success"),
-        F.col("value").alias("records"),
+        F.floor("value").cast("long").alias("records"),
+        F.when(F.col("value") < 1, F.lit(0.0)).otherwise(F.col("value") + 72).alias("size"),
+    )
+
+
+def output_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing ``(file_name, length)`` of the states' output files: every seventh is gone, every fifth is empty."""
+    states = B.read_table(spark, sf_dir, "events").select(F.col("user_id").alias("state")).distinct()
+    return states.where(F.col("state") % 7 != 0).select(
+        F.concat(F.col("state").cast("string"), F.lit(".csv")).alias("file_name"),
+        F.when(F.col("state") % 5 == 0, F.lit(0)).otherwise(F.lit(100)).cast("long").alias("length"),
     )
 
 
@@ -105,15 +135,10 @@ def land_base(spark: SparkSession, sf_dir: str, mixed_headers: bool = False, ext
     b = B.base(spark, sf_dir)
     stg = b.select("file", F.col("row_pos").alias("pos"), *C.DATA_COLUMNS, "uf", "region")
     if mixed_headers:
-        rev = list(reversed(C.DATA_COLUMNS))
-        no_m = [c for c in C.DATA_COLUMNS if c != "matricula"]
         plain = stg.where(~F.col("region").isin(REVERSED_REGION, NO_MATRICULA_REGION))
-        landing.land_csv(spark, plain, directory + "/_a")
-        landing.land_csv(spark, stg.where(F.col("region") == REVERSED_REGION), directory + "/_b", columns=rev)
-        landing.land_csv(spark, stg.where(F.col("region") == NO_MATRICULA_REGION), directory + "/_c", columns=no_m)
-        for sub in ["_a", "_b", "_c"]:
-            for path, _ in fs.list_files(spark, f"{directory}/{sub}"):
-                fs.rename(spark, path, f"{directory}/{path.rsplit('/', 1)[-1]}")
+        landing.land_csv(spark, plain, directory)
+        landing.land_csv(spark, stg.where(F.col("region") == REVERSED_REGION), directory, columns=list(reversed(C.DATA_COLUMNS)))
+        landing.land_csv(spark, stg.where(F.col("region") == NO_MATRICULA_REGION), directory, columns=[c for c in C.DATA_COLUMNS if c != "matricula"])
     else:
         landing.land_csv(spark, stg, directory)
     if extra_files:
@@ -122,6 +147,26 @@ def land_base(spark: SparkSession, sf_dir: str, mixed_headers: bool = False, ext
     return directory
 
 
+# Files landed beside ``base`` for :func:`land_faulty`: name → (content, reason; None when the file is loaded).
+HEADER = ";".join(C.DATA_COLUMNS)
+FAULTY_FILES: dict[str, tuple[bytes, str | None]] = {
+    "RR_cr.csv": ((HEADER + "\rRR.1;M;C;D;Zita;1\rRR.2;M;C;D;Zita;2\r").encode(), None),
+    "TO_latin1.csv": (HEADER.encode() + "\nTO.1;M;São Tomé;D;Ícaro;1\n".encode("latin-1"), "invalid_utf8"),
+    "TO_quote.csv": (HEADER.encode() + b'\nTO.2;"M;C;D;Zita;1\nTO.3;M;C;D;Zita;1\n', "unbalanced_quote"),
+    "TO_long.csv": (HEADER.encode() + b'\nTO.4;M\nTO.5;"' + b"x" * 1_000_000 + b'"\n', "field_too_long"),
+    "TO_break.csv": (HEADER.encode() + b'\nTO.6;M;"two\nlines";D;Zita;1\n', None),
+    "_hidden.csv": (HEADER.encode() + b"\nTO.7;M;C;D;Zita;1\n", "unlisted_name"),
+}
+
+
+def land_faulty(spark: SparkSession, sf_dir: str) -> str:
+    """``base`` landed, with :data:`FAULTY_FILES` beside it."""
+    directory = land_base(spark, sf_dir)
+    for name, (content, _) in FAULTY_FILES.items():
+        fs.write_small_file(spark, f"{directory}/{name}", content)
+    return directory
+
+
 def land_waves(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, DataFrame]:
     """Two landing waves of ``base`` (before / from the cutoff) as ``<UF>_w1.csv`` / ``<UF>_w2.csv``."""
     b = B.base(spark, sf_dir)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from glebe.functions import constants as C
 from glebe.plans import base as B
 from glebe.plans import inputs as I
-from glebe.plans.catalog import POINT_KEY
+from glebe.plans.catalog import MUNICIPIO, POINT_KEY
 from glebe.plans.oracle_base import PCT_SQL, with_base, with_registry
 
 CPF = C.CPF_PATTERN
@@ -83,7 +83,7 @@ rejected AS (SELECT file, arg_min(reason, row_pos) AS reason, count(*) AS bad_ro
 good AS (SELECT * FROM fr WHERE file NOT IN (SELECT file FROM rejected))"""
 
 ATTEMPT_CTES = f""",
-a AS (SELECT user_id AS state, ts, (event_type = '{I.SUCCESS_EVENT}' AND value > 0) AS ok FROM events),
+a AS (SELECT user_id AS state, ts, (event_type = '{I.SUCCESS_EVENT}' AND CASE WHEN value < 1 THEN 0 ELSE value + 72 END > 0) AS ok FROM events),
 f AS (SELECT state, min(ts) FILTER (WHERE ok) AS first_ok, count(*) AS attempts FROM a GROUP BY state),
 u AS (SELECT a.state, count(*) AS n, any_value(f.first_ok) AS first_ok, any_value(f.attempts) AS attempts
       FROM a JOIN f USING (state) WHERE f.first_ok IS NULL OR a.ts <= f.first_ok GROUP BY a.state),
@@ -110,7 +110,15 @@ def _w(ctes: str, select: str) -> str:
 
 SQL: dict[str, str] = {
     "csv_scan": with_base(
-        "SELECT file, codigo_incra, matricula, municipio, denominacao, proprietario, pct_obtencao, uf FROM base"
+        "SELECT file, row_number() OVER (PARTITION BY file ORDER BY row_pos) AS row_no, codigo_incra, matricula, municipio, "
+        "denominacao, proprietario, pct_obtencao, uf FROM base"
+    ),
+    "file_refusals": with_base(
+        "SELECT DISTINCT file, 'loaded' AS status, CAST(NULL AS VARCHAR) AS reason FROM base"
+        + "".join(
+            f" UNION ALL SELECT '{name}', '{'rejected' if reason else 'loaded'}', {repr(reason) if reason else 'NULL'}"
+            for name, (_, reason) in I.FAULTY_FILES.items()
+        )
     ),
     "csv_header_binding": with_base(
         f"SELECT file, codigo_incra, CASE WHEN region = '{I.NO_MATRICULA_REGION}' THEN NULL ELSE matricula END AS matricula, "
@@ -170,27 +178,30 @@ FROM stats s LEFT JOIN novos n USING (file)""",
     "run_summary": with_base("")[:-1] + FAULT_CTES + """,
 manifest AS (SELECT DISTINCT file,
                     CASE WHEN file IN (SELECT file FROM rejected) THEN 'rejected' ELSE 'loaded' END AS status FROM fr)
-SELECT status, count(*) AS files, string_agg(file, ',' ORDER BY file) AS file_names FROM manifest GROUP BY status""",
+SELECT status, count(*) AS files, CAST(NULL AS VARCHAR) AS file, CAST(NULL AS VARCHAR) AS reason FROM manifest GROUP BY status
+UNION ALL SELECT 'rejected', CAST(1 AS BIGINT), file, reason FROM rejected""",
     "file_quarantine": with_base("")[:-1] + FAULT_CTES + "\nSELECT file, reason, bad_rows FROM rejected",
     "fk_violations": with_base(
         "SELECT file, row_pos AS pos, uf FROM faulty WHERE uf IS NOT NULL AND uf NOT IN (SELECT uf FROM states)"
     ),
     "duplicate_keys": """SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+    "duplicate_state_names": with_base("")[:-1] + GEO_CTE + """
+SELECT name, count(*) AS n FROM (SELECT DISTINCT n_name AS name, c_mktsegment FROM cg) x GROUP BY name HAVING count(*) > 1""",
     "deletable_states": _w("", "SELECT pos, uf, name, label FROM states WHERE uf NOT IN (SELECT uf FROM registry WHERE uf IS NOT NULL)"),
     "count_by_uf": _w("", "SELECT uf, count(*) AS total FROM registry GROUP BY uf"),
     "count_distinct_codes": with_base("SELECT count(DISTINCT codigo_incra) AS codigos_unicos FROM base"),
-    "quality_report": _w(
-        """,
-dup AS (SELECT uf, codigo_incra FROM registry GROUP BY uf, codigo_incra HAVING count(*) > 1)""",
-        """SELECT uf, count(*) AS total,
+    "quality_report": with_base("")[:-1] + f""",
+landed AS (SELECT codigo_incra, denominacao, proprietario, {PCT_SQL} AS pct_obtencao, uf, row_pos FROM base),
+fact AS (SELECT * FROM landed UNION ALL SELECT * REPLACE ('{I.DUPLICATE_STATE}' AS uf) FROM landed WHERE row_pos % {I.DUPLICATE_EVERY} = 0),
+dup AS (SELECT codigo_incra FROM fact GROUP BY codigo_incra HAVING count(*) > 1)
+SELECT uf, count(*) AS total,
        count(*) FILTER (WHERE codigo_incra IS NULL) AS null_codes,
        count(*) FILTER (WHERE pct_obtencao IS NULL) AS null_pct,
        count(*) FILTER (WHERE proprietario IS NULL OR proprietario = '') AS no_owner,
        count(*) FILTER (WHERE denominacao IS NULL OR denominacao = '') AS no_status,
-       (SELECT count(*) FROM dup WHERE dup.uf IS NOT DISTINCT FROM registry.uf) AS duplicated_codes
-FROM registry GROUP BY uf""",
-    ),
+       count(DISTINCT codigo_incra) FILTER (WHERE codigo_incra IN (SELECT codigo_incra FROM dup)) AS duplicated_codes
+FROM fact GROUP BY uf""",
     "clean_pct": with_base(
         """SELECT row_pos, CAST(variant AS INTEGER) AS variant, text,
        CASE WHEN TRY_CAST(replace(trim(text), ',', '.') AS DECIMAL(12,4)) >= 0
@@ -228,6 +239,9 @@ SELECT c_custkey, trim(regexp_replace(strip_accents(label || ' ' || n_name), '[^
         "SELECT lk.*, oc.n_owners FROM lk LEFT JOIN oc USING (codigo_incra)",
     ),
     "layout_pruned_lookup": _w(KEYS_CTES, "SELECT requested, outcome, codigo_incra, area_ha, situacao FROM lk"),
+    "lookup_by_municipio": _w(
+        "", f"SELECT codigo_incra, pct_obtencao, denominacao, proprietario, municipio FROM registry WHERE municipio = '{MUNICIPIO}'"
+    ),
     "record_json": _w(
         OWNERS_CTES + """,
 ol AS (SELECT codigo_incra,
@@ -289,8 +303,21 @@ m AS (SELECT w.uf, 0 AS tier, o.ord, o.value FROM states w JOIN opts o
       UNION ALL SELECT w.uf, 2, o.ord, o.value FROM states w JOIN opts o
         ON strip_accents(upper(trim(o.text))) = strip_accents(upper(trim(w.label))))
 SELECT DISTINCT ON (uf) uf, tier, ord, value FROM m ORDER BY uf, tier, ord""",
+    "candidate_match": with_base("")[:-1] + GEO_CTE + f""",
+opts AS (SELECT c_custkey AS ord, CASE WHEN c_acctbal < 0 THEN lower(uf) ELSE c_mktsegment END AS value FROM cg),
+w AS (SELECT uf, CASE WHEN pos % 2 = 0 THEN lower(uf) ELSE '{I.CANDIDATE_SEGMENT}' END AS opt_value FROM states),
+m AS (SELECT w.uf, 0 AS tier, o.ord, o.value FROM w JOIN opts o ON o.value = w.opt_value
+      UNION ALL SELECT w.uf, 1, o.ord, o.value FROM w JOIN opts o ON o.value = w.uf)
+SELECT DISTINCT ON (uf) uf, tier, ord, value FROM m ORDER BY uf, tier, ord""",
+    "live_state_list": with_base("")[:-1] + GEO_CTE + """,
+opts AS (SELECT c_custkey AS ord,
+                CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'Selecione o estado' ELSE uf || ' - ' || n_name END AS text,
+                CASE WHEN c_mktsegment = 'MACHINERY' THEN '' ELSE lower(uf) END AS value FROM cg),
+live AS (SELECT ord, CASE WHEN ord % 2 = 0 THEN upper(text) ELSE text END AS text, value FROM opts)
+SELECT ord, upper(trim(split_part(text, ' - ', 1))) AS uf FROM live
+WHERE value IS NOT NULL AND value <> '' AND text IS NOT NULL AND NOT contains(lower(text), 'selecione') AND text <> ''""",
     "checkpoint_state": "WITH " + ATTEMPT_CTES.lstrip(",\n") + """
-SELECT DISTINCT state FROM a WHERE state NOT IN (SELECT state FROM st WHERE status = 'done')""",
+SELECT DISTINCT state FROM a WHERE state NOT IN (SELECT state FROM st WHERE status = 'done' AND state % 7 <> 0 AND state % 5 <> 0)""",
     "retry_status": "WITH " + ATTEMPT_CTES.lstrip(",\n") + "\nSELECT * FROM st",
     "stream_insert_only": with_base(
         f"""SELECT codigo_incra, matricula, municipio, denominacao, proprietario, pct_obtencao, uf FROM (

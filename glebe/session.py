@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -48,7 +48,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="glebe-ckpt-")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="glebe-ckpt-")  # one machine: tests and the bench
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")
 
@@ -56,3 +58,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh, never-reused directory under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/glebe/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written once to a fresh scratch folder and read back: plans that use it twice compute it once."""
+    path = scratch_path(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,14 +1,12 @@
 """Thin Hadoop FileSystem access from the driver, for metadata only.
 
-Used to rename files Spark wrote (Spark cannot name its output files) and to
-list a directory including zero-byte files. Never reads or writes row data.
+Used to list what Spark's own listing leaves out (zero-byte files, hidden names)
+and to remove scratch folders. Never reads or writes row data.
 Works on any Hadoop-compatible store the session is configured for.
 """
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import SparkSession
 
 
@@ -39,18 +37,16 @@ def mkdirs(spark: SparkSession, directory: str) -> None:
     fs.mkdirs(p)
 
 
-def rename(spark: SparkSession, src: str, dst: str) -> bool:
-    s, fs = _fs(spark, src)
-    d = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst)
-    return bool(fs.rename(s, d))
-
-
 def write_small_text(spark: SparkSession, path: str, text: str) -> None:
     """Create a small file (a header line, a marker); not for data."""
+    write_small_file(spark, path, text.encode("utf-8"))
+
+
+def write_small_file(spark: SparkSession, path: str, content: bytes) -> None:
     p, fs = _fs(spark, path)
     out = fs.create(p, False)
     try:
-        out.write(bytearray(text.encode("utf-8")))
+        out.write(bytearray(content))
     finally:
         out.close()
 
@@ -60,23 +56,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def publish_partition_files(spark: SparkSession, written_dir: str, column: str, target_dir: str, suffix: str) -> int:
-    """Move ``written_dir/<column>=<value>/part-*<suffix>`` to ``target_dir/<value>``.
-
-    Each partition directory must hold exactly one part file (write after
-    ``repartition(column)``). Returns the number of files moved.
-    """
-    moved = 0
-    mkdirs(spark, target_dir)
-    p, fs = _fs(spark, written_dir)
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if not st.isDirectory() or not name.startswith(column + "="):
-            continue
-        value = unquote(name[len(column) + 1:])
-        parts = [f for f in fs.listStatus(st.getPath()) if f.getPath().getName().endswith(suffix)]
-        if len(parts) != 1:
-            raise RuntimeError(f"expected one part file under {name}, found {len(parts)}")
-        rename(spark, parts[0].getPath().toString(), f"{target_dir}/{value}")
-        moved += 1
-    return moved
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as Spark's file sources show it."""
+    p, fs = _fs(spark, path)
+    return fs.makeQualified(p).toString()
+
+
+def glob_files(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths of the files that match a glob pattern (Spark's own listing hides some names)."""
+    p, fs = _fs(spark, pattern)
+    return [st.getPath().toString() for st in (fs.globStatus(p) or []) if st.isFile()]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this session wrote (scratch of a finished load)."""
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)

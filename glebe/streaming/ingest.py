@@ -18,44 +18,26 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from glebe.functions import constants as C
 from glebe.operators import registry as R
 from glebe.sources import landing
 
-STREAM_WIDTH = len(C.DATA_COLUMNS)
+# Files of one micro-batch at most; the stream takes all files, oldest first. Bounds the path list of a batch.
+MAX_FILES_PER_BATCH = 1_000
 
 
-def _positional_stream(spark: SparkSession, directory: str, max_files: int | None) -> DataFrame:
-    cols = [f"c{i}" for i in range(STREAM_WIDTH)]
-    schema = StructType([StructField(c, StringType()) for c in cols] + [StructField("_corrupt", StringType())])
-    reader = spark.readStream.schema(schema).options(header="true", pathGlobFilter="*.csv", **landing.CSV_OPTIONS)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.csv(directory)
-
-
-def _file_stream(spark: SparkSession, directory: str, max_files: int | None) -> DataFrame:
+def _file_stream(spark: SparkSession, directory: str, max_files: int) -> DataFrame:
     """New ``*.csv`` files of the directory, one row per file: only path metadata is read
     (the binary content column is never selected, so the stream does not load the files)."""
     schema = "path string, modificationTime timestamp, length long, content binary"  # the binaryFile schema
-    reader = spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", "*.csv")
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.load(directory).select(
-        F.col("_metadata.file_path").alias("fkey"),
-        F.element_at(F.split("path", "/"), -1).alias("file"),
-        "length",
-    )
+    reader = spark.readStream.format("binaryFile").schema(schema).options(**landing.LIST_OPTIONS)
+    found = reader.option("maxFilesPerTrigger", str(max_files)).load(directory)
+    return found.select(F.col("_metadata.file_path").alias("fkey"), "path", "length", F.col("modificationTime").alias("landed_at"))
 
 
-def stream_insert_only(
-    spark: SparkSession, directory: str, table: str, checkpoint: str, max_files: int | None = None,
-    bucketed: bool = False,
-):
-    """Start an ``availableNow`` stream that loads new landing files into ``table``
-    (a path-layout table, or with ``bucketed=True`` the name of a bucketed catalog table).
+def stream_insert_only(spark: SparkSession, directory: str, table: str, checkpoint: str, max_files: int = MAX_FILES_PER_BATCH):
+    """Start an ``availableNow`` stream that loads new landing files into ``table``.
 
     The stream tracks *files* (its checkpoint records which were taken); each
     micro-batch runs the batch reader and load on exactly its files, so header
@@ -64,15 +46,10 @@ def stream_insert_only(
     """
 
     def load_batch(files: DataFrame, epoch: int) -> None:
-        listing = files.where(F.col("length") > 0).checkpoint(eager=True)  # one row per new file
+        listing = landing.named(files.where(F.col("length") > 0)).checkpoint(eager=True)  # one row per new file
         n_files = listing.count()
-        if not n_files:
-            return
-        staged = landing.read_files(spark, listing)
-        if bucketed:
-            R.run_load_bucketed(spark, staged, table, max_files=n_files)
-        else:
-            R.run_load(spark, staged, table, run_id=f"e{epoch:06d}-{uuid.uuid4().hex[:6]}",
+        if n_files:
+            R.run_load(spark, landing.read_files(spark, listing), table, run_id=f"e{epoch:06d}-{uuid.uuid4().hex[:6]}",
                        listed_files=listing, max_files=n_files)
 
     return (
@@ -84,27 +61,24 @@ def stream_insert_only(
 
 
 def stream_dedupe(
-    spark: SparkSession, directory: str, sink: str, checkpoint: str, max_files: int | None = None,
-    within: str | None = None,
+    spark: SparkSession, directory: str, sink: str, checkpoint: str, max_files: int = MAX_FILES_PER_BATCH, within: str | None = None,
 ):
     """Append each code the first time the stream sees it (state-only dedupe).
 
+    Every new file is bound by its own header (any column order, missing columns NULL); a file that cannot be
+    read, or whose header the table would refuse, gives one row with no code and its name and reason in
+    ``refused_file`` and ``file_reason``. A file is read by one task.
+
     Without ``within`` the state keeps every code ever seen (exact, unbounded). With
     ``within`` (e.g. ``"2 hours"``) the file's modification time is the event time and
     ``dropDuplicatesWithinWatermark`` forgets a code once the watermark passes it, so
     state stays bounded; repeats further apart than ``within`` are emitted again.
     """
-    cols = [f"c{i}" for i in range(STREAM_WIDTH)]
-    src = _positional_stream(spark, directory, max_files)
-    # canonical column order for this form; mixed headers go through stream_insert_only
-    keyed = src.select(
-        *[F.coalesce(F.col(c), F.lit("")).alias(n) for c, n in zip(cols, C.DATA_COLUMNS)],
-        F.col("_metadata.file_modification_time").alias("landed_at"),
-    )
-    if within:
-        deduped = keyed.withWatermark("landed_at", within).dropDuplicatesWithinWatermark([C.KEY])
-    else:
-        deduped = keyed.dropDuplicates([C.KEY])
+    files = _file_stream(spark, directory, max_files).where(F.col("length") > 0).select("fkey", "landed_at")
+    columns = ", ".join(f"{c} string" for c in C.DATA_COLUMNS)
+    rows = files.mapInPandas(landing.bound_rows, f"{columns}, landed_at timestamp, refused_file string, file_reason string")
+    seen = [C.KEY, "refused_file"]
+    deduped = rows.withWatermark("landed_at", within).dropDuplicatesWithinWatermark(seen) if within else rows.dropDuplicates(seen)
     return (
         deduped
         .writeStream.format("parquet")

@@ -16,15 +16,15 @@ def rows_by_code(df):
 
 def test_reference_idempotent_one_row_twice(spark, landing_dir):
     d, put = landing_dir
-    put("SP_idempotencia_test.csv", HEADER + "IDEMP1;MTR123;Cidade Teste;Ativo;Pessoa Teste 123.456.789-72;100,0\n")
+    put("SP_again.csv", HEADER + "AGAIN.1;M-7;Vila Alta;Ativo;Rosa Prado 271.828.182-31;100,0\n")
     table = scratch_path(spark, "test-table")
     first = R.run_load(spark, landing.read_landing(spark, d), table)
     second = R.run_load(spark, landing.read_landing(spark, d), table)
     reg = R.read_registry(spark, table)
     assert (first.inserted, second.inserted) == (1, 0)
-    assert reg.where(F.col("codigo_incra") == "IDEMP1").count() == 1
+    assert reg.where(F.col("codigo_incra") == "AGAIN.1").count() == 1
     row = reg.first()
-    assert (row.uf, str(row.pct_obtencao), row.matricula) == ("SP", "100.0000", "MTR123")
+    assert (row.uf, str(row.pct_obtencao), row.matricula) == ("SP", "100.0000", "M-7")
 
 
 def test_empty_cells_short_rows_quotes_and_bom(spark, landing_dir):
@@ -123,20 +123,60 @@ def test_first_row_per_key_plan_is_partial_aggregate(spark):
     assert L.first_per_key(df).first().pos == 0
 
 
-def test_splittable_read_keeps_row_order(spark, landing_dir):
+def test_files_are_read_in_splits_and_keep_row_order(spark, landing_dir):
     d, put = landing_dir
     body = "".join(f"K{i % 50};M{i};;;;1\n" for i in range(4000))
     put("AC_big.csv", HEADER + body)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    put("AL_break.csv", HEADER + 'Q1;"two\nlines";;;;1\n' + "".join(f"Q{i};M{i};;;;1\n" for i in range(2, 900)))
+    whole = sorted((r.file, r.matricula) for r in landing.read_landing(spark, d).collect())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
     try:
-        stg = landing.read_landing(spark, d, splittable=True)
-        assert stg.rdd.getNumPartitions() > 1
+        stg = landing.read_landing(spark, d)
+        assert stg.rdd.getNumPartitions() > 8
         firsts = {r.codigo_incra: r.matricula for r in L.first_per_key(L.typed(stg).drop("reason")).collect()}
-        ordered = [r.matricula for r in sorted(stg.select("pos", "matricula").collect(), key=lambda r: r.pos)]
+        rows = landing.with_row_number(stg).select("file", "row_no", "matricula").collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert firsts == {f"K{i}": f"M{i}" for i in range(50)}
-    assert ordered == [f"M{i}" for i in range(4000)]
+    assert sorted((r.file, r.matricula) for r in rows) == whole
+    assert {k: v for k, v in firsts.items() if k[0] == "K"} == {f"K{i}": f"M{i}" for i in range(50)}
+    assert firsts["Q1"] == "two\nlines"
+    assert [r.matricula for r in sorted(rows) if r.file == "AC_big.csv"] == [f"M{i}" for i in range(4000)]
+    assert [r.row_no for r in sorted(rows) if r.file == "AC_big.csv"] == list(range(1, 4001))
+
+
+def put_bytes(spark, path, content):
+    from glebe.sources import fs
+
+    fs.write_small_file(spark, path, content)
+
+
+def test_every_file_is_loaded_or_refused_with_a_reason(spark, landing_dir):
+    d, put = landing_dir
+    put("SP_a.csv", HEADER + "K1;M;;;;1\n")
+    put("AC_cr.csv", HEADER.replace("\n", "\r") + "K2;M;;;;1\rK3;M;;;;1\r")
+    put("AL_crlf.csv", HEADER.replace("\n", "\r\n") + "K4;M;;;;1\r\n")
+    put_bytes(spark, f"{d}/AM_latin1.csv", HEADER.encode() + "K5;São João;;;José;1\n".encode("latin-1"))
+    put_bytes(spark, f"{d}/AM_latin1_header.csv", "codigo_incra;município\nK5;1\n".encode("latin-1"))
+    put("AP_quote.csv", HEADER + 'K6;"M;;;;1\n' + "K7;M;;;;1\n" * 5)
+    put("BA_open.csv", HEADER + 'K8;"' + "x" * 200_000)
+    put("CE_long.csv", HEADER + 'K9;M\nK10;"' + "x" * 1_000_000 + '"\n')
+    put("DF_stray.csv", HEADER + 'K11;5" pipe;;;;1\n')
+    put("ES_blank.csv", HEADER + "\n" * 300_000 + "K12;M;;;;1\n")
+    put("_GO_hidden.csv", HEADER + "K13;M;;;;1\n")
+    table = scratch_path(spark, "test-table")
+    res = R.load_directory(spark, d, table)
+    st = {r.file: (r.status, r.reason) for r in res.summary.collect()}
+    assert st == {
+        "SP_a.csv": ("loaded", None), "AC_cr.csv": ("loaded", None), "AL_crlf.csv": ("loaded", None),
+        "AM_latin1.csv": ("rejected", "invalid_utf8"), "AM_latin1_header.csv": ("rejected", "invalid_utf8"),
+        "AP_quote.csv": ("rejected", "unbalanced_quote"), "BA_open.csv": ("rejected", "unreadable"),
+        "CE_long.csv": ("rejected", "field_too_long"), "DF_stray.csv": ("loaded", None), "ES_blank.csv": ("loaded", None),
+        "_GO_hidden.csv": ("rejected", "unlisted_name"),
+    }
+    got = rows_by_code(R.read_registry(spark, table))
+    assert sorted(got) == ["K1", "K11", "K12", "K2", "K3", "K4"] and got["K11"]["matricula"] == '5" pipe'
+    counts = {r.file: r.records for r in landing.file_line_counts(spark, d).collect()}
+    assert counts["AM_latin1.csv"] == -1 and counts["AC_cr.csv"] == 2
 
 
 def test_load_directory_reports_empty_files_and_delete_rewrites(spark, landing_dir):
@@ -153,38 +193,47 @@ def test_load_directory_reports_empty_files_and_delete_rewrites(spark, landing_d
     assert R.read_registry(spark, table).count() == 3
 
 
-def test_bucketed_registry_load_is_colocated_and_idempotent(spark, landing_dir):
+def test_catalog_tables_are_created_once_and_show_new_runs(spark, landing_dir):
     d, put = landing_dir
     put("AC_a.csv", HEADER + "".join(f"K{i};M{i};;;;1\n" for i in range(40)))
-    put("AL_a.csv", HEADER + "".join(f"K{i};N{i};;;;2\n" for i in range(30, 60)))
-    name = "reg_" + scratch_path(spark, "x").rsplit("-", 1)[-1]
-    R.create_bucketed(spark, name, scratch_path(spark, "bucketed"), 4)
-    R.create_bucketed(spark, name, scratch_path(spark, "ignored"), 4)  # IF NOT EXISTS: no-op
-    first = R.run_load_bucketed(spark, landing.read_landing(spark, d), name)
-    second = R.run_load_bucketed(spark, landing.read_landing(spark, d), name)
-    table = spark.table(name)
-    assert (first.inserted, second.inserted, table.count()) == (60, 0, 60)
-    assert table.where(F.col("codigo_incra") == "K35").first().matricula == "M35"
-    # the anti-join reads the bucketed table without an exchange on its side
-    keys = spark.createDataFrame([("K1",), ("K99",)], "codigo_incra string")
-    spark.conf.set("spark.sql.shuffle.partitions", "4")
-    try:
-        firsts = L.first_per_key(keys.withColumn("file", F.lit("f")).withColumn("pos", F.lit(0)))
-        plan = L.new_rows(firsts, table.select("codigo_incra"))._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
-    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    tag = scratch_path(spark, "x").rsplit("-", 1)[-1]
+    reg, states = f"reg_{tag}", f"states_{tag}"
+    location, states_location = scratch_path(spark, "catalog"), scratch_path(spark, "catalog-states")
+    R.create_schema(spark, reg, location, states, states_location)
+    R.create_schema(spark, reg, location, states, states_location)  # IF NOT EXISTS, and seeded once
+    assert spark.table(states).count() == 27 and L.duplicate_state_names(spark.table(states)).count() == 0
+    assert spark.table(reg).count() == 0
+    R.load_directory(spark, d, location)
+    R.refresh_schema(spark, reg)
+    assert spark.table(reg).count() == 40 and set(r.uf for r in spark.table(reg).select("uf").distinct().collect()) == {"AC"}
+    assert R.read_registry(spark, location).select("loaded_at").where("loaded_at is null").count() == 0
+
+
+def formatted(df):
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
+def test_lookups_reach_the_scan(spark, landing_dir):
     from glebe.operators import lookup as LK
 
-    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
-    try:
-        q = LK.point_lookup(table, "K35")
-        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
-        lookup = q._jdf.queryExecution().explainString(mode)
-    finally:
-        spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "true")
-    assert "SelectedBucketsCount: 1 out of 4" in lookup
-    assert [r.codigo_incra for r in LK.run_point_lookup(table, "K35")] == ["K35"]
+    d, put = landing_dir
+    put("AC_a.csv", HEADER + "".join(f"K{i:03d};M{i};C{i % 5};;Ana;1\n" for i in range(200)))
+    table = scratch_path(spark, "test-table")
+    R.load_directory(spark, d, table)
+    reg = R.read_registry(spark, table)
+    assert "EqualTo(codigo_incra,K007)" in formatted(LK.point_lookup(reg, "K007"))
+    pruned = formatted(LK.point_lookup(reg, "K007", uf="AC"))
+    assert "PartitionFilters: [isnotnull(uf" in pruned
+    few = LK.batch_lookup(reg, spark.createDataFrame([("K001",), ("K002",), ("nope*",)], "requested string"))
+    assert "In(codigo_incra, [" in formatted(few)
+    assert sorted(r.outcome for r in few.collect()) == ["found", "found", "invalid"]
+    many = LK.batch_lookup(reg, spark.range(5000).selectExpr("format_string('K%03d', id) as requested"))
+    assert "GreaterThanOrEqual(codigo_incra,K000), LessThanOrEqual(codigo_incra,K999)" in formatted(many)
+    assert many.where("outcome = 'found'").count() == 200
+    index = R.write_index(reg, scratch_path(spark, "test-index"), "municipio")
+    found = LK.lookup_by(index, "municipio", "C3")
+    assert "EqualTo(municipio,C3)" in formatted(found) and found.count() == 40
 
 
 def test_registry_schema_fixed_and_obsolete_column_ignored(spark, landing_dir):
@@ -213,25 +262,24 @@ def test_load_directory_without_files(spark, landing_dir):
     assert R.read_registry(spark, table) is None
 
 
-def test_land_csv_splits_oversized_files_in_order(spark):
+def test_land_csv_writes_parts_that_read_as_one_file_in_order(spark):
     rows = spark.range(3000).select(
-        F.when(F.col("id") < 2500, F.lit("AC_big.csv")).otherwise(F.lit("AL_small.csv")).alias("file"),
+        F.when(F.col("id") < 2500, F.lit("AC_big one+%.csv")).otherwise(F.lit("AL_small.csv")).alias("file"),
         F.col("id").alias("pos"),
         F.format_string("K%d", "id").alias("codigo_incra"),
         *[F.lit("x").alias(c) for c in ["matricula", "municipio", "denominacao", "proprietario", "pct_obtencao"]],
     )
-    d = scratch_path(spark, "test-split")
-    written = landing.land_csv(spark, rows, d, max_rows_per_file=1000)
-    names = sorted(p.rsplit("/", 1)[-1] for p, _ in __import__("glebe.sources.fs", fromlist=["f"]).list_files(spark, d))
-    assert written == len(names) and "AL_small.csv" in names
-    parts = [n for n in names if n.startswith("AC_big.p")]
-    assert len(parts) == 3 and all(n.endswith(".csv") for n in parts)
-    back = landing.read_landing(spark, d)
-    assert set(r.uf for r in back.select("uf").distinct().collect()) == {"AC", "AL"}
-    # reading the parts in name order gives the rows in their original order
-    ac = back.where(F.col("uf") == "AC").select("file", "pos", "codigo_incra").collect()
-    ordered = [r.codigo_incra for r in sorted(ac, key=lambda r: (r.file, r.pos))]
-    assert ordered == [f"K{i}" for i in range(2500)]
+    for parts in (1, 7):
+        d = scratch_path(spark, "test-split")
+        landing.land_csv(spark, rows, d, parts=parts)
+        assert landing.list_csv(spark, d).count() >= parts
+        back = landing.with_row_number(landing.read_landing(spark, d))
+        ac = sorted(back.where(F.col("uf") == "AC").select("file", "row_no", "codigo_incra").collect())
+        assert {r.file for r in ac} == {"AC_big one+%.csv"}
+        assert [r.codigo_incra for r in ac] == [f"K{i}" for i in range(2500)] and ac[-1].row_no == 2500
+        assert {r.file: r.records for r in landing.file_line_counts(spark, d).collect()} == {"AC_big one+%.csv": 2500, "AL_small.csv": 500}
+        expected = spark.createDataFrame([("AC_big one+%.csv",), ("AM_x.csv",)], "file string")
+        assert {r.file: r.present for r in landing.file_manifest(spark, d, expected).collect()} == {"AC_big one+%.csv": True, "AM_x.csv": False}
 
 
 def test_file_names_with_spaces_percent_plus_and_brackets(spark, landing_dir):
@@ -266,7 +314,7 @@ def test_restart_after_failed_or_half_finished_runs(spark, landing_dir):
         "codigo_incra string, matricula string, municipio string, denominacao string, proprietario string, "
         "pct_obtencao decimal(12,4), uf string",
     ).withColumn("loaded_at", F.localtimestamp())
-    R.write_layout(crashed, f"{table}/load_run=crashed")
+    R.write_layout(crashed, f"{table}/load_run=crashed", 1)
     first = R.load_directory(spark, d, table)  # the rerun adds only what is missing
     assert first.inserted == 1
     again = R.load_directory(spark, d, table)

@@ -80,6 +80,19 @@ def test_stream_dedupe_exact_and_within_watermark(spark, landing_dir):
         assert got == ["K1", "K2"]
 
 
+def test_stream_dedupe_binds_by_header_and_reports_refusals(spark, landing_dir):
+    d, put = landing_dir
+    put("AC_1.csv", "pct_obtencao;codigo_incra\n1;K1\n1;K2\n")
+    put("AL_1.csv", "codigo_incra;matricula;municipio;denominacao;proprietario;pct_obtencao;matricula\nK2;A;;;;1;B\nK3;A;;;;1;B\n")
+    put("AM_1.csv", "codigo_incra;other\nK4;1\n")
+    put("AP_1.csv", 'codigo_incra\nK5\n"' + "x" * 200_000 + "\n")
+    sink, ck = scratch_path(spark, "dd-sink"), scratch_path(spark, "dd-ck")
+    ingest.stream_dedupe(spark, d, sink, ck).awaitTermination()
+    rows = spark.read.parquet(sink).collect()
+    assert sorted(r.codigo_incra for r in rows if r.refused_file is None) == ["K1", "K2", "K3"]
+    assert {(r.refused_file, r.file_reason) for r in rows if r.refused_file} == {("AM_1.csv", "unknown_column"), ("AP_1.csv", "unreadable")}
+
+
 def test_compaction_keeps_rows_in_one_run(spark, landing_dir):
     d, put = landing_dir
     header = "codigo_incra;matricula;municipio;denominacao;proprietario;pct_obtencao\n"

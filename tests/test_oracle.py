@@ -7,6 +7,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from conftest import SF_SMALL
+from glebe.plans.catalog import QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -41,9 +42,9 @@ def test_entry_runs(spark):
     assert df.count() >= 0 and df.columns[:2] == ["file", "pos"]
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, key):
-    df = queries()[key](spark, SF_SMALL)
+    df = QUERIES[key](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
     sql = oracle_sql().get(key)
     if sql is None:

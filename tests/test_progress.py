@@ -71,14 +71,18 @@ def test_tiered_match_label_tier(spark):
 def test_retry_rounds(spark):
     t = dt.datetime(2024, 1, 1)
     rows = [
-        ("A", t, False, 0.0), ("A", t + dt.timedelta(1), True, 5.0),  # done in round 2
-        ("B", t, True, 0.0), ("B", t + dt.timedelta(1), False, 1.0), ("B", t + dt.timedelta(2), False, 1.0),
-        ("B", t + dt.timedelta(3), True, 3.0),  # empty output counts as failure; success in round 4 > 3
-        ("C", t, False, 1.0),  # never succeeds
+        ("A", t, False, 0, 0.0), ("A", t + dt.timedelta(1), True, 5, 90.0),  # done in round 2
+        ("B", t, True, 0, 0.0), ("B", t + dt.timedelta(1), False, 1, 1.0), ("B", t + dt.timedelta(2), False, 1, 1.0),
+        ("B", t + dt.timedelta(3), True, 3, 80.0),  # an empty file counts as failure; success in round 4 > 3
+        ("C", t, False, 1, 1.0),  # never succeeds
+        ("D", t, True, 0, 72.0),  # a header and no record is a file
+        ("E", t, True, -1, 72.0),  # records not counted
     ]
-    att = spark.createDataFrame(rows, "state string, ts timestamp, success boolean, records double")
+    att = spark.createDataFrame(rows, "state string, ts timestamp, success boolean, records int, size double")
     got = {r.state: (r.attempts, r.success_round, r.rounds_used, r.status) for r in P.retry_status(att, 3).collect()}
-    assert got == {"A": (2, 2, 2, "done"), "B": (4, 4, 3, "failed"), "C": (1, None, 1, "failed")}
+    assert got == {
+        "A": (2, 2, 2, "done"), "B": (4, 4, 3, "failed"), "C": (1, None, 1, "failed"), "D": (1, 1, 1, "done"), "E": (1, 1, 1, "done"),
+    }
 
 
 def test_checkpoint_round_trip_and_pending(spark):
@@ -92,6 +96,43 @@ def test_checkpoint_round_trip_and_pending(spark):
     assert P.load_checkpoint(spark, scratch_path(spark, "missing")).count() == 0
 
 
+def test_broken_checkpoint_is_an_error_and_resume_drops_lost_files(spark, landing_dir):
+    d, put = landing_dir
+    put("part-0.parquet", "not parquet")
+    with pytest.raises(Exception):
+        P.load_checkpoint(spark, d).count()
+    done = spark.createDataFrame([("AC", "AC.csv"), ("AL", "AL.csv"), ("AM", "AM.csv")], "state string, file_name string")
+    path = scratch_path(spark, "test-ck")
+    P.save_checkpoint(done, path)
+    files = spark.createDataFrame([("AC.csv", 10), ("AL.csv", 0)], "file_name string, length long")
+    new = scratch_path(spark, "test-ck")
+    assert [r.state for r in P.resume(spark, path, files, new).collect()] == ["AC"]
+    assert [r.state for r in P.load_checkpoint(spark, new).collect()] == ["AC"]
+    assert P.resume(spark, scratch_path(spark, "none"), files, scratch_path(spark, "test-ck")).count() == 0
+
+
+def test_candidate_match_is_exact(spark):
+    wanted = spark.createDataFrame([("SP", "sp-1"), ("PA", "x"), ("GO", "go")], "uf string, opt_value string")
+    options = spark.createDataFrame(
+        [(4, "SP"), (6, "sp-1"), (3, "PA"), (2, "pa"), (1, "GO "), (9, "GO")], "ord long, value string"
+    )
+    got = {r.uf: (r.tier, r.ord) for r in P.candidate_match(wanted, options).collect()}
+    assert got == {"SP": (0, 6), "PA": (1, 3), "GO": (1, 9)}
+
+
+def test_codes_in_two_states_are_duplicates(spark):
+    rows = [("K1", 1.0, "A", "X", "SP"), ("K1", 1.0, "A", "X", "MG"), ("K2", 1.0, "A", "X", "MG"), (None, 1.0, "A", "X", "MG"), (None, 1.0, "A", "X", "MG")]
+    reg = spark.createDataFrame(rows, "codigo_incra string, pct_obtencao double, proprietario string, denominacao string, uf string")
+    rep = {r.uf: r for r in Q.quality_report(reg).collect()}
+    assert (rep["SP"].duplicated_codes, rep["MG"].duplicated_codes, rep["MG"].null_codes, rep["MG"].total) == (1, 1, 2, 4)
+
+
+def test_placeholders_of_the_live_list(spark):
+    opts = spark.createDataFrame([(1, "SELECIONE", "x"), (2, "selecione", "y"), (3, "AC - Acre", "AC")], "ord long, text string, value string")
+    assert [r.ord for r in P.selectable_options(opts, ignore_case=True).collect()] == [3]
+    assert sorted(r.ord for r in P.selectable_options(opts).collect()) == [1, 2, 3]
+
+
 def test_count_by_uf_nulls_last_and_quality(spark):
     reg = spark.createDataFrame(
         [("K1", None, "Ana", "", "SP"), ("K2", 1.0, None, "X", None), ("K3", 2.0, "B", "Y", "AC"), ("K3", 2.0, "B", "Y", "AC")],
