@@ -1,12 +1,14 @@
 """Benchmark decontamination by template canonicalisation.
 
-A text becomes a sequence of tokens (runs of letters, digits and unit signs). Each token is typed by its own
-form, so the same words give the same template wherever they stand:
+A text becomes a sequence of tokens (runs of letters, digits and unit signs), and each token is typed:
 
-  ``#``  a number            ``~``  a unit behind or a currency sign before a number
-  ``@``  a name (one capital, then small letters)      else the token, lower-cased
+  a number
+  a unit behind a number, or a currency sign before one
+  a name: one capital and small letters, inside a sentence (behind a word or comma and one space)
+  else the token itself, lower-cased
 
-Windows of :data:`WINDOW` template tokens of all documents are hash-joined with those of the benchmark. A
+Windows of :data:`WINDOW` template tokens of all documents are hash-joined with those of the benchmark. The
+benchmark's windows also stand under their names in small letters, so copies in other letter case are found. A
 document is a candidate for an item when it holds :data:`COVERAGE` of the item's windows. Then the slots are
 checked: along one alignment (document position minus item position), each value of the item's slots must
 stand for one value of the document's; windows that hold another value than the most frequent one are taken
@@ -46,12 +48,13 @@ UNITS = (
     "weeks", "months", "years", "c", "f", "k", "w", "kw", "kwh", "v", "hz", "khz", "mhz", "ghz", "b", "kb", "mb", "gb", "tb",
     "mph", "kmh", "eur", "usd", "gbp", "dollars", "dollar", "euros", "euro", "cents", "percent",
 )
-NUMBER, UNIT, NAME = "#", "~", "@"
+# Placeholders: private characters, which no token holds.
+NUMBER, UNIT, NAME = "\ue001", "\ue002", "\ue003"
 
-_SEPARATORS = r"[^\p{L}\p{N}%°€$£]+|(?<=\p{N})(?=[\p{L}%°€$£])|(?<=[%°€$£])(?=\p{N})"
+_SEPARATORS = r"[^\p{L}\p{N}%°€$£\ue003]+|(?<=\p{N})(?=[\p{L}%°€$£])|(?<=[%°€$£])(?=\p{N})"
 _NUMBER = r"(?<![^ ])\p{N}+(?![^ ])"
-_UNIT = r"(?i)(?<=# )(?:" + "|".join(u if u.isalpha() else "\\" + u for u in UNITS) + r")(?![^ ])|(?<![^ ])[€$£](?= #)"
-_NAME = r"(?<![^ ])\p{Lu}\p{Ll}+(?![^ ])"
+_UNIT = r"(?i)(?<=\ue001 )(?:" + "|".join(u if u.isalpha() else "\\" + u for u in UNITS) + r")(?![^ ])|(?<![^ ])[€$£](?= \ue001)"
+_NAME = r"\p{Lu}(?<=[\p{L}\p{N},;] \p{Lu})\p{Ll}+(?![\p{L}\p{N}%°€$£])"
 
 
 def spaced(text: Column) -> Column:
@@ -59,10 +62,16 @@ def spaced(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, _SEPARATORS, " "))
 
 
-def template(tokens: Column) -> Column:
-    """Template of a :func:`spaced` text, token by token."""
-    with_numbers = F.when(tokens.rlike(r"\p{N}"), F.regexp_replace(F.regexp_replace(tokens, _NUMBER, NUMBER), _UNIT, UNIT)).otherwise(tokens)
-    return F.lower(F.regexp_replace(with_numbers, _NAME, NAME))
+def template(text: Column) -> Column:
+    """The template of a text: as many tokens as :func:`spaced` gives, one space between them."""
+    tokens = spaced(F.regexp_replace(F.regexp_replace(text, "[\ue001-\ue003]", " "), _NAME, NAME))
+    typed = F.regexp_replace(F.regexp_replace(tokens, _NUMBER, NUMBER), _UNIT, UNIT)
+    return F.lower(F.when(tokens.rlike(r"\p{N}"), typed).otherwise(tokens))
+
+
+def _plain(text: Column) -> Column:
+    """The raw tokens, in small letters: values of slots are compared without regard to case."""
+    return F.lower(spaced(F.regexp_replace(text, "[\ue001-\ue003]", " ")))
 
 
 def _split(text: Column) -> Column:
@@ -82,13 +91,16 @@ def _key(text: Column) -> Column:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """_item (a number of ours), item_id, _at, _hash, _raw (the window's raw tokens), _kinds (its template tokens), _all (windows that count)."""
-    items = benchmark.select("item_id", spaced(F.col("text")).alias("_spaced")).where("_spaced <> ''")
-    items = staged(items.withColumn("_item", F.monotonically_increasing_id()), "decontaminate-items")
-    tokens = items.select("_item", "item_id", _split(F.col("_spaced")).alias("_raw"), _split(template(F.col("_spaced"))).alias("_kinds"))
-    placed = tokens.select("_item", "item_id", "_raw", "_kinds", F.posexplode(_windows(F.col("_kinds"))).alias("_at", "_hash"))
+    """_item (a number of ours), item_id, _at, _hashes, _raw (the window's raw tokens), _kinds (its template tokens), _all (windows that count)."""
+    items = staged(benchmark.select("item_id", "text").withColumn("_item", F.monotonically_increasing_id()), "decontaminate-items")
+    tokens = items.select("_item", "item_id", _split(_plain(F.col("text"))).alias("_raw"), _split(template(F.col("text"))).alias("_kinds"))
+    folded = F.zip_with("_kinds", "_raw", lambda k, r: F.when(k == NAME, F.lower(r)).otherwise(k))
+    tokens = tokens.withColumn("_folded", folded)
+    both = F.arrays_zip(_windows(F.col("_kinds")).alias("typed"), _windows(F.col("_folded")).alias("folded"))
+    placed = tokens.select("_item", "item_id", "_raw", "_kinds", F.posexplode(both).alias("_at", "_hash"))
     cut = lambda c: F.slice(c, F.col("_at") + 1, F.lit(WINDOW))
-    placed = placed.select("_item", "item_id", "_at", "_hash", cut("_raw").alias("_raw"), cut("_kinds").alias("_kinds"))
+    hashes = F.array_distinct(F.array("_hash.typed", "_hash.folded"))
+    placed = placed.select("_item", "item_id", "_at", hashes.alias("_hashes"), cut("_raw").alias("_raw"), cut("_kinds").alias("_kinds"))
     literal = F.size(F.filter("_kinds", lambda k: ~k.isin(NUMBER, UNIT, NAME))) >= F.least(F.lit(LITERALS), F.size("_kinds"))
     placed = placed.withColumn("_literal", literal)
     told = placed.groupBy("_item").agg(F.sum(F.col("_literal").cast("int")).alias("_telling"), F.count(F.lit(1)).alias("_every"))
@@ -99,10 +111,10 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
 
 def matches(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """(_doc, _text, _item, _at, _pos) of the windows that candidates share with their items. ``docs``: _doc, text."""
-    tokens = docs.select("_doc", _key(F.col("text")).alias("_text"), spaced(F.col("text")).alias("_spaced"))
-    tokens = tokens.select("_doc", "_text", _split(template(F.col("_spaced"))).alias("_kinds"))
+    tokens = docs.select("_doc", _key(F.col("text")).alias("_text"), template(F.col("text")).alias("_template"))
+    tokens = tokens.select("_doc", "_text", _split(F.col("_template")).alias("_kinds"))
     placed = tokens.select("_doc", "_text", F.posexplode(_windows(F.col("_kinds"))).alias("_pos", "_hash"))
-    few = bounded_broadcast(windows.select("_hash", "_item", "_at", "_all"))
+    few = bounded_broadcast(windows.select(F.explode("_hashes").alias("_hash"), "_item", "_at", "_all"))
     found = staged(placed.join(few, "_hash").drop("_hash").distinct(), "decontaminate-matches")
     covered = found.groupBy("_doc", "_text", "_item", "_all").agg(F.count_distinct("_at").alias("_n")).where(F.col("_n") >= F.col("_all") * F.lit(COVERAGE))
     pairs = covered.select(F.col("_doc").alias("_d"), F.col("_text").alias("_t"), F.col("_item").alias("_i"))
@@ -118,10 +130,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     wanted = bounded_broadcast(staged(found.select(F.col("_doc").alias("_d"), F.col("_text").alias("_t")).distinct(), "decontaminate-wanted"))
     hashed = docs.select("_doc", _key(F.col("text")).alias("_text"), "text")
     texts = hashed.join(wanted, F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_text") == F.col("_t")), "left_semi")
-    raw = texts.select(F.col("_doc").alias("_d"), F.col("_text").alias("_t"), _split(spaced(F.col("text"))).alias("_tokens")).dropDuplicates(["_d", "_t"])
+    raw = texts.select(F.col("_doc").alias("_d"), F.col("_text").alias("_t"), _split(_plain(F.col("text"))).alias("_tokens")).dropDuplicates(["_d", "_t"])
     seen = found.join(raw, F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_text") == F.col("_t")))
     seen = seen.select("_doc", "_text", "_item", "_at", "_pos", F.slice("_tokens", F.col("_pos") + 1, F.lit(WINDOW)).alias("_values"))
-    items = bounded_broadcast(windows.drop("_hash", "_all"))
+    items = bounded_broadcast(windows.drop("_hashes", "_all"))
     seen = staged(seen.join(items, ["_item", "_at"]), "decontaminate-seen")
     along = ["_doc", "_text", "_item", "_shift"]
     # A slot that several windows hold counts in each of them; the most frequent value stands.
@@ -144,7 +156,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     wrong = slots.join(right, same).where(F.col("given") != F.col("_chosen")).select(*along, "_at").distinct()
     right, same = on(along, wrong, ["_at"])
     good = shifted.join(right, same, "left_anti")
-    changed = F.exists(F.arrays_zip(F.col("_raw").alias("asked"), F.col("_values").alias("given")), lambda s: F.lower(s["asked"]) != F.lower(s["given"]))
+    changed = F.exists(F.arrays_zip(F.col("_raw").alias("asked"), F.col("_values").alias("given")), lambda s: s["asked"] != s["given"])
     total = windows.select("_item", "_all").distinct()
     result = good.withColumn("_changed", changed).groupBy("_doc", "_text", "_item", "item_id").agg(
         F.count_distinct("_at").alias("windows"), F.bool_or("_changed").alias("reparameterised")
