@@ -25,6 +25,9 @@ WAVE_CUTOFF = "1996-01-01"
 LONG_MATRICULA_REGION = "AFRICA"
 LONG_MATRICULA_PRIORITY = "1-URGENT"
 LOWERCASE_UF_REGION = "EUROPE"
+LONG_UF_REGION = "MIDDLE EAST"
+OVERFLOW_REGION = "ASIA"
+OVERFLOW_PCT = "123456789,5"
 # Landing files of ``base`` are one per state code (two spellings with the fault rule):
 # a bound known by construction, used to broadcast per-file lists without counting.
 MAX_FILES = 2 * len(STATE_LABELS)
@@ -96,7 +99,8 @@ def _build_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def base_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``base`` with rule-injected faults: over-long ``matricula`` on urgent orders of one region,
-    lower-case (unknown) state prefix in the file names of another region."""
+    lower-case (unknown) state prefix in the file names of another region, a three-letter one in a third, and a
+    percentage beyond the column's precision on urgent orders of a fourth."""
     return memo(spark, ("faulty", sf_dir), lambda: _build_faulty(spark, sf_dir))
 
 
@@ -104,13 +108,16 @@ def _build_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = base(spark, sf_dir)
     long_m = (F.col("region") == LONG_MATRICULA_REGION) & (F.col("priority") == LONG_MATRICULA_PRIORITY)
     lower_uf = F.col("region") == LOWERCASE_UF_REGION
+    long_uf = F.col("region") == LONG_UF_REGION
+    overflow = (F.col("region") == OVERFLOW_REGION) & (F.col("priority") == LONG_MATRICULA_PRIORITY)
     return (
         b.withColumn(
             "matricula",
             F.when(long_m, F.concat(F.lit("MTR"), F.lpad(F.col("row_pos").cast("string"), 12, "0"), F.lit("-"), F.col("priority")))
             .otherwise(F.col("matricula")),
         )
-        .withColumn("uf", F.when(lower_uf, F.lower(F.col("uf"))).otherwise(F.col("uf")))
+        .withColumn("pct_obtencao", F.when(overflow, F.lit(OVERFLOW_PCT)).otherwise(F.col("pct_obtencao")))
+        .withColumn("uf", F.when(lower_uf, F.lower(F.col("uf"))).when(long_uf, F.concat("uf", F.lit("X"))).otherwise(F.col("uf")))
         .withColumn("file", F.concat(F.col("uf"), F.lit("_land.csv")))
     )
 

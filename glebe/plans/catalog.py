@@ -120,6 +120,14 @@ def load_idempotent(spark, sf):
     )
 
 
+def load_timestamp(spark, sf):
+    table = scratch_path(spark, "registry")
+    R.run_load(spark, _staging(spark, sf), table, run_id="first", max_files=B.MAX_FILES)
+    return R.read_registry(spark, table).groupBy("load_run").agg(
+        F.count(F.lit(1)).alias("rows_loaded"), F.count("loaded_at").alias("rows_stamped"), F.count_distinct("loaded_at").alias("stamps")
+    )
+
+
 def insert_on_conflict_skip(spark, sf):
     li = B.read_table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("s_suppkey"), "l_orderkey", "l_linenumber")
     s = B.read_table(spark, sf, "supplier")
@@ -391,6 +399,14 @@ def stream_insert_only(spark, sf):
     return R.read_registry(spark, table).select(*C.TABLE_COLUMNS)
 
 
+def stream_reset(spark, sf):
+    d = I.land_base(spark, sf)
+    table = scratch_path(spark, "stream-table")
+    for _ in range(2):  # the second stream starts over; the table refuses every code it has
+        ingest.stream_insert_only(spark, d, table, scratch_path(spark, "stream-ck")).awaitTermination()
+    return R.read_registry(spark, table).select(*C.TABLE_COLUMNS)
+
+
 def stream_dedupe(spark, sf):
     d, w1, w2 = I.land_waves(spark, sf)
     sink, ck = scratch_path(spark, "dedupe-sink"), scratch_path(spark, "dedupe-ck")
@@ -413,6 +429,7 @@ QUERIES: dict[str, Query] = {
     "count_existing": count_existing,
     "distinct_on_first": distinct_on_first,
     "load_idempotent": load_idempotent,
+    "load_timestamp": load_timestamp,
     "insert_on_conflict_skip": insert_on_conflict_skip,
     "seed_if_empty": seed_if_empty,
     "delete_by_pattern": delete_by_pattern,
@@ -457,5 +474,6 @@ QUERIES: dict[str, Query] = {
     "checkpoint_state": checkpoint_state,
     "retry_status": retry_status,
     "stream_insert_only": stream_insert_only,
+    "stream_reset": stream_reset,
     "stream_dedupe": stream_dedupe,
 }

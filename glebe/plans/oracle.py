@@ -76,6 +76,7 @@ FAULT_CTES = """,
 fr AS (SELECT *, CASE WHEN codigo_incra IS NULL THEN 'null_key'
                       WHEN length(matricula) > 20 THEN 'matricula_too_long'
                       WHEN length(uf) > 2 THEN 'uf_too_long'
+                      WHEN TRY_CAST(replace(trim(pct_obtencao), ',', '.') AS DOUBLE) >= 1e8 THEN 'pct_not_storable'
                       WHEN uf IS NOT NULL AND uf NOT IN (SELECT uf FROM states) THEN 'unknown_uf' END AS reason
        FROM faulty),
 rejected AS (SELECT file, arg_min(reason, row_pos) AS reason, count(*) AS bad_rows
@@ -159,6 +160,10 @@ WHERE codigo_incra IN (SELECT codigo_incra FROM prior_keys) GROUP BY file"""
         "SELECT count(DISTINCT codigo_incra) AS first_run, CAST(0 AS BIGINT) AS second_run, "
         "count(DISTINCT codigo_incra) AS total_rows FROM base"
     ),
+    "load_timestamp": with_base(
+        "SELECT 'first' AS load_run, count(DISTINCT codigo_incra) AS rows_loaded, count(DISTINCT codigo_incra) AS rows_stamped, "
+        "CAST(1 AS BIGINT) AS stamps FROM base"
+    ),
     "insert_on_conflict_skip": """SELECT s_suppkey, s_name, l_orderkey, l_linenumber FROM (
   SELECT DISTINCT ON (l.l_suppkey) l.l_suppkey AS s_suppkey, s.s_name, l.l_orderkey, l.l_linenumber
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
@@ -325,5 +330,6 @@ SELECT DISTINCT state FROM a WHERE state NOT IN (SELECT state FROM st WHERE stat
          {PCT_SQL} AS pct_obtencao, uf
   FROM base ORDER BY codigo_incra, landed_on >= DATE '{B.WAVE_CUTOFF}', row_pos) x"""
     ),
+    "stream_reset": _w("", "SELECT codigo_incra, matricula, municipio, denominacao, proprietario, pct_obtencao, uf FROM registry"),
     "stream_dedupe": with_base("SELECT DISTINCT codigo_incra FROM base"),
 }

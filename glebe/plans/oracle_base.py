@@ -50,9 +50,11 @@ faulty AS (
          CASE WHEN region = '{B.LONG_MATRICULA_REGION}' AND priority = '{B.LONG_MATRICULA_PRIORITY}'
               THEN concat('MTR', lpad(CAST(row_pos AS VARCHAR), 12, '0'), '-', priority)
               ELSE matricula END AS matricula,
-         row_pos, municipio, denominacao, proprietario, pct_obtencao, uf_key, landed_on, region, priority,
-         CASE WHEN region = '{B.LOWERCASE_UF_REGION}' THEN lower(uf) ELSE uf END AS uf,
-         concat(CASE WHEN region = '{B.LOWERCASE_UF_REGION}' THEN lower(uf) ELSE uf END, '_land.csv') AS file
+         row_pos, municipio, denominacao, proprietario,
+         CASE WHEN region = '{B.OVERFLOW_REGION}' AND priority = '{B.LONG_MATRICULA_PRIORITY}' THEN '{B.OVERFLOW_PCT}' ELSE pct_obtencao END AS pct_obtencao,
+         uf_key, landed_on, region, priority,
+         CASE region WHEN '{B.LOWERCASE_UF_REGION}' THEN lower(uf) WHEN '{B.LONG_UF_REGION}' THEN uf || 'X' ELSE uf END AS uf,
+         concat(CASE region WHEN '{B.LOWERCASE_UF_REGION}' THEN lower(uf) WHEN '{B.LONG_UF_REGION}' THEN uf || 'X' ELSE uf END, '_land.csv') AS file
   FROM base
 ),
 prior AS (SELECT * FROM base WHERE landed_on < DATE '{B.WAVE_CUTOFF}'),
