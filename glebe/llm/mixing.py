@@ -170,9 +170,11 @@ def _by_turn(columns: list[Column]) -> Column:
 
 
 def in_training_order(rows: DataFrame, position: str) -> DataFrame:
-    """Range sort by position: many sorted partitions, no single task."""
+    """Range sort by position: many sorted partitions, no single task. Rows of one position (those without any, above
+    all) are spread by a hash of their doc_id and size."""
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartitionByRange(partitions, position).sortWithinPartitions(position)
+    placed = rows.withColumn("_tie", hash52(F.col("doc_id"), F.col("size")))
+    return placed.repartitionByRange(partitions, position, "_tie").sortWithinPartitions(position, "_tie").drop("_tie")
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
@@ -189,5 +191,5 @@ def curriculum(docs: DataFrame) -> DataFrame:
     """The mix itself: a row of ``docs`` for every copy taken, its columns unchanged, in training order."""
     rows = packed(docs, doc_id=F.col("doc_id"), source=F.col("source"), size=word_count(F.col("text")))
     sizes = staged(rows.drop("_row"), "mix")
-    out = mixed(rows, sizes).select("_row", F.explode("positions").alias("position"))
+    out = mixed(rows, sizes).select("_row", "doc_id", "size", F.explode("positions").alias("position"))
     return unpacked(in_training_order(out, "position"))
