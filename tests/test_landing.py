@@ -234,6 +234,8 @@ def test_lookups_reach_the_scan(spark, landing_dir):
     index = R.write_index(reg, scratch_path(spark, "test-index"), "municipio")
     found = LK.lookup_by(index, "municipio", "C3")
     assert "EqualTo(municipio,C3)" in formatted(found) and found.count() == 40
+    owners = LK.lookup_by(R.write_index(reg, scratch_path(spark, "test-index"), "proprietario"), "proprietario", "Ana")
+    assert "EqualTo(proprietario,Ana)" in formatted(owners) and owners.count() == 200
 
 
 def test_registry_schema_fixed_and_obsolete_column_ignored(spark, landing_dir):
