@@ -8,10 +8,12 @@ leaves; so the array holds repeated suffixes only and shrinks from round to roun
 
 Suffixes that share their first l lines stand side by side: an interval of the array with a longest common
 prefix of at least l, named by the pair (rank k here, rank k at l - 2^k), 2^k <= l < 2^(k+1). A repeated run
-counts from :data:`MIN_WORDS` words on, so from each position the shortest window of lines with so many words
-is looked at. In every interval of such windows the earliest in document order stays and the lines of the
-others are deleted. Windows of a longer run overlap, so their union is the maximal run. All of it is DataFrame
-operations; the array never needs more than log2(MIN_WORDS) rounds, as a line holds a word at least.
+counts from :data:`MIN_WORDS` words on, so the shortest windows of lines with so many words are looked at: the
+one that begins at each line and the one that ends at each line. In every interval of such windows the earliest
+in document order stays and the lines of the others are deleted. A line of a run lies in the window that begins
+at it, or, if fewer words are left of the run, in the window that ends the run; so the union of the windows is
+the maximal run. All of it is DataFrame operations; the array never needs more than log2(MIN_WORDS) rounds, as a
+line holds a word at least.
 
 Defined results:
   null text       no line; the text stays null
@@ -49,10 +51,12 @@ def _ranked(keys: DataFrame, by: list[str], purpose: str) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
-    """_uid, seq (number among the document's non-blank lines), rank (of the line), place (order of all lines), len.
+    """_uid, seq (number among the document's non-blank lines), rank (of the line), place (order of all lines), len, tail, tail_place.
 
     Only lines that occur more than once. ``len``: lines of the shortest window from here with MIN_WORDS words
-    whose lines all occur more than once, else null. ``docs`` is staged: _uid, doc_id, text.
+    whose lines all occur more than once, else null. ``tail``: lines of the shortest such window that ends here,
+    and ``tail_place`` the place of its first line; null if that line's ``len`` is the same window. ``docs`` is
+    staged: _uid, doc_id, text.
     """
     exploded = docs.select("_uid", "doc_id", F.posexplode(_lines(F.col("text"))).alias("seq", "l"))
     text = F.col("l.words")
@@ -75,7 +79,13 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     kept = kept.withColumn("before", before.cast("long")).withColumn("whole", F.sum("words").over(island))
     reach = F.count(F.lit(1)).over(island.orderBy("before").rangeBetween(0, MIN_WORDS - 1))
     length = F.when(F.col("whole") - F.col("before") >= MIN_WORDS, reach)
-    return staged(kept.withColumn("len", length.cast("int")).select("_uid", "seq", "rank", "place", "len"), "line-sequence")
+    kept = kept.withColumn("len", length.cast("int")).withColumn("upto", F.col("before") + F.col("words"))
+    ending = island.orderBy("upto").rangeBetween(1 - MIN_WORDS, 0)
+    kept = kept.withColumn("back", F.count(F.lit(1)).over(ending).cast("int"))
+    kept = kept.withColumn("back_len", F.first("len").over(ending)).withColumn("back_place", F.first("place").over(ending))
+    apart = (F.col("upto") >= MIN_WORDS) & (F.col("back") != F.col("back_len"))
+    kept = kept.withColumn("tail", F.when(apart, F.col("back"))).withColumn("tail_place", F.when(apart, F.col("back_place")))
+    return staged(kept.select("_uid", "seq", "rank", "place", "len", "tail", "tail_place"), "line-sequence")
 
 
 def _ahead(left: DataFrame, right: DataFrame, by: Column) -> DataFrame:
@@ -95,8 +105,9 @@ def _doubled(level: DataFrame, width: int) -> DataFrame:
 
 def later_copies(sequence: DataFrame) -> DataFrame:
     """(_uid, seq, len): windows of lines that occur earlier."""
-    longest = sequence.agg(F.max("len")).first()[0]
-    starts = sequence.where("len is not null").select("_uid", "seq", "place", "len")
+    longest = sequence.agg(F.max(F.greatest("len", "tail"))).first()[0]
+    tails = sequence.where("tail is not null").select("_uid", (F.col("seq") - F.col("tail") + 1).alias("seq"), F.col("tail_place").alias("place"), F.col("tail").alias("len"))
+    starts = sequence.where("len is not null").select("_uid", "seq", "place", "len").unionByName(tails)
     level, width, found = sequence.select("_uid", "seq", "rank"), 1, None
     while longest is not None and width <= longest:
         here = starts.where((F.col("len") >= width) & (F.col("len") < 2 * width))
