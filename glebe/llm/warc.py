@@ -6,9 +6,10 @@ task writes one archive under a name of its attempt and returns a manifest row;
 successful attempts only, so archives that a lost executor left behind are never listed.
 
 Reader. Archives are cut into byte ranges. A task searches its range for the gzip magic, takes a position for
-a member only if its first bytes inflate to a WARC header with a length, if the whole member inflates with a
-right checksum, and if its size is that of the header plus the length. It owns the records that start inside
-its range, reads the last one past the range's end, and follows a record by what stands right behind it.
+a member only if its first bytes inflate to the start of a WARC header, if the whole member inflates with a
+right checksum, and if its size is that of the header, however long, plus the length the header gives. It owns
+the records that start inside its range, reads the last one past the range's end, and follows a record by what
+stands right behind it. :func:`round_trip` counts the records of every archive against its manifest row.
 Executors open archives through pyarrow's file systems (``file``, ``hdfs``, ``s3`` and others).
 
 Defined results:
@@ -46,7 +47,7 @@ CAPTURE_DATE = "2024-01-01T00:00:00Z"
 LEVEL = 6
 SPLIT_BYTES = 4 << 20
 READ_BYTES = 1 << 20
-# A WARC header and the HTTP header behind it are looked for in so many inflated bytes.
+# So many inflated bytes are looked at before a whole member is inflated.
 HEADER_BYTES = 1 << 16
 BATCH_ROWS = 512
 BATCH_BYTES = 16 << 20
@@ -170,7 +171,9 @@ def _header(data: bytes) -> tuple[dict[str, str], int] | None:
 def member_at(source, at: int) -> tuple[dict[str, str], bytes, int] | None:
     """(fields, block, end) of the record whose gzip member starts at ``at``; None if no valid one does."""
     try:
-        if _header(_inflate(source, at, HEADER_BYTES)[0]) is None:
+        first = _inflate(source, at, HEADER_BYTES)[0]
+        # A header that goes on behind these bytes is judged by the whole member.
+        if not first.startswith(b"WARC/") or (b"\r\n\r\n" in first and _header(first) is None):
             return None
         data, end, complete = _inflate(source, at, None)
     except zlib.error:
@@ -253,7 +256,19 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), RECORD_ARROW.types)], schema=RECORD_ARROW)
 
 
+def counted(records: DataFrame, manifest: DataFrame) -> DataFrame:
+    """``records`` (staged) as they are; raises if an archive gave another number of them than its manifest row says."""
+    read = records.groupBy(F.col("path").alias("_path")).agg(F.count(F.lit(1)).alias("_read"))
+    told = manifest.join(read, F.col("path") == F.col("_path"), "left").withColumn("_read", F.coalesce("_read", F.lit(0)))
+    wrong = told.where(F.col("_read") != F.col("records")).select("path", "records", "_read").first()
+    if wrong is not None:
+        raise ValueError(f"{wrong['path']} holds {wrong['records']} records, {wrong['_read']} were read")
+    return records
+
+
 def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Write ``pages`` as archives, read them back: page_id, payload_bytes, payload_digest, record_type, refers_to."""
     manifest = write_archives(pages, scratch_path(pages.sparkSession, "llm-warc"), least_bytes)
-    return read_archives(manifest, keep_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    wanted = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    records = staged(read_archives(manifest, keep_payload=False).select("path", *wanted), "warc-records")
+    return counted(records, manifest).select(*wanted)
