@@ -2,7 +2,7 @@
 
 A text becomes a sequence of tokens (runs of letters, digits and unit signs), and each token is typed:
 
-  a number
+  a number, with its decimals and groups of digits (3.5, 1,200, 1 200)
   a unit behind a number, or a currency sign before one
   a name: one capital and small letters, inside a sentence (behind a word or comma and one space)
   else the token itself, lower-cased
@@ -51,8 +51,11 @@ UNITS = (
 # Placeholders: private characters, which no token holds.
 NUMBER, UNIT, NAME = "\ue001", "\ue002", "\ue003"
 
-_SEPARATORS = r"[^\p{L}\p{N}%°€$£\ue003]+|(?<=\p{N})(?=[\p{L}%°€$£])|(?<=[%°€$£])(?=\p{N})"
-_NUMBER = r"(?<![^ ])\p{N}+(?![^ ])"
+# Stands for what joins the digits of one number.
+INNER = "\ue005"
+_INNER = r"[.,](?<=\p{N}.)(?=\p{N})|[ \u00a0\u2009\u202f](?<=(?<!\p{N})\p{N}{1,3}.)(?=\p{N}{3}(?!\p{N}))"
+_SEPARATORS = r"[^\p{L}\p{N}%°€$£\ue003\ue005]+|(?<=\p{N})(?=[\p{L}%°€$£])|(?<=[%°€$£])(?=\p{N})"
+_NUMBER = r"(?<![^ ])\p{N}[\p{N}\ue005]*(?![^ ])"
 _UNIT = r"(?i)(?<=\ue001 )(?:" + "|".join(u if u.isalpha() else "\\" + u for u in UNITS) + r")(?![^ ])|(?<![^ ])[€$£](?= \ue001)"
 _NAME = r"\p{Lu}(?<=[\p{L}\p{N},;] \p{Lu})\p{Ll}+(?![\p{L}\p{N}%°€$£])"
 
@@ -62,16 +65,21 @@ def spaced(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, _SEPARATORS, " "))
 
 
+def _clean(text: Column) -> Column:
+    """The text without our private characters, its numbers joined."""
+    return F.regexp_replace(F.regexp_replace(text, "[\ue001-\ue005]", " "), _INNER, INNER)
+
+
 def template(text: Column) -> Column:
     """The template of a text: as many tokens as :func:`spaced` gives, one space between them."""
-    tokens = spaced(F.regexp_replace(F.regexp_replace(text, "[\ue001-\ue003]", " "), _NAME, NAME))
+    tokens = spaced(F.regexp_replace(_clean(text), _NAME, NAME))
     typed = F.regexp_replace(F.regexp_replace(tokens, _NUMBER, NUMBER), _UNIT, UNIT)
     return F.lower(F.when(tokens.rlike(r"\p{N}"), typed).otherwise(tokens))
 
 
 def _plain(text: Column) -> Column:
     """The raw tokens, in small letters: values of slots are compared without regard to case."""
-    return F.lower(spaced(F.regexp_replace(text, "[\ue001-\ue003]", " ")))
+    return F.lower(spaced(_clean(text)))
 
 
 def _split(text: Column) -> Column:
