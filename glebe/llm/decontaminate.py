@@ -7,9 +7,12 @@ A text becomes a sequence of tokens (runs of letters, digits and unit signs), an
   a name: one capital and small letters, inside a sentence (behind a word or comma and one space)
   else the token itself, lower-cased
 
-Windows of :data:`WINDOW` template tokens of all documents are hash-joined with those of the benchmark. The
-benchmark's windows also stand under their names in small letters, so copies in other letter case are found. A
-document is a candidate for an item when it holds :data:`COVERAGE` of the item's windows. Then the slots are
+A capitalised word that begins a sentence (or stands behind a quote, bracket or line break) may be a name or not:
+it is marked, and counts as itself in one form of its windows and as a name in another.
+
+Windows of :data:`WINDOW` template tokens of all documents are hash-joined with those of the benchmark, in both
+forms of each side. The benchmark's windows also stand under their names in small letters, so copies in other
+letter case are found. A document is a candidate for an item when it holds :data:`COVERAGE` of the item's windows. Then the slots are
 checked: along one alignment (document position minus item position), each value of the item's slots must
 stand for one value of the document's; windows that hold another value than the most frequent one are taken
 out. Items that are still covered by at least COVERAGE are reported. So a question whose numbers and names
@@ -51,13 +54,16 @@ UNITS = (
 # Placeholders: private characters, which no token holds.
 NUMBER, UNIT, NAME = "\ue001", "\ue002", "\ue003"
 
+# Stands before a capitalised word that may be a name.
+MARK = "\ue004"
 # Stands for what joins the digits of one number.
 INNER = "\ue005"
 _INNER = r"[.,](?<=\p{N}.)(?=\p{N})|[ \u00a0\u2009\u202f](?<=(?<!\p{N})\p{N}{1,3}.)(?=\p{N}{3}(?!\p{N}))"
-_SEPARATORS = r"[^\p{L}\p{N}%°€$£\ue003\ue005]+|(?<=\p{N})(?=[\p{L}%°€$£])|(?<=[%°€$£])(?=\p{N})"
+_SEPARATORS = r"[^\p{L}\p{N}%°€$£\ue003-\ue005]+|(?<=\p{N})(?=[\p{L}%°€$£])|(?<=[%°€$£])(?=\p{N})"
 _NUMBER = r"(?<![^ ])\p{N}[\p{N}\ue005]*(?![^ ])"
-_UNIT = r"(?i)(?<=\ue001 )(?:" + "|".join(u if u.isalpha() else "\\" + u for u in UNITS) + r")(?![^ ])|(?<![^ ])[€$£](?= \ue001)"
+_UNIT = r"(?i)(?<=\ue001 )\ue004?(?:" + "|".join(u if u.isalpha() else "\\" + u for u in UNITS) + r")(?![^ ])|(?<![^ ])[€$£](?= \ue001)"
 _NAME = r"\p{Lu}(?<=[\p{L}\p{N},;] \p{Lu})\p{Ll}+(?![\p{L}\p{N}%°€$£])"
+_OPENING = r"\p{Lu}(?<![\p{L}\p{N}%°€$£\ue003].)\p{Ll}+(?![\p{L}\p{N}%°€$£])"
 
 
 def spaced(text: Column) -> Column:
@@ -71,8 +77,9 @@ def _clean(text: Column) -> Column:
 
 
 def template(text: Column) -> Column:
-    """The template of a text: as many tokens as :func:`spaced` gives, one space between them."""
-    tokens = spaced(F.regexp_replace(_clean(text), _NAME, NAME))
+    """The template of a text: as many tokens as :func:`spaced` gives, one space between them; those that may be names are marked."""
+    named = F.regexp_replace(_clean(text), _NAME, NAME)
+    tokens = spaced(F.regexp_replace(named, _OPENING, MARK + "$0"))
     typed = F.regexp_replace(F.regexp_replace(tokens, _NUMBER, NUMBER), _UNIT, UNIT)
     return F.lower(F.when(tokens.rlike(r"\p{N}"), typed).otherwise(tokens))
 
@@ -94,23 +101,36 @@ def _windows(tokens: Column) -> Column:
     return F.when(size >= WINDOW, rolling).when(size > 0, whole).otherwise(F.array().cast("array<bigint>"))
 
 
+def _forms(marked: Column) -> tuple[Column, Column]:
+    """The template tokens with marked words as themselves, and as names."""
+    return F.transform(marked, lambda k: F.ltrim(k, F.lit(MARK))), F.transform(marked, lambda k: F.when(k.startswith(MARK), NAME).otherwise(k))
+
+
+def _literals(kinds: Column) -> Column:
+    return F.size(F.filter(kinds, lambda k: ~k.isin(NUMBER, UNIT, NAME)))
+
+
 def _key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """_item (a number of ours), item_id, _at, _hashes, _raw (the window's raw tokens), _kinds (its template tokens), _all (windows that count)."""
+    """_item (a number of ours), item_id, _at, _hashes, _raw (the window's raw tokens), _kinds (its template tokens, marked words as names), _all (windows that count)."""
     items = staged(benchmark.select("item_id", "text").withColumn("_item", F.monotonically_increasing_id()), "decontaminate-items")
-    tokens = items.select("_item", "item_id", _split(_plain(F.col("text"))).alias("_raw"), _split(template(F.col("text"))).alias("_kinds"))
+    tokens = items.select("_item", "item_id", _split(_plain(F.col("text"))).alias("_raw"), _split(template(F.col("text"))).alias("_marked"))
+    plain, named = _forms(F.col("_marked"))
+    tokens = tokens.withColumn("_kinds", plain).withColumn("_named", named)
     folded = F.zip_with("_kinds", "_raw", lambda k, r: F.when(k == NAME, F.lower(r)).otherwise(k))
     tokens = tokens.withColumn("_folded", folded)
-    both = F.arrays_zip(_windows(F.col("_kinds")).alias("typed"), _windows(F.col("_folded")).alias("folded"))
-    placed = tokens.select("_item", "item_id", "_raw", "_kinds", F.posexplode(both).alias("_at", "_hash"))
+    both = F.arrays_zip(_windows(F.col("_kinds")).alias("typed"), _windows(F.col("_folded")).alias("folded"), _windows(F.col("_named")).alias("named"))
+    placed = tokens.select("_item", "item_id", "_raw", "_kinds", "_named", F.posexplode(both).alias("_at", "_hash"))
     cut = lambda c: F.slice(c, F.col("_at") + 1, F.lit(WINDOW))
-    hashes = F.array_distinct(F.array("_hash.typed", "_hash.folded"))
-    placed = placed.select("_item", "item_id", "_at", hashes.alias("_hashes"), cut("_raw").alias("_raw"), cut("_kinds").alias("_kinds"))
-    literal = F.size(F.filter("_kinds", lambda k: ~k.isin(NUMBER, UNIT, NAME))) >= F.least(F.lit(LITERALS), F.size("_kinds"))
-    placed = placed.withColumn("_literal", literal)
+    placed = placed.select("_item", "item_id", "_at", "_hash", cut("_raw").alias("_raw"), cut("_kinds").alias("_kinds"), cut("_named").alias("_named"))
+    enough = F.least(F.lit(LITERALS), F.size("_kinds"))
+    # The form with more names stands only where it still says enough.
+    hashes = F.array_compact(F.array("_hash.typed", "_hash.folded", F.when(_literals(F.col("_named")) >= enough, F.col("_hash.named"))))
+    placed = placed.withColumn("_hashes", F.array_distinct(hashes)).withColumn("_literal", _literals(F.col("_kinds")) >= enough)
+    placed = placed.withColumn("_kinds", F.col("_named")).drop("_hash", "_named")
     told = placed.groupBy("_item").agg(F.sum(F.col("_literal").cast("int")).alias("_telling"), F.count(F.lit(1)).alias("_every"))
     placed = placed.join(told, "_item").where(F.col("_literal") | (F.col("_telling") == 0))
     every = F.when(F.col("_telling") == 0, F.col("_every")).otherwise(F.col("_telling"))
@@ -120,8 +140,12 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
 def matches(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """(_doc, _text, _item, _at, _pos) of the windows that candidates share with their items. ``docs``: _doc, text."""
     tokens = docs.select("_doc", _key(F.col("text")).alias("_text"), template(F.col("text")).alias("_template"))
-    tokens = tokens.select("_doc", "_text", _split(F.col("_template")).alias("_kinds"))
-    placed = tokens.select("_doc", "_text", F.posexplode(_windows(F.col("_kinds"))).alias("_pos", "_hash"))
+    tokens = tokens.select("_doc", "_text", _split(F.col("_template")).alias("_marked"))
+    plain, named = _forms(F.col("_marked"))
+    tokens = tokens.select("_doc", "_text", _windows(plain).alias("_plain"), _windows(named).alias("_named"))
+    # One row per window, and one more where its other form differs.
+    both = F.zip_with("_plain", "_named", lambda p, n: F.when(p == n, F.array(p)).otherwise(F.array(p, n)))
+    placed = tokens.select("_doc", "_text", F.posexplode(both).alias("_pos", "_both")).select("_doc", "_text", "_pos", F.explode("_both").alias("_hash"))
     few = bounded_broadcast(windows.select(F.explode("_hashes").alias("_hash"), "_item", "_at", "_all"))
     found = staged(placed.join(few, "_hash").drop("_hash").distinct(), "decontaminate-matches")
     covered = found.groupBy("_doc", "_text", "_item", "_all").agg(F.count_distinct("_at").alias("_n")).where(F.col("_n") >= F.col("_all") * F.lit(COVERAGE))
