@@ -14,10 +14,13 @@ weights in turn and share ``share`` times all words; no target exceeds
 weight until no target is above its cap.
 
 Whole documents are taken. Every complete pass over a source takes each of its
-documents once. The rest of the target, ``R`` words, takes documents in the
-order of a hash as long as they fit, and then the one remaining document whose
-size is nearest to the words still wanted, if it brings the source nearer to
-its target.
+documents once. The rest of the target, ``R`` words, goes through the documents
+in the order of a hash and takes each that still fits; one that is too large is
+passed over. Then the one remaining document whose size is nearest to the words
+still wanted closes the pass, if it brings the source nearer to its target. This
+takes rounds of the prefix sum: each goes on behind the document that ended the
+one before, over the documents no larger than the words still wanted. A source
+stops after the round behind which the closing document brings it nearest.
 
 Defined results:
   null or empty text   size 0, taken 0, no copy and no position
@@ -120,14 +123,48 @@ def _placed(rows: DataFrame, targets: DataFrame, sums_of: DataFrame | None = Non
 
 
 def _closing(placed: DataFrame) -> DataFrame:
-    """One row per source: where the last pass stops fitting (``_end``) and the start of the document that closes it."""
-    unfit = staged(placed.where(F.col("_start") + F.col("size") > F.col("_rest")).select("source", "_start", "size", "_rest", "_h"), "mix-unfit")
-    ends = bounded_broadcast(unfit.groupBy(F.col("source").alias("_s")).agg(F.min("_start").alias("_end")))
-    left = F.col("_rest") - F.col("_end")
-    gap = F.abs(F.col("size") - left)
-    nearer = unfit.join(ends, F.col("source").eqNullSafe(F.col("_s"))).where(gap < left)
-    best = nearer.groupBy("_s", "_end").agg(F.min(F.struct(gap.alias("gap"), "_h", "_start")).alias("_best"))
-    return best.select("_s", "_end", F.col("_best._start").alias("_last"))
+    """(_t, _at, _words, _begin): the documents that the last pass takes behind the first that does not fit (source, start and
+    size), and the word of the pass at which each begins."""
+    unfit = placed.where((F.col("size") > 0) & (F.col("_start") + F.col("size") > F.col("_rest")))
+    unfit = staged(unfit.select("source", "_start", "size", "_rest", "_h", "_docs", "source_size"), "mix-unfit")
+    ends = unfit.groupBy(F.col("source").alias("_s")).agg(F.max("_rest").alias("_all"), F.min("_start").alias("_cut"))
+    state = staged(ends.withColumn("_left", F.col("_all") - F.col("_cut")), "mix-left")
+    same = F.col("source").eqNullSafe(F.col("_s"))
+    bucket = F.floor(F.col("_start") / F.col("source_size") * bucket_count(F.col("_docs"))).cast("long")
+    taken, states = None, []
+    # Every round takes a document of each source that goes on, or ends it; _cut is null where a source has ended.
+    while True:
+        states.append(state.select("_s", "_all", "_left", F.lit(len(states)).alias("_k")))
+        if state.where("_cut is not null").isEmpty():
+            break
+        going = unfit.join(bounded_broadcast(state), same).where((F.col("_start") >= F.col("_cut")) & (F.col("size") <= F.col("_left")))
+        going = going.withColumn("_g", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))).withColumn("_b", bucket)
+        going = with_running_total(going, ["_g"], "_b", [F.col("_start")], "size", "_run")
+        going = staged(going.select("source", "_start", "size", "_run", "_all", "_left"), "mix-round")
+        fits = F.col("_run") + F.col("size") <= F.col("_left")
+        found = going.where(fits).select(F.col("source").alias("_t"), F.col("_start").alias("_at"), F.col("size").alias("_words"),
+                                         (F.col("_all") - F.col("_left") + F.col("_run")).alias("_begin"), F.lit(len(states)).alias("_round"))
+        taken = found if taken is None else taken.unionByName(found)
+        step = going.groupBy("source").agg(F.sum(F.when(fits, F.col("size"))).alias("_took"), F.min(F.when(~fits, F.col("_start"))).alias("_next"))
+        state = state.join(step, same, "left").select("_s", "_all", F.col("_next").alias("_cut"), (F.col("_left") - F.coalesce("_took", F.lit(0))).alias("_left"))
+        state = staged(state, "mix-left")
+    if taken is None:
+        taken = unfit.limit(0).select(F.col("source").alias("_t"), F.col("_start").alias("_at"), F.col("size").alias("_words"), F.col("_rest").alias("_begin"), F.lit(0).alias("_round"))
+    taken, after = staged(taken, "mix-taken"), states[0]
+    for more in states[1:]:
+        after = after.unionByName(more)
+    after = staged(after, "mix-after")
+    gap = F.abs(F.col("size") - F.col("_left"))
+    nearer = unfit.join(bounded_broadcast(after), same).where(gap < F.col("_left"))
+    gone = F.col("source").eqNullSafe(F.col("_t")) & (F.col("_start") == F.col("_at")) & (F.col("size") == F.col("_words")) & (F.col("_round") <= F.col("_k"))
+    nearer = nearer.join(bounded_broadcast(taken), gone, "left_anti")
+    best = nearer.groupBy(F.col("_s").alias("_n"), F.col("_k").alias("_j")).agg(F.min(F.struct(gap.alias("gap"), "_h", "_start", "size")).alias("_best"))
+    ways = after.join(best, F.col("_s").eqNullSafe(F.col("_n")) & (F.col("_k") == F.col("_j")), "left")
+    way = F.struct(F.coalesce("_best.gap", "_left").alias("off"), "_k", "_best", (F.col("_all") - F.col("_left")).alias("begin"))
+    chosen = staged(ways.groupBy("_s").agg(F.min(way).alias("_way")), "mix-chosen")
+    kept = taken.join(bounded_broadcast(chosen), F.col("_t").eqNullSafe(F.col("_s"))).where(F.col("_round") <= F.col("_way._k")).select("_t", "_at", "_words", "_begin")
+    last = chosen.where("_way._best is not null").select(F.col("_s").alias("_t"), F.col("_way._best._start").alias("_at"), F.col("_way._best.size").alias("_words"), F.col("_way.begin").alias("_begin"))
+    return staged(kept.unionByName(last), "mix-closed")
 
 
 def mixed(rows: DataFrame, sizes: DataFrame, weights: Sequence[float] = BASE_WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS,
@@ -142,15 +179,16 @@ def mixed(rows: DataFrame, sizes: DataFrame, weights: Sequence[float] = BASE_WEI
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     targets = source_targets(sizes, weights, share, max_epochs).withColumnRenamed("source", "_s").withColumn("_passes", passes)
     targets = staged(targets.withColumn("_rest", F.col("target") - F.col("_passes") * F.col("source_size")), "mix-targets")
-    last = _closing(_placed(sizes, bounded_broadcast(targets))).withColumnRenamed("_s", "_t")
-    targets = staged(targets.join(last, F.col("_s").eqNullSafe(F.col("_t")), "left").drop("_t"), "mix-closed")
+    more = _closing(_placed(sizes, bounded_broadcast(targets)))
     out = _placed(rows, bounded_broadcast(targets), sums_of=sizes)
+    also = F.col("source").eqNullSafe(F.col("_t")) & (F.col("_start") == F.col("_at")) & (F.col("size") == F.col("_words"))
+    out = out.join(bounded_broadcast(more), also, "left")
     fits = F.col("_start") + F.col("size") <= F.col("_rest")
-    closes = F.coalesce(F.col("_start") == F.col("_last"), F.lit(False)) & ~fits
+    closes = F.col("_begin").isNotNull()
     out = out.withColumn("copies", F.when(F.col("size") > 0, F.col("_passes") + (fits | closes).cast("long")).otherwise(F.lit(0)).cast("int"))
 
     def position(copy: int) -> Column:
-        begins = F.when(closes & (F.col("_passes") == copy), F.col("_end")).otherwise(F.col("_start"))
+        begins = F.when(closes & (F.col("_passes") == copy), F.col("_begin")).otherwise(F.col("_start"))
         reached = F.least((copy * F.col("source_size") + begins) / F.col("target"), F.lit(1.0))
         return F.when(F.col("copies") > copy, _by_turn([_invert(reached, s) for s in schedules]))
 
@@ -158,7 +196,7 @@ def mixed(rows: DataFrame, sizes: DataFrame, weights: Sequence[float] = BASE_WEI
     return (
         out.withColumn("positions", positions)
         .withColumn("taken", (F.col("copies") * F.col("size")).cast("long"))
-        .drop("_g", "_b", "_h", "_start", "_passes", "_rest", "_docs", "_turn", "_end", "_last")
+        .drop("_g", "_b", "_h", "_start", "_passes", "_rest", "_docs", "_turn", "_t", "_at", "_words", "_begin")
     )
 
 
