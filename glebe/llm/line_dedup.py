@@ -8,12 +8,12 @@ leaves; so the array holds repeated suffixes only and shrinks from round to roun
 
 Suffixes that share their first l lines stand side by side: an interval of the array with a longest common
 prefix of at least l, named by the pair (rank k here, rank k at l - 2^k), 2^k <= l < 2^(k+1). A repeated run
-counts from :data:`MIN_WORDS` words on, so the shortest windows of lines with so many words are looked at: the
+counts from ``min_words`` words on (:data:`MIN_WORDS` unless given), so the shortest windows of lines with so many words are looked at: the
 one that begins at each line and the one that ends at each line. In every interval of such windows the earliest
 in document order stays and the lines of the others are deleted. A line of a run lies in the window that begins
 at it, or, if fewer words are left of the run, in the window that ends the run; so the union of the windows is
-the maximal run. All of it is DataFrame operations; the array never needs more than log2(MIN_WORDS) rounds, as a
-line holds a word at least.
+the maximal run. All of it is DataFrame operations; the array is sorted as deep as the longest of these windows,
+log2(min_words) rounds at most, as a line holds a word at least.
 
 Defined results:
   null text       no line; the text stays null
@@ -50,10 +50,10 @@ def _ranked(keys: DataFrame, by: list[str], purpose: str) -> DataFrame:
     return staged(placed.withColumn("rank", F.monotonically_increasing_id()), purpose)
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
+def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """_uid, seq (number among the document's non-blank lines), rank (of the line), place (order of all lines), len, tail, tail_place.
 
-    Only lines that occur more than once. ``len``: lines of the shortest window from here with MIN_WORDS words
+    Only lines that occur more than once. ``len``: lines of the shortest window from here with ``min_words`` words
     whose lines all occur more than once, else null. ``tail``: lines of the shortest such window that ends here,
     and ``tail_place`` the place of its first line; null if that line's ``len`` is the same window. ``docs`` is
     staged: _uid, doc_id, text.
@@ -77,13 +77,13 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     island = Window.partitionBy("_uid", "island")
     before = F.sum("words").over(island.orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("words")
     kept = kept.withColumn("before", before.cast("long")).withColumn("whole", F.sum("words").over(island))
-    reach = F.count(F.lit(1)).over(island.orderBy("before").rangeBetween(0, MIN_WORDS - 1))
-    length = F.when(F.col("whole") - F.col("before") >= MIN_WORDS, reach)
+    reach = F.count(F.lit(1)).over(island.orderBy("before").rangeBetween(0, min_words - 1))
+    length = F.when(F.col("whole") - F.col("before") >= min_words, reach)
     kept = kept.withColumn("len", length.cast("int")).withColumn("upto", F.col("before") + F.col("words"))
-    ending = island.orderBy("upto").rangeBetween(1 - MIN_WORDS, 0)
+    ending = island.orderBy("upto").rangeBetween(1 - min_words, 0)
     kept = kept.withColumn("back", F.count(F.lit(1)).over(ending).cast("int"))
     kept = kept.withColumn("back_len", F.first("len").over(ending)).withColumn("back_place", F.first("place").over(ending))
-    apart = (F.col("upto") >= MIN_WORDS) & (F.col("back") != F.col("back_len"))
+    apart = (F.col("upto") >= min_words) & (F.col("back") != F.col("back_len"))
     kept = kept.withColumn("tail", F.when(apart, F.col("back"))).withColumn("tail_place", F.when(apart, F.col("back_place")))
     return staged(kept.select("_uid", "seq", "rank", "place", "len", "tail", "tail_place"), "line-sequence")
 
@@ -123,9 +123,9 @@ def later_copies(sequence: DataFrame) -> DataFrame:
     return found if found is not None else starts.select("_uid", "seq", "len").where(F.lit(False))
 
 
-def removed_runs(docs: DataFrame) -> DataFrame:
+def removed_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(_uid, runs): per document with deletions, the maximal runs as sorted (seq, lines). ``docs`` is staged: _uid, doc_id, text."""
-    windows = later_copies(repeated_lines(docs))
+    windows = later_copies(repeated_lines(docs, min_words))
     lines = windows.select("_uid", F.explode(F.sequence(F.col("seq"), F.col("seq") + F.col("len") - 1)).alias("seq")).distinct()
     lines = lines.repartition("_uid")
     run = F.col("seq") - F.row_number().over(Window.partitionBy("_uid").orderBy("seq"))
@@ -133,9 +133,9 @@ def removed_runs(docs: DataFrame) -> DataFrame:
     return runs.groupBy("_uid").agg(F.sort_array(F.collect_list(F.struct("seq", "lines"))).alias("runs"))
 
 
-def _with_deletions(docs: DataFrame) -> DataFrame:
+def _with_deletions(docs: DataFrame, min_words: int) -> DataFrame:
     """``docs`` (staged) with runs, and the text that is left."""
-    joined = docs.join(removed_runs(docs.select("_uid", "doc_id", "text")), "_uid", "left")
+    joined = docs.join(removed_runs(docs.select("_uid", "doc_id", "text"), min_words), "_uid", "left")
     joined = joined.withColumn("runs", F.coalesce("runs", F.array().cast("array<struct<seq:int,lines:int>>")))
     joined = joined.withColumn("_numbers", F.transform(_lines(F.col("text")), lambda s: s["line"]))
     gone = F.flatten(F.transform("runs", lambda r: F.slice(F.col("_numbers"), r["seq"] + 1, r["lines"])))
@@ -145,18 +145,18 @@ def _with_deletions(docs: DataFrame) -> DataFrame:
     return joined.withColumn("_rest", F.when(F.size("runs") > 0, rest).otherwise(F.col("text")))
 
 
-def drop_repeated_lines(docs: DataFrame) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with later copies of repeated runs of lines cut out of ``text``; other columns and the rows stay."""
     rows = packed(docs, doc_id=F.col("doc_id"), text=F.col("text"))
     rows = staged(rows.withColumn("_uid", F.monotonically_increasing_id()), "line-docs")
-    out = _with_deletions(rows).withColumn("_row", F.col("_row").withField("text", F.col("_rest")))
+    out = _with_deletions(rows, min_words).withColumn("_row", F.col("_row").withField("text", F.col("_rest")))
     return unpacked(out)
 
 
-def deduplicated_lines(docs: DataFrame) -> DataFrame:
+def deduplicated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """One row per document: doc_id, lines (non-blank), removed_lines, removed_runs, text_sha256 of what is left."""
     rows = staged(docs.select("doc_id", "text").withColumn("_uid", F.monotonically_increasing_id()), "line-docs")
-    out = _with_deletions(rows)
+    out = _with_deletions(rows, min_words)
     removed = F.aggregate("runs", F.lit(0), lambda total, r: total + r["lines"])
     return out.select(
         "doc_id", F.coalesce(F.size("_numbers"), F.lit(0)).alias("lines"), removed.alias("removed_lines"), F.size("runs").alias("removed_runs"),

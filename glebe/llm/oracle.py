@@ -132,9 +132,14 @@ with d as (
 ), b as (
   select *, sum(n) over (partition by uid order by seq) - n as before, sum(n) over (partition by uid) as whole from p
 ), w as (
-  select *, list(words) over (partition by uid order by before range between current row and {line_dedup.MIN_WORDS - 1} following) as win from b
+  select uid, seq, list(words) over (partition by uid order by before range between current row and {line_dedup.MIN_WORDS - 1} following) as win, whole - before as reach from b
+), e as (
+  select uid, seq, list(words) over (partition by uid order by before + n range between {line_dedup.MIN_WORDS - 1} preceding and current row) as win, before + n as reach from b
+), every_window as (
+  select uid, seq, win from w where reach >= {line_dedup.MIN_WORDS}
+  union select uid, seq - len(win) + 1, win from e where reach >= {line_dedup.MIN_WORDS}
 ), c as (
-  select uid, seq, len(win) as len, row_number() over (partition by win order by uid, seq) as nth from w where whole - before >= {line_dedup.MIN_WORDS}
+  select uid, seq, len(win) as len, row_number() over (partition by win order by uid, seq) as nth from every_window
 ), gone as (
   select distinct uid, unnest(range(seq, seq + len)) as seq from c where nth > 1
 ), runs as (

@@ -2,33 +2,17 @@
 
 import random
 
-from brute import WORDS
+from brute import deleted_lines
 from glebe.llm import line_dedup
 
 
-def maximal_runs(texts, least_words):
-    """Per document the lines of every run of ``least_words`` words or more that begins earlier too, by comparing all pairs of places."""
-    seqs = [[x.strip(" \t\r\x0b\x0c") for x in (t or "").split("\n")] for t in texts]
-    seqs = [[x for x in s if x] for s in seqs]
-    flat = [(d, i) for d, s in enumerate(seqs) for i in range(len(s))]
-    gone = [set() for _ in texts]
-    for n, (d, i) in enumerate(flat):
-        for e, j in flat[:n]:
-            size = 0
-            while i + size < len(seqs[d]) and j + size < len(seqs[e]) and seqs[d][i + size] == seqs[e][j + size]:
-                size += 1
-            if sum(len(WORDS.findall(x)) for x in seqs[d][i:i + size]) >= least_words:
-                gone[d].update(range(i, i + size))
-    return gone
-
-
 def line(name, words):
     return " ".join(f"{name}{i}" for i in range(words))
 
 
-def removed(spark, texts):
+def removed(spark, texts, least=line_dedup.MIN_WORDS):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    return {x.doc_id: (x.removed_lines, x.removed_runs) for x in line_dedup.deduplicated_lines(docs).collect()}
+    return {x.doc_id: (x.removed_lines, x.removed_runs) for x in line_dedup.deduplicated_lines(docs, least).collect()}
 
 
 def test_short_closing_lines_of_a_run_go_too(spark):
@@ -51,5 +35,6 @@ def test_runs_against_comparing_all_places(spark):
                 at = r.randrange(len(other))
                 lines += other[at:at + r.randrange(1, 8)]
         texts.append("\n".join(lines))
-    want = maximal_runs(texts, line_dedup.MIN_WORDS)
-    assert {d: n for d, (n, _) in removed(spark, texts).items()} == {d: len(g) for d, g in enumerate(want)}
+    for least in (line_dedup.MIN_WORDS, 9):
+        want = deleted_lines(texts, least)
+        assert {d: n for d, (n, _) in removed(spark, texts, least).items()} == {d: len(want[d]) for d in range(len(texts))}
