@@ -14,13 +14,13 @@ weights in turn and share ``share`` times all words; no target exceeds
 weight until no target is above its cap.
 
 Whole documents are taken. Every complete pass over a source takes each of its
-documents once. The rest of the target, ``R`` words, goes through the documents
-in the order of a hash and takes each that still fits; one that is too large is
-passed over. Then the one remaining document whose size is nearest to the words
-still wanted closes the pass, if it brings the source nearer to its target. This
-takes rounds of the prefix sum: each goes on behind the document that ended the
-one before, over the documents no larger than the words still wanted. A source
-stops after the round behind which the closing document brings it nearest.
+documents once. The rest of the target, ``R`` words, is filled in three steps,
+each a fixed number of jobs: a prefix sum over the documents in the order of a
+hash takes them up to the first that does not fit; a second one does the same
+with the remaining documents that are no larger than the words still wanted; and
+of the last documents taken and the documents nearest in size to what is still
+wanted, :data:`POOL` together, the subset stays that comes nearest to the target
+(all subsets are tried; in a source of no more documents it is the best there is).
 
 Defined results:
   null or empty text   size 0, taken 0, no copy and no position
@@ -36,7 +36,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glebe.operators.broadcast import bounded_broadcast
@@ -46,6 +46,8 @@ from glebe.llm.staging import HASH52_SPAN, hash52, packed, staged, unpacked, wor
 BASE_WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MAX_EPOCHS = 2
+# Documents among which the last pass chooses its end: 2 ** POOL subsets of a source.
+POOL = 12
 # Knots (time, weight) of the schedules, given to the sources in turn like the base weights: the
 # heavy sources fade out, the middle ones stay, the light ones come late.
 SCHEDULES: tuple[tuple[tuple[float, float], ...], ...] = (
@@ -77,6 +79,19 @@ def _invert(fraction: Column, knots: Sequence[tuple[float, float]]) -> Column:
     return out.otherwise(F.lit(1.0))
 
 
+def _numbered(rows: DataFrame, order: Column) -> DataFrame:
+    """``rows`` with ``_rank`` 0.. along ``order``: a range sort, then the rows of each sorted partition counted on from those before it."""
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.repartitionByRange(partitions, order).sortWithinPartitions(order).withColumn("_id", F.monotonically_increasing_id())
+    placed = staged(placed, "mix-order")  # an id is the partition's number times 2^33, and the row's place in it
+    part = F.shiftright("_id", 33)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.withColumn("_part", part).join(F.broadcast(starts), "_part").withColumn("_rank", F.col("_before") + inside).drop("_id", "_part", "_before")
+
+
 def source_targets(rows: DataFrame, weights: Sequence[float] = BASE_WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """One row per source: source, _docs, source_size, _turn (0..len(weights)-1), target.
 
@@ -84,12 +99,8 @@ def source_targets(rows: DataFrame, weights: Sequence[float] = BASE_WEIGHTS, sha
     few rounds of one aggregate over the source table: sources whose share reaches their cap stay at
     it, and the words left over go to the others by weight.
     """
-    spark = rows.sparkSession
     totals = staged(rows.groupBy("source").agg(F.count(F.lit(1)).alias("_docs"), F.sum("size").cast("long").alias("source_size")), "mix-sources")
-    ordered = totals.orderBy(F.col("source").asc_nulls_last())
-    numbered = spark.createDataFrame(
-        ordered.rdd.zipWithIndex().map(lambda x: (*x[0], x[1])), "source string, _docs long, source_size long, _rank long"
-    )
+    numbered = _numbered(totals, F.col("source").asc_nulls_last())
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("_turn") + 1).cast("int"))
     ranked = staged(numbered.withColumn("_turn", (F.col("_rank") % len(weights)).cast("int")).withColumn("_w", weight), "mix-ranked")
     cap = F.col("source_size") * F.lit(float(max_epochs))
@@ -114,7 +125,9 @@ def _placed(rows: DataFrame, targets: DataFrame, sums_of: DataFrame | None = Non
     """``rows`` with their source's target and the word ``_start`` at which they begin in its supply."""
 
     def bucketed(df: DataFrame) -> DataFrame:
-        df = df.join(targets, F.col("source").eqNullSafe(F.col("_s"))).drop("_s").withColumn("_h", hash52(F.col("doc_id"), F.col("size")))
+        # Rows without words move nothing and take no part, so any bucket is right for them: they are dealt out evenly.
+        place = F.when(F.col("size") > 0, hash52(F.col("doc_id"), F.col("size"))).otherwise(F.floor(F.rand() * F.lit(HASH52_SPAN)).cast("long"))
+        df = df.join(targets, F.col("source").eqNullSafe(F.col("_s"))).drop("_s").withColumn("_h", place)
         bucket = F.floor(F.col("_h") / F.lit(HASH52_SPAN) * bucket_count(F.col("_docs"))).cast("long")
         return df.withColumn("_g", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))).withColumn("_b", bucket)
 
@@ -122,49 +135,47 @@ def _placed(rows: DataFrame, targets: DataFrame, sums_of: DataFrame | None = Non
     return with_running_total(bucketed(rows), ["_g"], "_b", [F.col("_h"), F.col("doc_id")], "size", "_start", sums_of=sums)
 
 
-def _closing(placed: DataFrame) -> DataFrame:
-    """(_t, _at, _words, _begin): the documents that the last pass takes behind the first that does not fit (source, start and
-    size), and the word of the pass at which each begins."""
-    unfit = placed.where((F.col("size") > 0) & (F.col("_start") + F.col("size") > F.col("_rest")))
-    unfit = staged(unfit.select("source", "_start", "size", "_rest", "_h", "_docs", "source_size"), "mix-unfit")
-    ends = unfit.groupBy(F.col("source").alias("_s")).agg(F.max("_rest").alias("_all"), F.min("_start").alias("_cut"))
-    state = staged(ends.withColumn("_left", F.col("_all") - F.col("_cut")), "mix-left")
-    same = F.col("source").eqNullSafe(F.col("_s"))
-    bucket = F.floor(F.col("_start") / F.col("source_size") * bucket_count(F.col("_docs"))).cast("long")
-    taken, states = None, []
-    # Every round takes a document of each source that goes on, or ends it; _cut is null where a source has ended.
-    while True:
-        states.append(state.select("_s", "_all", "_left", F.lit(len(states)).alias("_k")))
-        if state.where("_cut is not null").isEmpty():
-            break
-        going = unfit.join(bounded_broadcast(state), same).where((F.col("_start") >= F.col("_cut")) & (F.col("size") <= F.col("_left")))
-        going = going.withColumn("_g", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))).withColumn("_b", bucket)
-        going = with_running_total(going, ["_g"], "_b", [F.col("_start")], "size", "_run")
-        going = staged(going.select("source", "_start", "size", "_run", "_all", "_left"), "mix-round")
-        fits = F.col("_run") + F.col("size") <= F.col("_left")
-        found = going.where(fits).select(F.col("source").alias("_t"), F.col("_start").alias("_at"), F.col("size").alias("_words"),
-                                         (F.col("_all") - F.col("_left") + F.col("_run")).alias("_begin"), F.lit(len(states)).alias("_round"))
-        taken = found if taken is None else taken.unionByName(found)
-        step = going.groupBy("source").agg(F.sum(F.when(fits, F.col("size"))).alias("_took"), F.min(F.when(~fits, F.col("_start"))).alias("_next"))
-        state = state.join(step, same, "left").select("_s", "_all", F.col("_next").alias("_cut"), (F.col("_left") - F.coalesce("_took", F.lit(0))).alias("_left"))
-        state = staged(state, "mix-left")
-    if taken is None:
-        taken = unfit.limit(0).select(F.col("source").alias("_t"), F.col("_start").alias("_at"), F.col("size").alias("_words"), F.col("_rest").alias("_begin"), F.lit(0).alias("_round"))
-    taken, after = staged(taken, "mix-taken"), states[0]
-    for more in states[1:]:
-        after = after.unionByName(more)
-    after = staged(after, "mix-after")
-    gap = F.abs(F.col("size") - F.col("_left"))
-    nearer = unfit.join(bounded_broadcast(after), same).where(gap < F.col("_left"))
-    gone = F.col("source").eqNullSafe(F.col("_t")) & (F.col("_start") == F.col("_at")) & (F.col("size") == F.col("_words")) & (F.col("_round") <= F.col("_k"))
-    nearer = nearer.join(bounded_broadcast(taken), gone, "left_anti")
-    best = nearer.groupBy(F.col("_s").alias("_n"), F.col("_k").alias("_j")).agg(F.min(F.struct(gap.alias("gap"), "_h", "_start", "size")).alias("_best"))
-    ways = after.join(best, F.col("_s").eqNullSafe(F.col("_n")) & (F.col("_k") == F.col("_j")), "left")
-    way = F.struct(F.coalesce("_best.gap", "_left").alias("off"), "_k", "_best", (F.col("_all") - F.col("_left")).alias("begin"))
-    chosen = staged(ways.groupBy("_s").agg(F.min(way).alias("_way")), "mix-chosen")
-    kept = taken.join(bounded_broadcast(chosen), F.col("_t").eqNullSafe(F.col("_s"))).where(F.col("_round") <= F.col("_way._k")).select("_t", "_at", "_words", "_begin")
-    last = chosen.where("_way._best is not null").select(F.col("_s").alias("_t"), F.col("_way._best._start").alias("_at"), F.col("_way._best.size").alias("_words"), F.col("_way.begin").alias("_begin"))
-    return staged(kept.unionByName(last), "mix-closed")
+def _last_pass(placed: DataFrame) -> DataFrame:
+    """(_t, _at, _words, _in, _begin): the documents (group, start and size) of which the last pass does not simply take the prefix,
+    whether it takes them, and the word of the pass at which they begin."""
+    places = staged(placed.where("size > 0").select("_g", "_b", "_start", "size", "_rest"), "mix-places")
+    prefix = F.col("_start") + F.col("size") <= F.col("_rest")
+    # The sources once more, with the words that the prefix takes.
+    firsts = places.groupBy("_g").agg(F.first("_rest").alias("_all"), F.coalesce(F.max(F.when(prefix, F.col("_start") + F.col("size"))), F.lit(0)).alias("_took1"))
+    firsts = staged(firsts, "mix-prefixes")
+    fitting = places.where(~prefix).join(bounded_broadcast(firsts), "_g").where(F.col("size") <= F.col("_all") - F.col("_took1"))
+    fitting = with_running_total(fitting, ["_g"], "_b", [F.col("_start")], "size", "_run")
+    seconds = fitting.where(F.col("_run") + F.col("size") <= F.col("_all") - F.col("_took1"))
+    seconds = staged(seconds.select(F.col("_g").alias("_g2"), F.col("_start").alias("_start2"), (F.col("_took1") + F.col("_run")).alias("_begin"), F.col("size").alias("_size2")), "mix-seconds")
+    took2 = seconds.groupBy(F.col("_g2").alias("_g")).agg(F.sum("_size2").alias("_took2"))
+    taken = F.col("_took1") + F.coalesce("_took2", F.lit(0))
+    ends = staged(firsts.join(took2, "_g", "left").select("_g", taken.alias("_took"), (F.col("_all") - taken).alias("_gap")), "mix-ends")
+    marked = places.join(bounded_broadcast(seconds), (F.col("_g") == F.col("_g2")) & (F.col("_start") == F.col("_start2")), "left")
+    marked = staged(marked.select("_g", "_start", "size", "_begin", (prefix | F.col("_begin").isNotNull()).alias("_taken")), "mix-marked")
+
+    def first_of(rows: DataFrame, *order: Column) -> DataFrame:
+        ranked = rows.withColumn("_n", F.row_number().over(Window.partitionBy("_g").orderBy(*order)))
+        return ranked.where(F.col("_n") <= POOL).select("_g", "_taken", "_n", "_start", "size", "_begin")
+
+    latest = first_of(marked.where("_taken"), F.col("_start").desc())
+    nearest = first_of(marked.where("not _taken").join(bounded_broadcast(ends), "_g"), F.abs(F.col("size") - F.col("_gap")), F.col("_start"))
+    ranked = latest.unionByName(nearest).withColumn("_turn", F.row_number().over(Window.partitionBy("_g").orderBy("_n", F.col("_taken").desc())))
+    pool = staged(ranked.where(F.col("_turn") <= POOL).drop("_turn"), "mix-pool")
+    # The documents taken come first; bit i of a subset's number stands for document i.
+    lists = pool.groupBy("_g").agg(F.sort_array(F.collect_list(F.struct((~F.col("_taken")).alias("out"), "_n", "_start", "size", "_begin"))).alias("_pool"))
+    lists = lists.join(ends, "_g")
+    sums = F.aggregate("_pool", F.array(F.lit(0).cast("long")), lambda done, d: F.concat(done, F.transform(done, lambda x: x + d["size"])))
+    held = F.aggregate("_pool", F.lit(0).cast("long"), lambda x, d: x + F.when(d["out"], F.lit(0)).otherwise(d["size"]))
+    lists = lists.withColumn("_sums", sums).withColumn("_held", held)
+    lists = lists.withColumn("_best", F.array_min(F.transform("_sums", lambda x, m: F.struct(F.abs(x - (F.col("_gap") + F.col("_held"))), m.alias("mask"))))["mask"])
+    chosen = lists.select("_g", "_took", "_held", "_best", F.posexplode("_pool").alias("_i", "_d"))
+    chosen = chosen.withColumn("_in", F.call_function("shiftright", F.col("_best"), F.col("_i")).bitwiseAND(F.lit(1)) == 1)
+    kept = F.sum(F.when(F.col("_in") & ~F.col("_d.out"), F.col("_d.size")).otherwise(0)).over(Window.partitionBy("_g"))  # POOL rows at most
+    begins = F.when(F.col("_d.out"), F.col("_took") - F.col("_held") + kept).otherwise(F.col("_d._begin"))
+    chosen = staged(chosen.select(F.col("_g").alias("_t"), F.col("_d._start").alias("_at"), F.col("_d.size").alias("_words"), "_in", begins.alias("_begin")), "mix-chosen")
+    others = seconds.select(F.col("_g2").alias("_t"), F.col("_start2").alias("_at"), F.col("_size2").alias("_words"), F.lit(True).alias("_in"), "_begin")
+    others = others.join(bounded_broadcast(chosen.select("_t", "_at")), ["_t", "_at"], "left_anti")
+    return staged(chosen.unionByName(others), "mix-last-pass")
 
 
 def mixed(rows: DataFrame, sizes: DataFrame, weights: Sequence[float] = BASE_WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS,
@@ -179,16 +190,15 @@ def mixed(rows: DataFrame, sizes: DataFrame, weights: Sequence[float] = BASE_WEI
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     targets = source_targets(sizes, weights, share, max_epochs).withColumnRenamed("source", "_s").withColumn("_passes", passes)
     targets = staged(targets.withColumn("_rest", F.col("target") - F.col("_passes") * F.col("source_size")), "mix-targets")
-    more = _closing(_placed(sizes, bounded_broadcast(targets)))
+    last = _last_pass(_placed(sizes, bounded_broadcast(targets)))
     out = _placed(rows, bounded_broadcast(targets), sums_of=sizes)
-    also = F.col("source").eqNullSafe(F.col("_t")) & (F.col("_start") == F.col("_at")) & (F.col("size") == F.col("_words"))
-    out = out.join(bounded_broadcast(more), also, "left")
-    fits = F.col("_start") + F.col("size") <= F.col("_rest")
-    closes = F.col("_begin").isNotNull()
-    out = out.withColumn("copies", F.when(F.col("size") > 0, F.col("_passes") + (fits | closes).cast("long")).otherwise(F.lit(0)).cast("int"))
+    decided = (F.col("_g") == F.col("_t")) & (F.col("_start") == F.col("_at")) & (F.col("size") == F.col("_words"))
+    out = out.join(bounded_broadcast(last), decided, "left")
+    once_more = F.coalesce(F.col("_in"), F.col("_start") + F.col("size") <= F.col("_rest"))
+    out = out.withColumn("copies", F.when(F.col("size") > 0, F.col("_passes") + once_more.cast("long")).otherwise(F.lit(0)).cast("int"))
 
     def position(copy: int) -> Column:
-        begins = F.when(closes & (F.col("_passes") == copy), F.col("_begin")).otherwise(F.col("_start"))
+        begins = F.when(F.col("_passes") == copy, F.coalesce("_begin", "_start")).otherwise(F.col("_start"))
         reached = F.least((copy * F.col("source_size") + begins) / F.col("target"), F.lit(1.0))
         return F.when(F.col("copies") > copy, _by_turn([_invert(reached, s) for s in schedules]))
 
@@ -196,7 +206,7 @@ def mixed(rows: DataFrame, sizes: DataFrame, weights: Sequence[float] = BASE_WEI
     return (
         out.withColumn("positions", positions)
         .withColumn("taken", (F.col("copies") * F.col("size")).cast("long"))
-        .drop("_g", "_b", "_h", "_start", "_passes", "_rest", "_docs", "_turn", "_t", "_at", "_words", "_begin")
+        .drop("_g", "_b", "_h", "_start", "_passes", "_rest", "_docs", "_turn", "_t", "_at", "_words", "_in", "_begin")
     )
 
 

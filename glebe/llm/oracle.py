@@ -56,16 +56,40 @@ with d as (
   select *, target - passes * source_size as rest, {_hash52("doc_id", "size")} as h from r
 ), c as (
   select *, coalesce(sum(size) over (partition by source order by h, doc_id rows between unbounded preceding and 1 preceding), 0) as start from q
+), a as (
+  select source, any_value(rest) as rest, coalesce(max(start + size) filter (where size > 0 and start + size <= rest), 0) as took1 from c group by source
 ), e as (
-  select *, start + size <= rest as fits, min(start) filter (where start + size > rest) over (partition by source) as ending from c
-), l as (
-  select source, arg_min(start, (abs(size - (rest - ending)), h, start)) as last
-  from e where not fits and abs(size - (rest - ending)) < rest - ending group by source
+  select c.*, a.took1, sum(size) over (partition by c.source order by h, doc_id rows between unbounded preceding and current row) as upto
+  from c join a on c.source is not distinct from a.source where size > 0 and start + size > c.rest and size <= c.rest - took1
+), f as (
+  select source, start, size, took1 + upto - size as begins from e where upto <= rest - took1
+), g as (
+  select a.source, took1 + coalesce(sum(size), 0) as took, any_value(rest) - (took1 + coalesce(sum(size), 0)) as gap
+  from a left join f on a.source is not distinct from f.source group by a.source, took1
+), m as (
+  select c.source, c.start, c.size, f.begins, c.start + c.size <= c.rest or f.start is not null as taken, g.took, g.gap
+  from c join g on c.source is not distinct from g.source left join f on c.source is not distinct from f.source and c.start = f.start where c.size > 0
+), k as (
+  select *, row_number() over (partition by source order by start desc) as nth from m where taken
+  union all select *, row_number() over (partition by source order by abs(size - gap), start) as nth from m where not taken
+), p as (
+  select *, row_number() over (partition by source order by not taken, nth) as i
+  from (select * from k qualify row_number() over (partition by source order by nth, not taken) <= {mixing.POOL})
+), o as (
+  select source, list(size order by i) as sizes, any_value(gap) + coalesce(sum(size) filter (where taken), 0) as want from p group by source
+), b as (
+  select source, list_sort(list_transform(range(1 << len(sizes)), lambda x:
+    {{'off': abs(list_sum(list_transform(sizes, lambda s, i: s * ((x >> (i - 1)) & 1))) - want), 'mask': x}}))[1].mask as mask from o
+), v as (
+  select p.*, (mask >> (i - 1)) & 1 = 1 as stays from p join b on p.source is not distinct from b.source
 ), x as (
-  select e.*, not fits and coalesce(start = last, false) as closes from e left join l on e.source is not distinct from l.source
+  select source, start, stays, case when taken then begins
+    else took - coalesce(sum(size) filter (where taken and not stays) over (partition by source), 0) end as begins from v
+  union all select source, start, true, begins from f where not exists (select 1 from v where v.source is not distinct from f.source and v.start = f.start)
 ), n as (
-  select *, case when size > 0 then passes + (fits or closes)::bigint else 0 end as n,
-    least(case when closes and passes = 0 then ending else start end / target, 1.0::double) as u from x
+  select c.*, case when size > 0 then passes + coalesce(x.stays, c.start + size <= rest)::bigint else 0 end as n,
+    least(case when passes = 0 then coalesce(x.begins, c.start) else c.start end / target, 1.0::double) as u
+  from c left join x on c.size > 0 and c.source is not distinct from x.source and c.start = x.start
 )
 select doc_id, size, source_size, round(target, 6) as target, (n * size)::bigint as taken, n::int as copies,
   case when n > 0 then round({position}, 6) end as position
