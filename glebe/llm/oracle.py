@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from glebe.llm import line_dedup, mixing
+from glebe.llm import chat_format, collocations, line_dedup, mixing, vector_codes
 from glebe.llm.staging import LOWER_ASCII, UPPER_ASCII
 
 
@@ -178,10 +178,99 @@ select doc_id, coalesce(total.n, 0)::int as lines, coalesce(runs.lines, 0)::int
 from d left join runs using (uid) left join numbers using (uid) left join total using (uid)"""
 
 
+_CHAT = f"""
+with c as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '{chat_format.CLOSE}{chat_format.OPEN}assistant ok'
+  union all select -1, 1, 'assistant', '{chat_format.CLOSE}{chat_format.OPEN}assistant ok'
+), p as (
+  select *, '{chat_format.OPEN}' || replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '<', '%3C') || chr(10)
+    || regexp_replace(text, '<(\\\\*)(\\||$)', '<\\1\\\\\\2', 'g') || '{chat_format.CLOSE}' || chr(10) as piece from c
+), g as (
+  select conv_id, count(*)::bigint as n_turns, string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, piece) as turns,
+    coalesce(string_agg(text, '' order by turn nulls first, piece) filter (where role = '{chat_format.TRAINED_ROLE}'), '') as loss,
+    sum(length(piece))::bigint as formatted_chars from p group by conv_id
+)
+select conv_id, n_turns, sha256(turns) as turns_sha256, length(loss)::bigint as loss_chars, sha256(loss) as loss_sha256, formatted_chars from g"""
+
+_COLLOCATIONS = f"""
+with p as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER_ASCII}', '{LOWER_ASCII}'), '[.,;:!?\x0A-\x0D]')) as piece from documents
+), w as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from p
+), g as (
+  select lang, unnest(flatten(list_transform(range(1, {collocations.LONGEST + 1}), lambda k:
+    list_transform(range(1, greatest(len(ws) - k + 2, 1)), lambda i: array_to_string(ws[i:i + k - 1], ' '))))) as phrase from w
+), f as (
+  select lang, phrase, count(*)::bigint as f from g group by lang, phrase having count(*) >= {collocations.LEAST}
+), t as (
+  select lang, sum(len(ws))::bigint as n from w group by lang
+), c as (
+  select lang, phrase, f as a, string_split(phrase, ' ') as ws from f where contains(phrase, ' ')
+), k as (
+  select *, unnest(range(1, len(ws))) as k from c
+), s as (
+  select k.lang, k.phrase, k.a, k.k, x.f as l, y.f as r,
+    ({collocations.SCORE_UNIT}::hugeint * k.a * k.a // (x.f::hugeint * y.f))::bigint as score
+  from k join f x on k.lang = x.lang and x.phrase = array_to_string(ws[1:k.k], ' ')
+    join f y on k.lang = y.lang and y.phrase = array_to_string(ws[k.k + 1:], ' ')
+), b as (
+  select * from s qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), i as (
+  select lang, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) as phrase, a from c where len(ws) = 3
+), m as (
+  select lang, phrase, max(a) as most from i group by lang, phrase
+), u as (
+  select b.* from b left join m using (lang, phrase) where m.most is null or 100 * m.most < {collocations.COVERED} * b.a
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank, phrase, a, l, r, n, score
+from u join t using (lang) qualify rank <= {collocations.TOP}"""
+
+
+def _codes() -> str:
+    """The rounds of training one after another, by comparing every part with every entry."""
+    v = vector_codes
+    part = f"""
+with x as materialized (
+  select row_number() over (order by vec_id nulls last, embedding) as id, vec_id, label, embedding from embeddings
+  where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda e: e is null or not isfinite(e))) = 0
+), parts as materialized (
+  select id, vec_id, label, unnest(range({v.PARTS})) as part,
+    list_transform(embedding, lambda e: floor(e::double * {v.SCALE})::hugeint) as whole, len(embedding) // {v.PARTS} as d from x
+), p as materialized (
+  select id, vec_id, label, part, whole[part * d + 1:(part + 1) * d] as v from parts
+), b0 as materialized (
+  select part, id - 1 as entry, v as c from p where id <= {v.ENTRIES}
+)"""
+    assign = """, a{n} as materialized (
+  select id, part, arg_min(entry, (off, entry)) as entry, min(off) as off from (
+    select p.id, p.part, b.entry, list_sum(list_transform(list_zip(p.v, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::hugeint as off
+    from p join b{n} b on p.part = b.part) group by id, part
+)"""
+    mean = """, m{n} as (
+  select part, entry, list((s - ((s % n) + n) % n) // n order by j) as c from (
+    select a.part, a.entry, j, sum(p.v[j])::hugeint as s, count(*)::hugeint as n
+    from a{n} a join p on a.id = p.id and a.part = p.part, unnest(range(1, len(p.v) + 1)) as q(j) group by a.part, a.entry, j) group by part, entry
+), b{next} as materialized (
+  select b.part, b.entry, coalesce(m.c, b.c) as c from b{n} b left join m{n} m on b.part = m.part and b.entry = m.entry
+)"""
+    rounds = "".join(assign.format(n=n) + mean.format(n=n, next=n + 1) for n in range(v.ROUNDS)) + assign.format(n=v.ROUNDS)
+    return f"""{part}{rounds}, h as (
+  select sha256(string_agg(array_to_string(list_transform(c, lambda e: e::varchar), ','), ',' order by part, entry)) as codebooks_sha256 from b{v.ROUNDS}
+), o as (
+  select x.vec_id, x.label, string_agg(printf('%02x', entry::int), '' order by part) as code, sum(off)::bigint as error
+  from a{v.ROUNDS} a join x on a.id = x.id group by x.id, x.vec_id, x.label
+)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256 from o, h"""
+
+
 SQL = {
     "op4_mix_curriculum": _mix(),
     "op5_rendezvous_shards": _shards(),
     "op6_bloom_exact_dedup": _EXACT,
     "op8_warc_roundtrip": _warc(),
     "op9_suffix_line_dedup": _LINES,
+    "op11_chat_format": _CHAT,
+    "op12_collocations": _COLLOCATIONS,
+    "op13_vector_codes": _codes(),
 }
