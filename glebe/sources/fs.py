@@ -7,6 +7,9 @@ Works on any Hadoop-compatible store the session is configured for.
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -51,6 +54,56 @@ def write_small_file(spark: SparkSession, path: str, content: bytes) -> None:
         out.close()
 
 
+def read_small_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file (a commit)."""
+    p, fs = _fs(spark, path)
+    source = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with its content at once, unless it is there: of several writers exactly one succeeds.
+
+    The content is written under another name first. A local file system (one machine, or a mounted share) links it,
+    any other renames it without overwriting; both fail where the name is taken. The store must rename atomically.
+    """
+    p, fs = _fs(spark, path)
+    fs.mkdirs(p.getParent())
+    if exists(spark, path):
+        return False
+    other = f"{p.getParent().toString()}/.{uuid.uuid4().hex}"
+    write_small_text(spark, other, text)
+    q, _ = _fs(spark, other)
+    try:
+        if fs.getUri().getScheme() == "file":
+            try:
+                os.link(q.toUri().getPath(), p.toUri().getPath())
+                return True
+            except FileExistsError:
+                return False
+        return _renamed(spark, q, p)
+    finally:
+        fs.delete(q, False)
+
+
+def _renamed(spark: SparkSession, source, target) -> bool:
+    """Rename without overwriting; false if the target is there."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    rename = getattr(hadoop, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.NONE
+    try:
+        hadoop.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(source, target, options)
+        return True
+    except Exception as e:  # noqa: BLE001 — py4j wraps the Java exception
+        if "AlreadyExists" in str(e):
+            return False
+        raise
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     p, fs = _fs(spark, path)
     return bool(fs.exists(p))
