@@ -28,3 +28,31 @@ def timed_report(df: DataFrame, sla_seconds: float = LOOKUP_SLA_SECONDS) -> dict
     rows = df.collect()
     elapsed = time.perf_counter() - t
     return {"rows": len(rows), "seconds": round(elapsed, 4), "within_sla": elapsed < sla_seconds, **plan_facts(df)}
+
+
+def _scans(node) -> list:
+    """The file scans of an executed plan."""
+    name = node.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return _scans(node.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return _scans(node.plan())
+    if name == "FileSourceScanExec":
+        return [node]
+    children = node.children()
+    return [s for i in range(children.size()) for s in _scans(children.apply(i))]
+
+
+def scan_facts(df: DataFrame, under: str) -> dict:
+    """Run the query; files that its scans under a folder opened, and rows that came out of them.
+
+    The reference reads rows and buffers from the database's own plan report; these are the scan's own counters."""
+    run = df._jdf.queryExecution()
+    rows = run.toRdd().count()
+    files = out = 0
+    for scan in _scans(run.executedPlan()):
+        roots = scan.relation().location().rootPaths()
+        if any(under in roots.apply(i).toString() for i in range(min(roots.size(), 1))):
+            files += scan.metrics().apply("numFiles").value()
+            out += scan.metrics().apply("numOutputRows").value()
+    return {"rows": rows, "files_opened": files, "rows_scanned": out}

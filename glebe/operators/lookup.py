@@ -10,17 +10,22 @@ on the bare key is pushed into the Parquet scan (P2).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glebe.functions import constants as C
 from glebe.functions.owners import OWNER_FIELDS, with_owners
 from glebe.functions.text import is_valid_lookup_key, status_default, to_float
+from glebe.operators import registry as R
 from glebe.operators.broadcast import MAX_BROADCAST_ROWS
 from glebe.session import staged
 
 # Key batches up to this size are pushed into the scan as an IN list.
 PUSHED_KEYS = 1_000
+# Runs of neighbouring probes that files are compared with, ranges pushed into a scan, and files named to it, at most.
+RANGE_BUCKETS = 256
+MAX_RANGES = 64
+MAX_FILES = 5_000
 LOOKUP_COLUMNS = [C.KEY, "pct_obtencao", "denominacao", "proprietario"]
 
 
@@ -60,17 +65,26 @@ def batch_lookup(registry: DataFrame, keys: DataFrame, key_col: str = "requested
     the planner (the matches carry free text, so they are not force-broadcast). Beyond
     the size bound both joins sort-merge, with AQE skew handling.
     """
-    k = validate_keys(keys, key_col).withColumn("__probe", F.when(F.col("valid"), F.col(key_col)))
-    probes = staged(k.select("__probe").where(F.col("__probe").isNotNull()).distinct(), "probes")
+    k, probes = _probes(keys, key_col)
     seen = probes.agg(F.count(F.lit(1)).alias("n"), F.min("__probe").alias("low"), F.max("__probe").alias("high")).first()
-    small = seen["n"] <= MAX_BROADCAST_ROWS
     table = registry.select(*LOOKUP_COLUMNS)
     if seen["n"] <= PUSHED_KEYS:  # reaches the scan: statistics and bloom filters skip row groups
         table = table.where(F.col(C.KEY).isin([r["__probe"] for r in probes.collect()]))
     else:
         table = table.where(F.col(C.KEY).between(seen["low"], seen["high"]))
+    return _records(k, table, probes, seen["n"], key_col)
+
+
+def _probes(keys: DataFrame, key_col: str) -> tuple[DataFrame, DataFrame]:
+    """The keys with ``valid`` and ``__probe``, and the different valid probes, staged."""
+    k = validate_keys(keys, key_col).withColumn("__probe", F.when(F.col("valid"), F.col(key_col)))
+    return k, staged(k.select("__probe").where(F.col("__probe").isNotNull()).distinct(), "probes")
+
+
+def _records(k: DataFrame, table: DataFrame, probes: DataFrame, n: int, key_col: str) -> DataFrame:
+    """The requested keys with their outcome and record, from the rows of the table that may match."""
     table = table.withColumnRenamed(C.KEY, "__code")
-    found = table.join(F.broadcast(probes) if small else probes, F.col("__code") == F.col("__probe")).drop("__probe")
+    found = table.join(F.broadcast(probes) if n <= MAX_BROADCAST_ROWS else probes, F.col("__code") == F.col("__probe")).drop("__probe")
     joined = k.join(found, F.col("__probe") == F.col("__code"), "left")
     outcome = (
         F.when(~F.col("valid"), F.lit("invalid"))
@@ -89,6 +103,60 @@ def batch_lookup(registry: DataFrame, keys: DataFrame, key_col: str = "requested
     )
 
 
+def files_with(files: DataFrame, probes: DataFrame) -> DataFrame:
+    """(file, low, high): the files whose range of codes holds a probe, with the least and greatest probe in it.
+
+    The probes are cut into :data:`RANGE_BUCKETS` runs of neighbours; a file meets the runs that its range touches
+    (from the runs' ends, so many literals), and there, by the run's number, the probes themselves."""
+    placed = probes.repartitionByRange(RANGE_BUCKETS, "__probe").withColumn("__bucket", F.spark_partition_id())
+    placed = staged(placed, "probe-ranges")
+    ends = placed.groupBy("__bucket").agg(F.min("__probe").alias("low"), F.max("__probe").alias("high")).collect()  # RANGE_BUCKETS rows
+    if not ends:
+        return files.select("file", "low", "high").limit(0)
+    runs = F.array(*[F.struct(F.lit(r["__bucket"]).alias("bucket"), F.lit(r["low"]).alias("low"), F.lit(r["high"]).alias("high")) for r in ends])
+    touched = F.filter(runs, lambda r: (r["low"] <= F.col("high")) & (r["high"] >= F.col("low")))
+    meets = files.select("file", F.col("low").alias("__low"), F.col("high").alias("__high"), F.explode_outer(F.transform(touched, lambda r: r["bucket"])).alias("__bucket"))
+    held = meets.join(placed, "__bucket").where(F.col("__probe").between(F.col("__low"), F.col("__high")))
+    return held.groupBy("file").agg(F.min("__probe").alias("low"), F.max("__probe").alias("high"))
+
+
+def merged_ranges(ranges: list[tuple[str, str]], most: int = MAX_RANGES) -> list[tuple[str, str]]:
+    """Disjoint ranges, ``most`` at most, that cover the given ones."""
+    out: list[tuple[str, str]] = []
+    for low, high in sorted(ranges):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], high))
+        else:
+            out.append((low, high))
+    step = -(-len(out) // most) or 1
+    return [(out[i][0], out[min(i + step, len(out)) - 1][1]) for i in range(0, len(out), step)]
+
+
+def pruned_lookup(spark: SparkSession, table: str, keys: DataFrame, key_col: str = "requested", pushed_keys: int = PUSHED_KEYS) -> DataFrame:
+    """:func:`batch_lookup` on a published table that opens only the files that can hold a requested code.
+
+    Above ``pushed_keys`` keys, the statistics that every run leaves of its files say which files hold a probe; these
+    are read by name, and their probes' ranges, merged into :data:`MAX_RANGES` disjoint ones, are pushed into the scan.
+    Where more than :data:`MAX_FILES` files hold a probe, the batch covers the table and all of it is streamed."""
+    registry = R.read_registry(spark, table)
+    stats = R.file_stats(spark, table)
+    k, probes = _probes(keys, key_col)
+    n = probes.count()
+    if registry is None:
+        registry = spark.createDataFrame([], R.REGISTRY_SCHEMA)
+    if n <= pushed_keys or stats is None:
+        return batch_lookup(registry, keys, key_col)
+    files = staged(files_with(stats.where(F.col("low").isNotNull()), probes), "files-with-probes")
+    if files.limit(MAX_FILES + 1).count() > MAX_FILES:
+        return batch_lookup(registry, keys, key_col)
+    named = files.collect()  # names of files, MAX_FILES at most
+    rows = R.read_files(spark, table, [r["file"] for r in named]).select(*LOOKUP_COLUMNS)
+    cover = F.lit(False)
+    for low, high in merged_ranges([(r["low"], r["high"]) for r in named]):
+        cover = cover | F.col(C.KEY).between(low, high)
+    return _records(k, rows.where(cover), probes, n, key_col)
+
+
 def flatten_record(records: DataFrame, key_col: str = "requested") -> DataFrame:
     """One flat row per requested key: record scalars plus owner count."""
     return records.select(
@@ -129,5 +197,5 @@ def contract_violations(records: DataFrame) -> DataFrame:
 
 __all__ = [
     "LOOKUP_COLUMNS", "OWNER_FIELDS", "batch_lookup", "contract_violations", "export_json", "flatten_record",
-    "lookup_by", "point_lookup", "record_json", "shape_record", "validate_keys",
+    "lookup_by", "point_lookup", "pruned_lookup", "record_json", "shape_record", "validate_keys",
 ]

@@ -18,6 +18,15 @@ def count_distinct_codes(rows: DataFrame, key: str = C.KEY) -> DataFrame:
     return rows.agg(F.count_distinct(F.col(key)).alias("codigos_unicos"))
 
 
+def totals_by_uf(files: DataFrame) -> DataFrame:
+    """A1/A2/Q7 from the statistics that every run leaves of its files (:func:`glebe.operators.registry.file_stats`): per state the rows,
+    which are as many codes (a code is in the table once), and the NULLs in critical columns. Counts of runs add up; no row is read."""
+    return files.groupBy("uf").agg(
+        F.sum("rows").cast("long").alias("total"), F.sum("null_codes").cast("long").alias("null_codes"), F.sum("null_pct").cast("long").alias("null_pct"),
+        F.sum("no_owner").cast("long").alias("no_owner"), F.sum("no_status").cast("long").alias("no_status"),
+    )
+
+
 def quality_report(registry: DataFrame, key: str = C.KEY) -> DataFrame:
     """Q7: per ``uf`` row count, NULLs in critical columns, and codes seen more than once in the whole table.
 

@@ -170,10 +170,10 @@ def count_existing(spark: SparkSession, table: str, staging: DataFrame) -> DataF
     return L.count_existing(keys, there)
 
 
-def _write_part(spark: SparkSession, table: str, run: str, rows: DataFrame, count: int) -> Part:
+def _write_part(spark: SparkSession, table: str, run: str, rows: DataFrame, count: int, rows_per_task: int | None = None) -> Part:
     """Write rows as a folder of the table, with its key filter and file statistics; no version lists it yet."""
     folder = commits.claim_folder(spark, table, run)
-    write_layout(rows, f"{table}/{folder}", count)
+    write_layout(rows, f"{table}/{folder}", count, rows_per_task=rows_per_task)
     stats = _write_file_stats(spark, table, folder).agg(F.sum("rows").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")).first()
     blocks = key_filter.blocks_for(count)
     written = _read_paths(spark, table, [f"{table}/{folder}"])
@@ -181,7 +181,7 @@ def _write_part(spark: SparkSession, table: str, run: str, rows: DataFrame, coun
     return Part(folder, run, stats["n"], stats["low"], stats["high"], blocks)
 
 
-def publish(spark: SparkSession, table: str, run: str, new: DataFrame, seen: Version) -> DataFrame:
+def publish(spark: SparkSession, table: str, run: str, new: DataFrame, seen: Version, rows_per_task: int | None = None) -> DataFrame:
     """Commit ``new`` (durable rows, one per code, none of them in version ``seen``) and return what was committed.
 
     Other loads may have committed since: codes that they brought are taken out first. If one commits between that
@@ -196,24 +196,26 @@ def publish(spark: SparkSession, table: str, run: str, new: DataFrame, seen: Ver
         if not count:
             return new
         out = new.select(*C.TABLE_COLUMNS).withColumn("loaded_at", F.localtimestamp())
-        part = _write_part(spark, table, run, out, count)
+        part = _write_part(spark, table, run, out, count, rows_per_task)
         if commits.commit(spark, table, now, (*now.parts, part)):
             return new
         fs.delete(spark, f"{table}/{part.folder}")  # our own; no version lists it
 
 
-def _partitions(rows: int) -> int:
-    return max(1, -(-rows // ROWS_PER_PARTITION))
+def _partitions(rows: int, rows_per_task: int) -> int:
+    return max(1, -(-rows // rows_per_task))
 
 
-def write_layout(rows: DataFrame, path: str, count: int, by: tuple[str, ...] = ("uf", C.KEY), partition_by: str | None = "uf") -> None:
+def write_layout(
+    rows: DataFrame, path: str, count: int, by: tuple[str, ...] = ("uf", C.KEY), partition_by: str | None = "uf", rows_per_task: int | None = None,
+) -> None:
     """L1: range-partition and sort on ``by``, ``partitionBy('uf')``, bloom filter on the last column of ``by``.
 
     Range partitioning (sampled) keeps every task's key range contiguous and
     splits a state holding a third of the rows over many tasks. ``count`` (the number of rows) sets the
     number of tasks and the size of the bloom filters.
     """
-    n = _partitions(count)
+    n = _partitions(count, rows_per_task or ROWS_PER_PARTITION)
     key = by[-1]
     writer = rows.repartitionByRange(n, *by).sortWithinPartitions(*by).write.options(**{
         f"parquet.bloom.filter.enabled#{key}": "true",
@@ -279,9 +281,9 @@ def prepare_load(
     return PreparedLoad(run_id, work, typed, good, rejected, spark.read.parquet(f"{work}/new"), seen, listed_files)
 
 
-def finish_load(spark: SparkSession, load: PreparedLoad, table: str) -> LoadResult:
+def finish_load(spark: SparkSession, load: PreparedLoad, table: str, rows_per_task: int | None = None) -> LoadResult:
     """Commit a prepared load and write its summary next to the table."""
-    committed = publish(spark, table, load.run_id, load.new, load.seen)
+    committed = publish(spark, table, load.run_id, load.new, load.seen, rows_per_task)
     summary = L.load_summary(load.staged, load.good, load.rejected, committed, load.listed_files).withColumn("run_id", F.lit(load.run_id))
     summary_path = f"{table}/{SUMMARY_DIR}/load_run={load.run_id}"
     summary.write.parquet(summary_path)
@@ -297,13 +299,22 @@ def run_load(
     run_id: str | None = None,
     listed_files: DataFrame | None = None,
     max_files: int | None = None,
+    rows_per_task: int | None = None,
 ) -> LoadResult:
     """K2/K3/A5: load staged rows into ``table`` insert-only and record the per-file summary.
 
     ``listed_files`` (a ``file`` column) adds files without data rows to the summary as ``empty``; ``max_files`` is a
-    known bound on the number of input files (from the listing). Loads may overlap: a code is committed once.
+    known bound on the number of input files (from the listing); ``rows_per_task`` sizes the files
+    (:data:`ROWS_PER_PARTITION` unless given). Loads may overlap: a code is committed once.
     """
-    return finish_load(spark, prepare_load(spark, staging, table, run_id, listed_files, max_files), table)
+    return finish_load(spark, prepare_load(spark, staging, table, run_id, listed_files, max_files), table, rows_per_task)
+
+
+def insert_only(spark: SparkSession, table: str, staging: DataFrame, max_files: int | None = None) -> DataFrame:
+    """K2: the rows that a load into ``table`` would append (nothing is committed)."""
+    good = L.accepted_rows(staged(L.typed(staging), "typed"), max_files).drop("reason")
+    firsts = staged(L.first_per_key(good), "firsts")
+    return rows_not_in(spark, table, commits.current(spark, table).parts, firsts)
 
 
 def load_directory(spark: SparkSession, directory: str, table: str, run_id: str | None = None) -> LoadResult:

@@ -7,6 +7,7 @@ the oracle statement of the same key in :mod:`glebe.plans.oracle`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from glebe.functions import constants as C
 from glebe.functions import text as T
 from glebe.functions.fold import with_safe_filename
 from glebe.functions.owners import explode_owners, owner_parts, with_owners
+from glebe.operators import inspect
 from glebe.operators import load as L
 from glebe.operators import lookup as LK
 from glebe.operators import progress as P
@@ -38,10 +40,6 @@ def _staging(spark, sf):
     return B.staging_from_base(B.base(spark, sf))
 
 
-def _prior_keys(spark, sf):
-    return B.prior_wave(B.base(spark, sf)).select(C.KEY)
-
-
 # --- sources ------------------------------------------------------------------------
 
 def csv_scan(spark, sf):
@@ -59,6 +57,14 @@ def csv_header_binding(spark, sf):
     return landing.read_landing(spark, d).select("file", *C.DATA_COLUMNS, "uf")
 
 
+def csv_quoted_splits(spark, sf):
+    """Files whose every row holds line breaks, read in splits of a few rows."""
+    d = I.land_broken_lines(spark, sf)
+    with landing.split_bytes(spark, I.SMALL_SPLIT):
+        rows = staged(landing.with_row_number(landing.read_landing(spark, d)), "broken-lines")
+    return rows.select("file", "row_no", *C.DATA_COLUMNS, "uf")
+
+
 def uf_from_filename(spark, sf):
     b = B.base(spark, sf)
     names = F.array(
@@ -93,11 +99,11 @@ def states_dim_q(spark, sf):
 # --- load -----------------------------------------------------------------------------
 
 def insert_only_load(spark, sf):
-    return L.insert_only(_staging(spark, sf), _prior_keys(spark, sf), B.MAX_FILES).select(*STAGING_COLUMNS)
+    return R.insert_only(spark, I.prior_table(spark, sf), _staging(spark, sf), B.MAX_FILES).select(*STAGING_COLUMNS)
 
 
 def count_existing(spark, sf):
-    return L.count_existing(_staging(spark, sf), _prior_keys(spark, sf))
+    return R.count_existing(spark, I.prior_table(spark, sf), _staging(spark, sf))
 
 
 def distinct_on_first(spark, sf):
@@ -120,6 +126,50 @@ def load_idempotent(spark, sf):
     )
 
 
+def load_overlapping(spark, sf):
+    """Two loads that both compared their codes with the empty table before either committed; the second brings all of the first's codes."""
+    table = scratch_path(spark, "registry")
+    first = R.prepare_load(spark, B.staging_from_base(B.prior_wave(B.base(spark, sf))), table, "first", max_files=B.MAX_FILES)
+    second = R.prepare_load(spark, _staging(spark, sf), table, "second", max_files=B.MAX_FILES)
+    for load in (first, second):
+        R.finish_load(spark, load, table)
+    rows = R.read_registry(spark, table)
+    return rows.agg(
+        F.count_if(F.col("load_run") == "first").alias("first_run"), F.count_if(F.col("load_run") == "second").alias("second_run"),
+        F.count(F.lit(1)).alias("total_rows"), F.count_distinct(C.KEY).alias("codes"),
+    )
+
+
+def registry_delete(spark, sf):
+    table = I.new_table(spark, *I.three_waves(spark, sf))
+    R.delete_from(spark, table, F.col("proprietario").like("Customer#00000_1%"))
+    return R.read_registry(spark, table).select(*C.TABLE_COLUMNS)
+
+
+def registry_totals(spark, sf):
+    table = I.new_table(spark, *I.three_waves(spark, sf))
+    return Q.totals_by_uf(R.file_stats(spark, table))
+
+
+def schema_tables(spark, sf):
+    """The catalog tables, created twice and refreshed after a load: their columns, types and rows."""
+    tag = uuid.uuid4().hex[:8]
+    names = {"registry": f"registry_{tag}", "states": f"states_{tag}"}
+    location = scratch_path(spark, "catalog")
+    states_location = scratch_path(spark, "catalog-states")
+    for _ in range(2):
+        R.create_schema(spark, names["registry"], location, names["states"], states_location)
+    R.run_load(spark, _staging(spark, sf), location, max_files=B.MAX_FILES)
+    R.refresh_schema(spark, names["registry"])
+    facts = []
+    for table, name in names.items():
+        rows = spark.table(name)
+        n = rows.count()
+        facts += [(table, i, column, kind, n) for i, (column, kind) in enumerate(rows.dtypes)]
+        spark.sql(f"DROP TABLE {name}")
+    return spark.createDataFrame(facts, "table_name string, position int, column_name string, data_type string, table_rows long")
+
+
 def load_timestamp(spark, sf):
     table = scratch_path(spark, "registry")
     R.run_load(spark, _staging(spark, sf), table, run_id="first", max_files=B.MAX_FILES)
@@ -303,10 +353,23 @@ def record_lookup_flat(spark, sf):
 
 
 def layout_pruned_lookup(spark, sf):
-    recs = LK.batch_lookup(I.registry(spark, sf), I.lookup_keys(spark, sf))
+    recs = LK.pruned_lookup(spark, I.small_file_table(spark, sf), I.lookup_keys(spark, sf), pushed_keys=0)
     return recs.select("requested", "outcome", C.KEY, "area_ha", "situacao")
 
 
+def lookup_scan_facts(spark, sf):
+    """What a lookup of codes that lie together touches: files opened and rows out of the scan, against the table's."""
+    table = I.small_file_table(spark, sf)
+    keys = I.clustered_keys(spark, sf)
+    recs = LK.pruned_lookup(spark, table, keys, pushed_keys=0).where(F.col("outcome") == "found").select("requested", "area_ha")
+    facts = inspect.scan_facts(recs, table)
+    return R.file_stats(spark, table).agg(
+        F.lit(keys.count()).cast("long").alias("keys"), F.lit(facts["rows"]).cast("long").alias("found"), F.sum("rows").cast("long").alias("table_rows"),
+        (F.lit(2 * facts["files_opened"]) < F.count(F.lit(1))).alias("opens_a_minority_of_files"),
+        (F.lit(2 * facts["rows_scanned"]) < F.sum("rows")).alias("scans_a_minority_of_rows"),
+    )
+
+
 def lookup_by_municipio(spark, sf):
     index = R.write_index(I.registry(spark, sf), scratch_path(spark, "by-municipio"), "municipio")
     return LK.lookup_by(index, "municipio", MUNICIPIO)
@@ -411,16 +474,17 @@ def stream_dedupe(spark, sf):
     d, w1, w2 = I.land_waves(spark, sf)
     sink, ck = scratch_path(spark, "dedupe-sink"), scratch_path(spark, "dedupe-ck")
     landing.land_csv(spark, w1, d)
-    ingest.stream_dedupe(spark, d, sink, ck).awaitTermination()
+    ingest.stream_first_seen(spark, d, sink, ck).awaitTermination()
     landing.land_csv(spark, w2, d, columns=list(reversed(C.DATA_COLUMNS)))  # another header, the same codes
-    ingest.stream_dedupe(spark, d, sink, ck).awaitTermination()
-    return spark.read.parquet(sink).where(F.col("refused_file").isNull()).select(C.KEY)
+    ingest.stream_first_seen(spark, d, sink, ck).awaitTermination()
+    return R.read_registry(spark, sink).select(C.KEY)
 
 
 QUERIES: dict[str, Query] = {
     "csv_scan": csv_scan,
     "file_refusals": file_refusals,
     "csv_header_binding": csv_header_binding,
+    "csv_quoted_splits": csv_quoted_splits,
     "uf_from_filename": uf_from_filename,
     "file_manifest": file_manifest,
     "file_line_counts": file_line_counts,
@@ -429,10 +493,14 @@ QUERIES: dict[str, Query] = {
     "count_existing": count_existing,
     "distinct_on_first": distinct_on_first,
     "load_idempotent": load_idempotent,
+    "load_overlapping": load_overlapping,
     "load_timestamp": load_timestamp,
     "insert_on_conflict_skip": insert_on_conflict_skip,
     "seed_if_empty": seed_if_empty,
     "delete_by_pattern": delete_by_pattern,
+    "registry_delete": registry_delete,
+    "registry_totals": registry_totals,
+    "schema_tables": schema_tables,
     "drop_column_if_exists": drop_column_if_exists,
     "load_summary": load_summary,
     "run_summary": run_summary,
@@ -461,6 +529,7 @@ QUERIES: dict[str, Query] = {
     "point_lookup": point_lookup,
     "record_lookup_flat": record_lookup_flat,
     "layout_pruned_lookup": layout_pruned_lookup,
+    "lookup_scan_facts": lookup_scan_facts,
     "lookup_by_municipio": lookup_by_municipio,
     "record_json": record_json,
     "contract_violations": contract_violations,

@@ -30,6 +30,11 @@ DUPLICATE_STATE = "SP"
 # Wanted options of the candidate match: the exact value of these segments, a value nobody has for the others.
 CANDIDATE_SEGMENT = "BUILDING"
 MAX_ROUNDS = 3
+SECOND_CUTOFF = "1998-01-01"
+# Tasks that write the table of small files.
+SMALL_TASKS = 100
+# Splits that files with line breaks in their cells are cut into, in bytes.
+SMALL_SPLIT = 8_192
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,9 +44,55 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _publish(spark: SparkSession, staging: DataFrame) -> DataFrame:
+    return R.read_registry(spark, new_table(spark, staging))
+
+
+def new_table(spark: SparkSession, *waves: DataFrame, rows_per_task: int | None = None) -> str:
+    """A fresh registry table with one run for each wave of staged rows; returns its folder."""
     table = scratch_path(spark, "registry")
-    R.run_load(spark, staging, table, max_files=B.MAX_FILES)
-    return R.read_registry(spark, table)
+    for i, staging in enumerate(waves):
+        R.run_load(spark, staging, table, run_id=f"wave{i}", max_files=B.MAX_FILES, rows_per_task=rows_per_task)
+    return table
+
+
+def prior_table(spark: SparkSession, sf_dir: str) -> str:
+    """The registry as it stood before the current load, published once per session and input folder."""
+    return B.memo(spark, ("prior", sf_dir), lambda: new_table(spark, B.staging_from_base(B.prior_wave(B.base(spark, sf_dir)))))
+
+
+def three_waves(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Staged rows of ``base`` landed before WAVE_CUTOFF, in the two years after it, and later."""
+    b = B.base(spark, sf_dir)
+    first, second = (F.lit(d).cast("date") for d in (B.WAVE_CUTOFF, SECOND_CUTOFF))
+    day = F.col("landed_on")
+    return [B.staging_from_base(w) for w in (b.where(day < first), b.where((day >= first) & (day < second)), b.where(day >= second))]
+
+
+def small_file_table(spark: SparkSession, sf_dir: str) -> str:
+    """The registry in many small files, so that what a lookup opens can be counted at any scale."""
+    def build():
+        staging = B.staging_from_base(B.base(spark, sf_dir))
+        codes = staging.select(C.KEY).distinct().count()
+        return new_table(spark, staging, rows_per_task=max(3, codes // SMALL_TASKS))
+
+    return B.memo(spark, ("small-files", sf_dir), build)
+
+
+def clustered_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requested codes that lie together: those of every customer up to an eighth of the largest number."""
+    c = B.read_table(spark, sf_dir, "customer")
+    upto = c.agg(F.floor(F.max("c_custkey") / 8).alias("upto"))
+    near = c.join(F.broadcast(upto), F.col("c_custkey") <= F.col("upto"))  # one row
+    return near.select(F.lpad(F.col("c_custkey").cast("string"), 11, "0").alias("requested"))
+
+
+def land_broken_lines(spark: SparkSession, sf_dir: str) -> str:
+    """``base`` landed with quotes, separators and line breaks inside the cells of two columns of every row."""
+    directory = scratch_path(spark, "landing")
+    rows = B.staging_from_base(B.base(spark, sf_dir))
+    rows = rows.withColumn("denominacao", F.concat(F.lit('said "'), "denominacao", F.lit('";\n\n'), F.col("pos")))
+    landing.land_csv(spark, rows.withColumn("municipio", F.concat(F.lit("in\n"), "municipio")), directory)
+    return directory
 
 
 def table_with_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -104,6 +104,12 @@ FIRSTS = f"""SELECT DISTINCT ON (codigo_incra) {STAGING}, {PCT_SQL} AS pct_obten
              FROM base ORDER BY codigo_incra, file, row_pos"""
 
 
+# The registry after three waves: a code's row comes from the first wave that has it.
+WAVES_SELECT = f"""SELECT codigo_incra, matricula, municipio, denominacao, proprietario, pct_obtencao, uf FROM (
+  SELECT DISTINCT ON (codigo_incra) codigo_incra, matricula, municipio, denominacao, proprietario, {PCT_SQL} AS pct_obtencao, uf
+  FROM base ORDER BY codigo_incra, landed_on >= DATE '{B.WAVE_CUTOFF}', landed_on >= DATE '{I.SECOND_CUTOFF}', file, row_pos) x"""
+
+
 def _w(ctes: str, select: str) -> str:
     """Base + registry CTEs, extra CTEs, final select."""
     return with_registry("")[:-1] + ctes + "\n" + select
@@ -125,6 +131,32 @@ SQL: dict[str, str] = {
         f"SELECT file, codigo_incra, CASE WHEN region = '{I.NO_MATRICULA_REGION}' THEN NULL ELSE matricula END AS matricula, "
         "municipio, denominacao, proprietario, pct_obtencao, uf FROM base"
     ),
+    "csv_quoted_splits": with_base(
+        """SELECT file, row_number() OVER (PARTITION BY file ORDER BY row_pos) AS row_no, codigo_incra, matricula, 'in' || chr(10) || municipio AS municipio,
+       'said "' || denominacao || '";' || chr(10) || chr(10) || row_pos AS denominacao, proprietario, pct_obtencao, uf FROM base"""
+    ),
+    "load_overlapping": with_base(
+        """SELECT (SELECT count(*) FROM prior_keys) AS first_run, count(DISTINCT codigo_incra) - (SELECT count(*) FROM prior_keys) AS second_run,
+       count(DISTINCT codigo_incra) AS total_rows, count(DISTINCT codigo_incra) AS codes FROM base"""
+    ),
+    "registry_delete": with_base(f"{WAVES_SELECT} WHERE NOT coalesce(proprietario LIKE 'Customer#00000_1%', false)"),
+    "registry_totals": with_base(
+        f"""SELECT uf, count(*) AS total, CAST(0 AS BIGINT) AS null_codes, count(*) FILTER (WHERE pct_obtencao IS NULL) AS null_pct,
+       count(*) FILTER (WHERE coalesce(proprietario, '') = '') AS no_owner, count(*) FILTER (WHERE coalesce(denominacao, '') = '') AS no_status
+FROM ({WAVES_SELECT}) y GROUP BY uf"""
+    ),
+    "schema_tables": with_base(
+        """SELECT v.table_name, CAST(v.position AS INTEGER) AS position, v.column_name, v.data_type,
+       CASE v.table_name WHEN 'states' THEN (SELECT count(*) FROM states) ELSE (SELECT count(DISTINCT codigo_incra) FROM base) END AS table_rows
+FROM (VALUES ('registry', 0, 'codigo_incra', 'string'), ('registry', 1, 'matricula', 'string'), ('registry', 2, 'municipio', 'string'),
+             ('registry', 3, 'denominacao', 'string'), ('registry', 4, 'proprietario', 'string'), ('registry', 5, 'pct_obtencao', 'decimal(12,4)'),
+             ('registry', 6, 'loaded_at', 'timestamp_ntz'), ('registry', 7, 'load_run', 'string'), ('registry', 8, 'uf', 'string'),
+             ('states', 0, 'pos', 'int'), ('states', 1, 'uf', 'string'), ('states', 2, 'name', 'string'), ('states', 3, 'label', 'string'))
+     v(table_name, position, column_name, data_type)"""
+    ),
+    "lookup_scan_facts": _w("", """SELECT (SELECT count(*) FROM customer WHERE c_custkey <= (SELECT max(c_custkey) // 8 FROM customer)) AS keys,
+       (SELECT count(*) FROM registry WHERE CAST(codigo_incra AS BIGINT) <= (SELECT max(c_custkey) // 8 FROM customer)) AS found,
+       (SELECT count(*) FROM registry) AS table_rows, true AS opens_a_minority_of_files, true AS scans_a_minority_of_rows"""),
     "uf_from_filename": with_base(
         r"""SELECT row_pos, CAST(variant AS INTEGER) AS variant, name, regexp_replace(name, '\.[^.]*$', '') AS stem,
        CASE WHEN strpos(regexp_replace(name, '\.[^.]*$', ''), '_') > 0

@@ -10,8 +10,9 @@ Every file is loaded right or refused with a reason:
   is a reason, not an error.
 * **Body check** (one JVM scan of the physical lines, map-side counts per file): bytes that are no UTF-8,
   lines that are no whole records, quotes that do not pair up.
-* **Body read**: files whose physical lines are all whole records are read in many splits; only files with
-  quoted line breaks are read one task each. Cells are bound to column names through each file's own header
+* **Body read**: all files are read in many splits. Where a quoted cell runs on over a line's end, the lines' quotes
+  say where records begin: counted per split, summed along the file, so every split knows whether it starts inside a
+  quote; only lines of broken records move. Cells are bound to column names through each file's own header
   (one row per file). Column order may differ per file; missing columns are NULL; a repeated header name takes
   its last cell (``dict`` semantics).
 * ``''`` vs NULL: an empty cell is ``''``; a cell missing at the end of a short row is NULL. Short rows are
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import csv
 import io
+from contextlib import contextmanager
 from urllib.parse import unquote
 
 import pandas as pd
@@ -176,6 +178,20 @@ def _bound_file(fkey: str, landed_at):
         yield refused("unreadable")
 
 
+@contextmanager
+def split_bytes(spark: SparkSession, size: int):
+    """Within, files are read in splits of about this size; the plans must run inside."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {n: spark.conf.get(n) for n in names}
+    for n in names:
+        spark.conf.set(n, str(size))
+    try:
+        yield
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+
+
 def list_csv(spark: SparkSession, directory: str) -> DataFrame:
     """``(fkey, file, part, length)`` of the non-empty ``*.csv`` files of a directory and of its ``file=`` folders.
 
@@ -293,11 +309,11 @@ def _read_listed(spark: SparkSession, listing: DataFrame, directory: str | None)
     width = int(stats["w"])
     broadcast = F.broadcast if stats["n"] <= MAX_BROADCAST_FILES else (lambda df: df)
     read = [(source, True, good.where("whole_lines"))] if stats["broken"] < stats["n"] else []
-    if stats["broken"]:  # quoted line breaks: these files by path, one task each
+    if stats["broken"]:  # quoted line breaks: these files by path
         broken = good.where(~F.col("whole_lines"))
         read.append((_paths(broken), False, broken))
     for paths, splittable, some in read:
-        body = _read_body(spark, paths, width, splittable)
+        body = _read_body(spark, paths, width) if splittable else _read_broken(spark, paths, width)
         rows = body.join(broadcast(header_table(some)), F.col("fkey") == F.col("__fkey"))
         out = out.unionByName(bind_by_header(rows, width))
     return out
@@ -311,26 +327,66 @@ def _row_position() -> F.Column:
     return (start * F.lit(1 << 33).cast("decimal(12,0)") + in_task).cast(wide)
 
 
-def _read_body(spark: SparkSession, source, width: int, splittable: bool) -> DataFrame:
-    """One positional scan of every ``*.csv`` of the directory (or of the given paths) at the widest header.
+def _positional_schema(width: int) -> StructType:
+    return StructType([StructField(f"c{i}", StringType()) for i in range(width)] + [StructField("_corrupt", StringType())])
 
-    Narrower files come back as short rows (flagged by the parser), whose true cell
-    count is recovered from the raw record; one scan, no per-file path lists (file
-    names are never interpreted as glob patterns)."""
+
+def _cells(rows: DataFrame, pos: F.Column, width: int) -> DataFrame:
     cols = [f"c{i}" for i in range(width)]
-    schema = StructType([StructField(c, StringType()) for c in cols] + [StructField("_corrupt", StringType())])
-    opts = {**CSV_OPTIONS, **LIST_OPTIONS, "multiLine": "false" if splittable else "true"}
-    df = spark.read.schema(schema).options(header="true", **opts).csv(source)
     too_long = F.lit(False)
     for c in cols:
         too_long = too_long | F.coalesce(F.length(c) > MAX_CELL, F.lit(False))
-    return df.select(
-        F.col("_metadata.file_path").alias("fkey"),
-        _row_position().alias("pos"),
-        *cols,
-        n_cells(width).alias("n_cells"),
-        too_long.alias("too_long"),
-    )
+    return rows.select("fkey", pos.alias("pos"), *cols, n_cells(width).alias("n_cells"), too_long.alias("too_long"))
+
+
+def _read_body(spark: SparkSession, source, width: int) -> DataFrame:
+    """One positional scan of every ``*.csv`` of the directory (or of the given paths) at the widest header, in splits.
+
+    Narrower files come back as short rows (flagged by the parser), whose true cell
+    count is recovered from the raw record; one scan, no per-file path lists (file
+    names are never interpreted as glob patterns)."""
+    opts = {**CSV_OPTIONS, **LIST_OPTIONS, "multiLine": "false"}
+    df = spark.read.schema(_positional_schema(width)).options(header="true", **opts).csv(source)
+    return _cells(df.withColumn("fkey", F.col("_metadata.file_path")).withColumn("_pos", _row_position()), F.col("_pos"), width)
+
+
+def _read_broken(spark: SparkSession, source, width: int) -> DataFrame:
+    """The same for files whose quoted cells hold line breaks.
+
+    A line that has an odd number of quotes opens or closes a quote. Their number is summed inside each split and, over
+    one row per split, along the file; a line begins a record when an even number stands before it. Lines of one record
+    are put together again (only these are grouped); all others are records as they are. A file's first record is its header.
+    """
+    line = F.col("value")
+    odd = ((F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2).cast("long")
+    lines = spark.read.options(**LIST_OPTIONS).text(source)
+    lines = lines.select(F.col("_metadata.file_path").alias("fkey"), F.col("_metadata.file_block_start").alias("block"),
+                         F.monotonically_increasing_id().alias("id"), "value", odd.alias("odd"))
+    split = Window.partitionBy("fkey", "block").orderBy("id")
+    before = split.rowsBetween(Window.unboundedPreceding, -1)
+    upto = split.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    along = Window.partitionBy("fkey").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # one row per split
+    splits = lines.groupBy("fkey", "block").agg(F.sum("odd").alias("odds"))
+    splits = splits.select("fkey", "block", (F.coalesce(F.sum("odds").over(along), F.lit(0)) % 2).alias("inside"))
+    lines = lines.withColumn("n", F.row_number().over(split)).withColumn("earlier", F.coalesce(F.sum("odd").over(before), F.lit(0)))
+    lines = lines.join(splits, ["fkey", "block"]).withColumn("begins", (F.col("inside") + F.col("earlier")) % 2 == 0)
+    whole = lines.where(F.col("begins") & (F.col("odd") == 0)).select("fkey", "block", "n", line.alias("record"))
+    # The line at which a line's record begins: in its split, or the last one that began in a split before.
+    part = lines.where(~F.col("begins") | (F.col("odd") == 1))
+    own = F.last(F.when(F.col("begins"), F.struct("block", "n")), ignorenulls=True).over(upto)
+    part = part.withColumn("own", own)
+    lasts = part.groupBy("fkey", "block").agg(F.max(F.when(F.col("begins"), F.struct("block", "n"))).alias("last"))
+    lasts = lasts.select("fkey", "block", F.last("last", ignorenulls=True).over(along).alias("carried"))
+    part = part.join(lasts, ["fkey", "block"]).withColumn("at", F.coalesce("own", "carried"))
+    grouped = part.groupBy("fkey", "at").agg(F.sort_array(F.collect_list(F.struct("block", "n", "value"))).alias("l"))
+    together = F.array_join(F.transform("l", lambda x: x["value"]), "\n")
+    records = whole.unionByName(grouped.select("fkey", "at.block", "at.n", together.alias("record"))).where(F.trim("record") != "")
+    headers = records.groupBy(F.col("fkey").alias("__f")).agg(F.min(F.struct("block", "n")).alias("__header"))  # one row per file
+    body = records.join(headers, F.col("fkey") == F.col("__f")).where(F.struct("block", "n") != F.col("__header"))
+    options = {k: v for k, v in CSV_OPTIONS.items() if k not in ("multiLine", "encoding")}
+    parsed = body.withColumn("c", F.from_csv("record", _positional_schema(width).simpleString()[len("struct<"):-1].replace(":", " "), options))
+    pos = (F.col("block").cast("decimal(38,0)") * F.lit(1 << 33).cast("decimal(12,0)") + F.col("n")).cast("decimal(38,0)")
+    return _cells(parsed.select("fkey", pos.alias("_pos"), "c.*"), F.col("_pos"), width)
 
 
 def n_cells(width: int) -> F.Column:

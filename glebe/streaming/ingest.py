@@ -7,7 +7,10 @@ the query's ``checkpointLocation`` — files are taken once; a replayed batch is
 harmless because the anti-join finds keys already published. Reset (T4) is a
 fresh checkpoint location: the table still refuses keys it has.
 
-``stream_dedupe``: first-seen keys with state only (``dropDuplicates``). The
+``stream_first_seen``: each code the first time the stream sees it. Files are bound in the JVM by the batch reader; codes
+seen before are found by the sink's key filters, so the query keeps no state of codes at all.
+
+``stream_dedupe``: the same with Spark's state only (``dropDuplicates``), for sinks that cannot be read. The
 state grows with the number of distinct keys; use it only for bounded key sets
 or with ``dropDuplicatesWithinWatermark`` on keyed events that carry a time.
 """
@@ -20,7 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glebe.functions import constants as C
+from glebe.operators import commits
+from glebe.operators import load as L
 from glebe.operators import registry as R
+from glebe.session import staged
 from glebe.sources import landing
 
 # Files of one micro-batch at most; the stream takes all files, oldest first. Bounds the path list of a batch.
@@ -60,6 +66,38 @@ def stream_insert_only(spark: SparkSession, directory: str, table: str, checkpoi
     )
 
 
+REFUSED_DIR = "_refused"
+
+
+def stream_first_seen(spark: SparkSession, directory: str, sink: str, checkpoint: str, max_files: int = MAX_FILES_PER_BATCH):
+    """Append each code's first row to the table ``sink``, whatever the table's other constraints say of the row.
+
+    A micro-batch keeps the first row of each of its codes (by file and place) and appends those that no earlier one
+    brought; rows without a code are left out. Files that cannot be read, or whose header the table would refuse, are
+    listed with the reason under ``<sink>/_refused``. A replayed batch appends nothing. Started, ``availableNow``."""
+
+    def take(files: DataFrame, epoch: int) -> None:
+        listing = landing.named(files.where(F.col("length") > 0)).checkpoint(eager=True)  # one row per new file
+        n_files = listing.count()
+        if not n_files:
+            return
+        rows = staged(landing.read_files(spark, listing), "stream-rows")
+        refused = rows.where(F.col("file_reason").isNotNull()).select("file", "file_reason").distinct()
+        refused.write.mode("append").parquet(f"{sink}/{REFUSED_DIR}")
+        good = L.drop_rejected(rows, refused, n_files).where(F.col(C.KEY).isNotNull())
+        firsts = staged(L.first_per_key(L.typed(good).drop("reason")), "stream-firsts")
+        seen = commits.current(spark, sink)
+        new = staged(R.rows_not_in(spark, sink, seen.parts, firsts), "stream-new")
+        R.publish(spark, sink, f"s{epoch:06d}-{uuid.uuid4().hex[:6]}", new, seen)
+
+    return (
+        _file_stream(spark, directory, max_files).writeStream.foreachBatch(take)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def stream_dedupe(
     spark: SparkSession, directory: str, sink: str, checkpoint: str, max_files: int = MAX_FILES_PER_BATCH, within: str | None = None,
 ):
