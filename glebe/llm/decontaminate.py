@@ -44,6 +44,8 @@ from glebe.operators.broadcast import bounded_broadcast
 WINDOW = 5
 COVERAGE = 0.8
 LITERALS = 2
+# Benchmark windows up to which their hashes are broadcast: rows of four numbers, 32 MB of them.
+BROADCAST_WINDOWS = 1_000_000
 # Fixed list of unit tokens that count behind a number.
 UNITS = (
     "%", "°", "€", "$", "£", "mm", "cm", "m", "km", "in", "ft", "mi", "miles", "mile", "mg", "g", "kg", "t", "lb", "lbs", "oz",
@@ -58,35 +60,52 @@ NUMBER, UNIT, NAME = "\ue001", "\ue002", "\ue003"
 MARK = "\ue004"
 # Stands for what joins the digits of one number.
 INNER = "\ue005"
-_INNER = r"[.,](?<=\p{N}.)(?=\p{N})|[ \u00a0\u2009\u202f](?<=(?<!\p{N})\p{N}{1,3}.)(?=\p{N}{3}(?!\p{N}))"
-_SEPARATORS = r"[^\p{L}\p{N}%°€$£\ue003-\ue005]+|(?<=\p{N})(?=[\p{L}%°€$£])|(?<=[%°€$£])(?=\p{N})"
-_NUMBER = r"(?<![^ ])\p{N}[\p{N}\ue005]*(?![^ ])"
-_UNIT = r"(?i)(?<=\ue001 )\ue004?(?:" + "|".join(u if u.isalpha() else "\\" + u for u in UNITS) + r")(?![^ ])|(?<![^ ])[€$£](?= \ue001)"
+# Every pattern begins with the character that it is about: what stands before it is looked at only where that one is found.
+_INNER = r"[.,](?=\p{N})(?<=\p{N}.)|[ \u00a0\u2009\u202f](?=\p{N}{3}(?!\p{N}))(?<=(?<!\p{N})\p{N}{1,3}.)"
+_SEPARATORS = r"[^\p{L}\p{N}%°€$£\ue003-\ue005]+"
+_JOINTS = r"(\p{N})(?=[\p{L}%°€$£])|([%°€$£])(?=\p{N})"
+_NUMBER = r"\p{N}(?<![^ ]\p{N})[\p{N}\ue005]*(?![^ ])"
+_UNIT = r"(?i)\ue001 \ue004?(?:" + "|".join(u if u.isalpha() else "\\" + u for u in UNITS) + r")(?![^ ])"
+_SIGN = r"[€$£](?<![^ ][€$£])(?= \ue001)"
 _NAME = r"\p{Lu}(?<=[\p{L}\p{N},;] \p{Lu})\p{Ll}+(?![\p{L}\p{N}%°€$£])"
 _OPENING = r"\p{Lu}(?<![\p{L}\p{N}%°€$£\ue003].)\p{Ll}+(?![\p{L}\p{N}%°€$£])"
 
 
-def spaced(text: Column) -> Column:
+def _has_digits(text: Column) -> Column:
+    """Most texts have none, and then only separators and names matter."""
+    return text.rlike(r"\p{N}")
+
+
+def spaced(text: Column, digits: bool) -> Column:
     """The tokens of a text, one space between them."""
-    return F.trim(F.regexp_replace(text, _SEPARATORS, " "))
+    tokens = F.regexp_replace(text, _SEPARATORS, " ")
+    return F.trim(F.regexp_replace(tokens, _JOINTS, "$1$2 ") if digits else tokens)
 
 
-def _clean(text: Column) -> Column:
+def _clean(text: Column, digits: bool) -> Column:
     """The text without our private characters, its numbers joined."""
-    return F.regexp_replace(F.regexp_replace(text, "[\ue001-\ue005]", " "), _INNER, INNER)
+    private = F.lit(False)
+    for c in (NUMBER, UNIT, NAME, MARK, INNER):
+        private = private | F.contains(text, F.lit(c))
+    own = F.when(private, F.regexp_replace(text, "[\ue001-\ue005]", " ")).otherwise(text)
+    return F.regexp_replace(own, _INNER, INNER) if digits else own
 
 
 def template(text: Column) -> Column:
     """The template of a text: as many tokens as :func:`spaced` gives, one space between them; those that may be names are marked."""
-    named = F.regexp_replace(_clean(text), _NAME, NAME)
-    tokens = spaced(F.regexp_replace(named, _OPENING, MARK + "$0"))
-    typed = F.regexp_replace(F.regexp_replace(tokens, _NUMBER, NUMBER), _UNIT, UNIT)
-    return F.lower(F.when(tokens.rlike(r"\p{N}"), typed).otherwise(tokens))
+
+    def tokens(digits: bool) -> Column:
+        named = F.regexp_replace(_clean(text, digits), _NAME, NAME)
+        return spaced(F.regexp_replace(named, _OPENING, MARK + "$0"), digits)
+
+    numbers = F.regexp_replace(tokens(True), _NUMBER, NUMBER)
+    units = F.regexp_replace(F.regexp_replace(numbers, _UNIT, f"{NUMBER} {UNIT}"), _SIGN, UNIT)
+    return F.lower(F.when(_has_digits(text), units).otherwise(tokens(False)))
 
 
 def _plain(text: Column) -> Column:
     """The raw tokens, in small letters: values of slots are compared without regard to case."""
-    return F.lower(spaced(_clean(text)))
+    return F.lower(F.when(_has_digits(text), spaced(_clean(text, True), True)).otherwise(spaced(_clean(text, False), False)))
 
 
 def _split(text: Column) -> Column:
@@ -94,16 +113,19 @@ def _split(text: Column) -> Column:
 
 
 def _windows(tokens: Column) -> Column:
-    """Array of the hashes of all windows, by position."""
+    """Array of the hashes of all windows, by position, from an array of the tokens' hashes."""
     size = F.size(tokens)
-    whole = F.array(F.xxhash64(F.concat_ws(" ", tokens), F.lit(WINDOW)))
-    rolling = F.transform(F.sequence(F.lit(0), size - WINDOW), lambda i: F.xxhash64(*[tokens[i + j] for j in range(WINDOW)]))
-    return F.when(size >= WINDOW, rolling).when(size > 0, whole).otherwise(F.array().cast("array<bigint>"))
+    rolling = F.transform(F.sequence(F.lit(0), size - WINDOW), lambda i: F.xxhash64(*[F.get(tokens, i + j) for j in range(WINDOW)]))
+    return F.when(size >= WINDOW, rolling).when(size > 0, F.array(F.xxhash64(tokens, F.lit(WINDOW)))).otherwise(F.array().cast("array<bigint>"))
+
+
+def _hashes(tokens: Column) -> Column:
+    return F.transform(tokens, lambda k: F.xxhash64(k))
 
 
 def _forms(marked: Column) -> tuple[Column, Column]:
-    """The template tokens with marked words as themselves, and as names."""
-    return F.transform(marked, lambda k: F.ltrim(k, F.lit(MARK))), F.transform(marked, lambda k: F.when(k.startswith(MARK), NAME).otherwise(k))
+    """The template tokens (one string) with marked words as themselves, and as names."""
+    return F.replace(marked, F.lit(MARK), F.lit("")), F.regexp_replace(marked, MARK + "[^ ]*", NAME)
 
 
 def _literals(kinds: Column) -> Column:
@@ -117,12 +139,12 @@ def _key(text: Column) -> Column:
 def item_windows(benchmark: DataFrame) -> DataFrame:
     """_item (a number of ours), item_id, _at, _hashes, _raw (the window's raw tokens), _kinds (its template tokens, marked words as names), _all (windows that count)."""
     items = staged(benchmark.select("item_id", "text").withColumn("_item", F.monotonically_increasing_id()), "decontaminate-items")
-    tokens = items.select("_item", "item_id", _split(_plain(F.col("text"))).alias("_raw"), _split(template(F.col("text"))).alias("_marked"))
+    tokens = items.select("_item", "item_id", _split(_plain(F.col("text"))).alias("_raw"), template(F.col("text")).alias("_marked"))
     plain, named = _forms(F.col("_marked"))
-    tokens = tokens.withColumn("_kinds", plain).withColumn("_named", named)
+    tokens = tokens.withColumn("_kinds", _split(plain)).withColumn("_named", _split(named))
     folded = F.zip_with("_kinds", "_raw", lambda k, r: F.when(k == NAME, F.lower(r)).otherwise(k))
-    tokens = tokens.withColumn("_folded", folded)
-    both = F.arrays_zip(_windows(F.col("_kinds")).alias("typed"), _windows(F.col("_folded")).alias("folded"), _windows(F.col("_named")).alias("named"))
+    tokens = tokens.withColumn("_h1", _hashes(F.col("_kinds"))).withColumn("_h2", _hashes(folded)).withColumn("_h3", _hashes(F.col("_named")))
+    both = F.arrays_zip(_windows(F.col("_h1")).alias("typed"), _windows(F.col("_h2")).alias("folded"), _windows(F.col("_h3")).alias("named"))
     placed = tokens.select("_item", "item_id", "_raw", "_kinds", "_named", F.posexplode(both).alias("_at", "_hash"))
     cut = lambda c: F.slice(c, F.col("_at") + 1, F.lit(WINDOW))
     placed = placed.select("_item", "item_id", "_at", "_hash", cut("_raw").alias("_raw"), cut("_kinds").alias("_kinds"), cut("_named").alias("_named"))
@@ -139,15 +161,18 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
 
 def matches(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """(_doc, _text, _item, _at, _pos) of the windows that candidates share with their items. ``docs``: _doc, text."""
-    tokens = docs.select("_doc", _key(F.col("text")).alias("_text"), template(F.col("text")).alias("_template"))
-    tokens = tokens.select("_doc", "_text", _split(F.col("_template")).alias("_marked"))
+    tokens = docs.select("_doc", _key(F.col("text")).alias("_text"), template(F.col("text")).alias("_marked"))
     plain, named = _forms(F.col("_marked"))
-    tokens = tokens.select("_doc", "_text", _windows(plain).alias("_plain"), _windows(named).alias("_named"))
-    # One row per window, and one more where its other form differs.
-    both = F.zip_with("_plain", "_named", lambda p, n: F.when(p == n, F.array(p)).otherwise(F.array(p, n)))
-    placed = tokens.select("_doc", "_text", F.posexplode(both).alias("_pos", "_both")).select("_doc", "_text", "_pos", F.explode("_both").alias("_hash"))
-    few = bounded_broadcast(windows.select(F.explode("_hashes").alias("_hash"), "_item", "_at", "_all"))
-    found = staged(placed.join(few, "_hash").drop("_hash").distinct(), "decontaminate-matches")
+    # The tokens' hashes are columns before windows are cut from them: inside a lambda an expression runs once for each position.
+    tokens = tokens.select("_doc", "_text", _hashes(_split(plain)).alias("_plain_tokens"), _hashes(_split(named)).alias("_named_tokens"))
+    tokens = tokens.select("_doc", "_text", _windows(F.col("_plain_tokens")).alias("_plain"), _windows(F.col("_named_tokens")).alias("_named"))
+    # Both forms one behind the other: a window that is the same in both is found twice, at one position.
+    both = tokens.select("_doc", "_text", F.greatest(F.size("_plain"), F.lit(1)).alias("_many"), F.concat("_plain", "_named").alias("_both"))
+    # Outer: a plain generator infers a filter on the array's size, which would be pushed down and cut all windows once more.
+    placed = both.select("_doc", "_text", "_many", F.posexplode_outer("_both").alias("_at2", "_hash"))
+    few = bounded_broadcast(windows.select(F.explode("_hashes").alias("_hash"), "_item", "_at", "_all"), BROADCAST_WINDOWS)
+    found = placed.join(few, "_hash").withColumn("_pos", F.col("_at2") % F.col("_many")).drop("_hash", "_at2", "_many")
+    found = staged(found.distinct(), "decontaminate-matches")
     covered = found.groupBy("_doc", "_text", "_item", "_all").agg(F.count_distinct("_at").alias("_n")).where(F.col("_n") >= F.col("_all") * F.lit(COVERAGE))
     pairs = covered.select(F.col("_doc").alias("_d"), F.col("_text").alias("_t"), F.col("_item").alias("_i"))
     same = F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_text") == F.col("_t")) & (F.col("_item") == F.col("_i"))

@@ -23,7 +23,7 @@ LARGER = "/root/testdata/sf0.01"
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return con
 
@@ -41,7 +41,7 @@ def test_query_equals_its_sql(spark, duck, key):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(k[2:].split("_")[0]) for k in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def near_copies(seed, n):
@@ -138,14 +138,18 @@ def asked(n, name, unit):
 
 def test_decontamination(spark):
     r = random.Random(13)
-    vocabulary = [f"term{i}" for i in range(300)] + ["Anna", "Bert", "Carl", "12", "7", "km", "3.5", "$4"]
+    vocabulary = [f"term{i}" for i in range(300)] + ["Anna", "Bert", "Carl", "12", "7", "km", "3.5", "$4", "1,250", "1 200", "end. Dora", "he said: Emil", "so, Frida", "5km", "x2", "9 Km"]
     items = [asked(5, "Anna", "km")] + [" ".join(r.choice(vocabulary) for _ in range(r.randrange(1, 40))) for _ in range(20)] + ["Count Anna 5 Bert 7 Carl 9 Dora 11", ""]
     noise = lambda k: " ".join(r.choice(vocabulary) for _ in range(k))
     docs = [noise(30) + " " + asked(5, "Anna", "km") + " " + noise(20), asked(18, "Bruno", "miles"), noise(9) + " " + asked(5, "Anna", "km").upper(),
             asked(5, "Anna", "km").replace("12 km", "19 km"), asked(5, "Anna", "km").replace("narrow", "wide"), asked(5, "Anna", "km").replace("river before", "bank after"),
             "Count Emil 1 Frida 2 Gert 3 Hans 4", "Count Emil 1 Emil 2 Gert 3 Hans 4", None, ""]
     docs += [noise(r.randrange(60)) + " " + r.choice(items) + " " + noise(r.randrange(60)) for _ in range(40)] + [noise(80) for _ in range(20)]
+    apples = "{0} has {3} apples. {1} buys {4} apples from {0}. {2} eats {5} apples. How many apples remain?".format
+    items.append(apples("Anna", "Bert", "Carl", "950", "3", "2"))
+    docs += [apples("Emil", "Frida", "Gert", "1,250", "4.5", "9"), apples("Emil", "Frida", "Gert", "1", "2", "3").replace("from Emil", "from Gert")]
     want = contaminated(docs, items, set(decontaminate.UNITS))
+    assert (len(docs) - 2, len(items) - 1) in want
     assert {(0, 0), (1, 0), (2, 0), (4, 0)} <= want and (5, 0) not in want and (6, 21) in want
     frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")

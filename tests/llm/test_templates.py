@@ -21,3 +21,20 @@ def test_names_that_begin_sentences_are_slots(spark):
     docs = [ask("Emil", "Frida", "Gert", 17, 9, 4), "so " + ask("Emil", "Frida", "Gert", 17, 9, 4) + " Well.", ask("Anna", "Bert", "Carl", 5, 3, 2).upper(),
             ask("Emil", "Frida", "Gert", 17, 9, 4).replace("apples", "pears")]
     assert found(spark, docs, items) == {(d, i) for d in range(3) for i in range(2)}
+
+
+def test_time_grows_with_the_length_of_a_text(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    windows = decontaminate.item_windows(spark.createDataFrame([(1, "one two three four five six seven")], "item_id long, text string"))
+
+    def seconds(words):
+        docs = spark.range(1).select(F.col("id").alias("_doc"), F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(words)), lambda i: F.concat(F.lit("word"), i))).alias("text"))
+        began = time.perf_counter()
+        assert decontaminate.matches(docs, windows).count() == 0
+        return time.perf_counter() - began
+
+    seconds(100)
+    assert seconds(40_000) < 4 * seconds(20_000) + 1
