@@ -11,8 +11,11 @@ below :data:`SHORT_BYTES` use a slower level that finds shorter matches.
 The result is rejected when the margin to the second best is narrow: less than
 :data:`MIN_MARGIN` of the best size, or no byte at all.
 
-The model is bounded: a dictionary has at most SAMPLE_DOCS * SLICE_CHARS
-characters, and labels beyond :data:`MAX_LANGUAGES` are refused.
+The model is bounded: all dictionaries together have at most
+:data:`FULL_LANGUAGES` * SAMPLE_DOCS * SLICE_CHARS characters. Up to
+FULL_LANGUAGES languages get SAMPLE_DOCS slices each; more share them evenly,
+a slice each at least, and of more than FULL_LANGUAGES * SAMPLE_DOCS labels the
+most frequent are learned.
 
 Defined results:
   null text, text without a letter   ``und``, score 0, rejected
@@ -39,7 +42,7 @@ from glebe.llm.staging import crc_bucket, hash52, packed, unpacked
 
 SAMPLE_DOCS = 320
 SLICE_CHARS = 400
-MAX_LANGUAGES = 200
+FULL_LANGUAGES = 200
 CHUNK_BYTES = 4096
 LEVEL = 5
 SHORT_BYTES = 1024
@@ -53,14 +56,15 @@ def fit(docs: DataFrame) -> list[tuple[str, bytes]]:
     """(language, dictionary) of the labelled texts outside the held-out part, the most frequent language first."""
     labelled = docs.where((crc_bucket(F.col("doc_id"), HELD_OUT[0]) != HELD_OUT[1]) & F.col("lang").isNotNull())
     labelled = labelled.where(F.col("text").rlike(r"\p{L}"))
-    frequent = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES + 1).collect()
-    if len(frequent) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    frequent = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(FULL_LANGUAGES * SAMPLE_DOCS).collect()
+    slices = max(1, min(SAMPLE_DOCS, FULL_LANGUAGES * SAMPLE_DOCS // max(1, len(frequent))))
+    if len(frequent) == FULL_LANGUAGES * SAMPLE_DOCS:
+        labelled = labelled.where(F.col("lang").isin([r["lang"] for r in frequent]))
     # A slice from anywhere in the text, the same on every run.
     room = F.greatest(F.char_length("text") - SLICE_CHARS, F.lit(0))
     start = F.pmod(hash52(F.col("doc_id"), F.lit("slice")), room + 1) + 1
     piece = F.lower(F.substring(F.col("text"), start.cast("int"), F.lit(SLICE_CHARS)))
-    sample = per_label(labelled.select("lang", "doc_id", piece.alias("piece")), "lang", "doc_id", SAMPLE_DOCS)
+    sample = per_label(labelled.select("lang", "doc_id", piece.alias("piece")), "lang", ["doc_id", "piece"], slices)
     pieces: dict[str, list[str]] = {}
     for row in sample.orderBy("lang", hash52(F.col("doc_id")), "piece").toLocalIterator():
         pieces.setdefault(row["lang"], []).append(row["piece"])

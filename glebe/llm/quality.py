@@ -7,7 +7,8 @@ Defined results:
   null text            scored as the empty text (one chunk of padding)
   very long text       scored in blocks of chunks, bounded memory
   no labels, or labels of one kind only   score 0.5 or that label
-  repeated labels      each (doc_id, quality) row counts; null labels and labels without a document do not
+  repeated labels      a (doc_id, quality) pair counts once, with the first of its texts where several documents share the id;
+                       null labels and labels without a document do not count
   null doc_id          hashed like the empty text, never joined to a label
   empty table          empty result
   extra columns        not read
@@ -49,11 +50,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> byte_cnn.ByteCnn | float:
     known = labels.where((crc_bucket(F.col("doc_id"), HELD_OUT[0]) != HELD_OUT[1]) & F.col("doc_id").isNotNull())
     known = known.select("doc_id", F.col("quality").cast("int").alias("quality")).where("quality in (0, 1)")
     known = known.join(docs.select("doc_id"), "doc_id", "left_semi")
-    picked = per_label(known, "quality", "doc_id", SAMPLE_DOCS)
+    picked = per_label(known, "quality", ["doc_id"], SAMPLE_DOCS)
     texts = docs.select("doc_id", _slices(F.coalesce(F.col("text"), F.lit(""))).alias("slices"))
-    sample = texts.join(F.broadcast(picked), "doc_id").orderBy(hash52(F.col("doc_id")), "doc_id", "quality", "slices")
+    # One row for each label of an id, whatever the number of its documents and labels: 2 * SAMPLE_DOCS rows at most.
+    sample = texts.join(F.broadcast(picked.distinct()), "doc_id").groupBy("doc_id", "quality").agg(F.min("slices").alias("slices"))
     rows, answers = [], []
-    for row in sample.limit(4 * SAMPLE_DOCS).toLocalIterator():
+    for row in sample.orderBy(hash52(F.col("doc_id")), "doc_id", "quality").toLocalIterator():
         chunk = np.zeros((SAMPLE_CHUNKS, byte_cnn.CHUNK), dtype=np.uint8)
         for i, piece in enumerate(row["slices"]):
             data = piece.encode("utf-8")[: byte_cnn.CHUNK]

@@ -19,11 +19,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glebe.llm.offsets import bucket_count, with_running_total
-from glebe.llm.staging import HASH52_SPAN, hash52, packed, staged
+from glebe.llm.staging import HASH52_SPAN, hash52, staged
 
 SHARDS = 8
 
@@ -90,8 +91,27 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     return with_slot(staged(rows, "shards"), _slot_key()).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def _place(docs: DataFrame) -> dict[str, Column]:
+    """File and row at which a table's rows stand, where the table is read from files; else nothing."""
+    try:
+        meta = docs.metadataColumn("_metadata")
+        place = {"_file": meta["file_name"], "_index": meta["row_index"]}
+        docs.select(*[c.alias(n) for n, c in place.items()]).schema  # not every table has them
+        return place
+    except AnalysisException:
+        return {}
+
+
 def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """All columns of ``docs``, then its shard and slot (columns of these names are replaced); the rows of a shard lie together."""
-    rows = docs.drop("shard", "slot")
-    rows = packed(rows, doc_id=F.col("doc_id"), shard=shard_of(F.col("doc_id"), (1.0,) * shards), **_measures(F.col("text")))
-    return with_slot(rows, _slot_key()).select("_row.*", "shard", "slot")
+    """All columns of ``docs``, then its shard and slot (columns of these names are replaced); the rows of a shard lie together.
+
+    Rows read from files keep their order inside a shard: slots follow the names of the files and the rows in them, as a
+    range sort before has written them. Rows of other tables are numbered in the order of a hash."""
+    place = _place(docs)
+    kept = [docs[f"`{c}`"] for c in docs.columns if c not in ("shard", "slot")]
+    rows = docs.select(F.struct(*kept).alias("_row"), F.col("doc_id").alias("doc_id"), shard_of(F.col("doc_id"), (1.0,) * shards).alias("shard"),
+                       *[c.alias(n) for n, c in {**_measures(F.col("text")), **place}.items()])
+    if not place:
+        return with_slot(rows, _slot_key()).select("_row.*", "shard", "slot")
+    rows = rows.withColumn("_one", F.lit(1).cast("long"))
+    return with_running_total(rows, ["shard"], "_file", [F.col("_index")], "_one", "slot", sums_of=rows.drop("_row")).select("_row.*", "shard", "slot")

@@ -127,7 +127,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> Da
         blocked = (F.sum("label") + F.lit(SHRINK * share)) / (F.count(F.lit(1)) + F.lit(SHRINK))
         suffixes = bounded_broadcast(staged(labelled.groupBy("suffix").agg(blocked.alias("suffix_share")), "url-suffixes"))
         # Equal URLs share a hash: a distinct sample keeps one hot URL from filling it.
-        sample = per_label(labelled.select("url", "host", "path", "suffix", "label").distinct(), "label", "url", TRAIN_ROWS)
+        sample = per_label(labelled.select("url", "host", "path", "suffix", "label").distinct(), "label", ["url"], TRAIN_ROWS)
         train = staged(_with_features(sample, suffixes, share).select("features", "label"), "url-train")
         model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, subsamplingRate=1.0).fit(train)
         scored = model.transform(_with_features(rows, suffixes, share)).withColumn("score", vector_to_array("probability")[1])

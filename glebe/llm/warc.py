@@ -46,6 +46,9 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CAPTURE_DATE = "2024-01-01T00:00:00Z"
 LEVEL = 6
 SPLIT_BYTES = 4 << 20
+# Ranges of a reading, while they need not be larger than LARGEST_SPLIT.
+RANGES = 10_000
+LARGEST_SPLIT = 256 << 20
 READ_BYTES = 1 << 20
 # So many inflated bytes are looked at before a whole member is inflated.
 HEADER_BYTES = 1 << 16
@@ -223,14 +226,21 @@ def _row(path: str, offset: int, fields: dict[str, str], block: bytes, keep_payl
             payload if keep_payload else None)
 
 
-def splits(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+def range_bytes(total: int) -> int:
+    """Bytes of a range: SPLIT_BYTES, more where that would be over RANGES ranges, and LARGEST_SPLIT at most."""
+    return min(LARGEST_SPLIT, max(SPLIT_BYTES, -(-total // RANGES)))
+
+
+def splits(manifest: DataFrame, split_bytes: int) -> DataFrame:
     """(path, start, end): the byte ranges of the archives in ``manifest`` (path, bytes)."""
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split_bytes).cast("long")))
     return manifest.where("bytes > 0").select("path", starts.alias("start"), "bytes").select("path", "start", F.least(F.col("start") + split_bytes, "bytes").alias("end"))
 
 
-def read_archives(manifest: DataFrame, split_bytes: int = SPLIT_BYTES, keep_payload: bool = True) -> DataFrame:
+def read_archives(manifest: DataFrame, split_bytes: int | None = None, keep_payload: bool = True) -> DataFrame:
     """All records of the archives in ``manifest`` (path, bytes), with the columns of :data:`RECORD`."""
+    if split_bytes is None:
+        split_bytes = range_bytes(manifest.agg(F.sum("bytes")).first()[0] or 0)
     ranges = splits(manifest, split_bytes)
     partitions = max(1, ranges.count())
 
