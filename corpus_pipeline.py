@@ -36,7 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of every row."""
+    """Shard and slot of every row; the slots of a shard follow the training order that the stage before wrote."""
     return sharding.sharded(docs)
 
 
