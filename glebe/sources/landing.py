@@ -380,7 +380,7 @@ def _read_broken(spark: SparkSession, source, width: int) -> DataFrame:
     part = part.join(lasts, ["fkey", "block"]).withColumn("at", F.coalesce("own", "carried"))
     grouped = part.groupBy("fkey", "at").agg(F.sort_array(F.collect_list(F.struct("block", "n", "value"))).alias("l"))
     together = F.array_join(F.transform("l", lambda x: x["value"]), "\n")
-    records = whole.unionByName(grouped.select("fkey", "at.block", "at.n", together.alias("record"))).where(F.trim("record") != "")
+    records = whole.unionByName(grouped.select("fkey", "at.block", "at.n", together.alias("record"))).where(F.col("record") != "")
     headers = records.groupBy(F.col("fkey").alias("__f")).agg(F.min(F.struct("block", "n")).alias("__header"))  # one row per file
     body = records.join(headers, F.col("fkey") == F.col("__f")).where(F.struct("block", "n") != F.col("__header"))
     options = {k: v for k, v in CSV_OPTIONS.items() if k not in ("multiLine", "encoding")}
