@@ -30,7 +30,7 @@ def test_groups_cut_into_many_buckets(spark, monkeypatch, key):
 @pytest.fixture()
 def no_broadcast(spark, monkeypatch):
     for module in (decontaminate, mixing):
-        monkeypatch.setattr(module, "bounded_broadcast", lambda df: df)
+        monkeypatch.setattr(module, "bounded_broadcast", lambda df, *_: df)
     monkeypatch.setattr(exact_dedup, "BROADCAST_BLOCKS", 0)
     names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     for name in names:
