@@ -17,7 +17,7 @@ from glebe.functions import constants as C
 from glebe.functions.owners import OWNER_FIELDS, with_owners
 from glebe.functions.text import is_valid_lookup_key, status_default, to_float
 from glebe.operators import registry as R
-from glebe.operators.broadcast import MAX_BROADCAST_ROWS
+from glebe.operators.broadcast import MAX_BROADCAST_ROWS, is_small
 from glebe.session import staged
 
 # Key batches up to this size are pushed into the scan as an IN list.
@@ -26,6 +26,8 @@ PUSHED_KEYS = 1_000
 RANGE_BUCKETS = 256
 MAX_RANGES = 64
 MAX_FILES = 5_000
+# A table of so few files is streamed: one or so for each state.
+FEW_FILES = 30
 LOOKUP_COLUMNS = [C.KEY, "pct_obtencao", "denominacao", "proprietario"]
 
 
@@ -144,7 +146,7 @@ def pruned_lookup(spark: SparkSession, table: str, keys: DataFrame, key_col: str
     n = probes.count()
     if registry is None:
         registry = spark.createDataFrame([], R.REGISTRY_SCHEMA)
-    if n <= pushed_keys or stats is None:
+    if n <= pushed_keys or stats is None or is_small(stats, FEW_FILES):
         return batch_lookup(registry, keys, key_col)
     files = staged(files_with(stats.where(F.col("low").isNotNull()), probes), "files-with-probes")
     if files.limit(MAX_FILES + 1).count() > MAX_FILES:

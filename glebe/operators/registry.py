@@ -21,6 +21,7 @@ never from a half-written table.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import unquote
 
@@ -174,10 +175,13 @@ def _write_part(spark: SparkSession, table: str, run: str, rows: DataFrame, coun
     """Write rows as a folder of the table, with its key filter and file statistics; no version lists it yet."""
     folder = commits.claim_folder(spark, table, run)
     write_layout(rows, f"{table}/{folder}", count, rows_per_task=rows_per_task)
-    stats = _write_file_stats(spark, table, folder).agg(F.sum("rows").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")).first()
     blocks = key_filter.blocks_for(count)
     written = _read_paths(spark, table, [f"{table}/{folder}"])
-    key_filter.write_filter(written.select(C.KEY), f"{table}/{key_filter.KEYS_DIR}/{folder}", folder, blocks)
+    with ThreadPoolExecutor(2) as both:  # two jobs over the written folder, side by side
+        stats = both.submit(_write_file_stats, spark, table, folder)
+        keys = both.submit(key_filter.write_filter, written.select(C.KEY), f"{table}/{key_filter.KEYS_DIR}/{folder}", folder, blocks)
+        keys.result()
+        stats = stats.result().agg(F.sum("rows").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")).first()
     return Part(folder, run, stats["n"], stats["low"], stats["high"], blocks)
 
 
