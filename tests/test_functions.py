@@ -211,7 +211,7 @@ def test_export_json_and_plan_report(spark):
     from glebe.operators import registry as R
 
     reg = spark.createDataFrame(
-        [(f"K{i:04d}", "M", "C", "Ativo" if i % 2 else "", f"Dono {i} 123.456.789-{i % 100:02d}", None, "SP") for i in range(200)],
+        [(f"K{i:04d}", "M", "C", "Ativo" if i % 2 else "", f"Dono {i} 314.159.265-{i % 100:02d}", None, "SP") for i in range(200)],
         "codigo_incra string, matricula string, municipio string, denominacao string, proprietario string, "
         "pct_obtencao decimal(12,4), uf string",
     )
