@@ -8,15 +8,16 @@ from one plan where ``(file, pos)`` is a *value* that decides which row wins.
 Plan shape (shuffles marked):
   staging ─► violation flags ─► groupBy(file) [tiny, map-side partial] ─► rejected files
   staging ⋉̸ rejected (one row per file, broadcast under a file-count bound) ─► good rows
-  good ─► groupBy(key).min(struct(file,pos,…)) [shuffle on key, map-side partial:
-          a hot key collapses to one row per task before the exchange] ─► first rows
+  good ─► groupBy(key).count() [narrow, partial] ─► hashes of the keys with several rows
+  good of these keys ─► groupBy(key).min(struct(file,pos,…)) [shuffle on key, map-side partial:
+          a hot key collapses to one row per task before the exchange], the others as they are ─► first rows
   first rows ⋉̸ target keys [shuffle on key; only the key column of the target is read]
   good ─► groupBy(file,key).count() [narrow, partial] ─► per-file stats
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from glebe.functions import constants as C
@@ -27,6 +28,8 @@ from glebe.sources.states import states_dim
 
 # FIXED VALUES — rejection reasons, in the order they are tested per row.
 REASONS = ["null_key", "matricula_too_long", "uf_too_long", "pct_not_storable", "unknown_uf"]
+# Hashes of repeated keys that go to every task at most: about 40 bytes each in a task's table, 80 MB.
+MOST_REPEATED = 2_000_000
 
 
 def typed(staging: DataFrame) -> DataFrame:
@@ -88,6 +91,27 @@ def first_per_key(rows: DataFrame, order: list[str] | None = None, key: str = C.
     return rows.groupBy(key).agg(F.min(packed).alias("__first")).select(key, *[F.col("__first")[c].alias(c) for c in order + rest])
 
 
+def first_rows(rows: DataFrame, order: list[str] | None = None, key: str = C.KEY, max_keys: int = MOST_REPEATED) -> DataFrame:
+    """D1 over durable ``rows``, for keys that mostly occur once: the same rows as :func:`first_per_key`.
+
+    One pass over the key column counts the rows of each key (a hash aggregate of narrow rows, cut per task). The
+    hashes of the keys with several rows go to the tasks; a row whose hash is not among them is alone with its key and
+    passes as it is, so only the rows of repeated keys are aggregated and shuffled whole. Where there are more
+    repeated keys than ``max_keys``, or their rows are the greater part anyway, all rows are aggregated.
+    """
+    seen = Observation()
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.observe(seen, F.sum("n").alias("rows"), F.count_if(F.col("n") > 1).alias("keys"), F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("again"))
+    repeated = staged(counts.where(F.col("n") > 1).select(F.xxhash64(key).alias("__hash")), "repeated-keys")
+    total, keys, again = (seen.get[c] or 0 for c in ("rows", "keys", "again"))
+    if not keys:
+        return rows
+    if keys > max_keys or 2 * again > total:
+        return first_per_key(rows, order, key).select(*rows.columns)
+    among = F.broadcast(repeated), F.xxhash64(rows[key]) == F.col("__hash")
+    return rows.join(*among, "left_anti").unionByName(first_per_key(rows.join(*among, "left_semi"), order, key))
+
+
 def new_rows(firsts: DataFrame, target_keys: DataFrame | None, key: str = C.KEY) -> DataFrame:
     """Rows whose key is not in the target yet (``LEFT JOIN … IS NULL`` = left anti)."""
     if target_keys is None:
@@ -100,7 +124,7 @@ def insert_only(staging: DataFrame, target_keys: DataFrame | None, max_files: in
 
     The typed rows are staged, so the source is read and parsed once for the refusals and the rows."""
     good = accepted_rows(staged(typed(staging), "typed"), max_files).drop("reason")
-    return new_rows(first_per_key(good), target_keys)
+    return new_rows(first_rows(good), target_keys)
 
 
 def count_existing(staging: DataFrame, target_keys: DataFrame, key: str = C.KEY) -> DataFrame:

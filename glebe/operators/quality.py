@@ -31,23 +31,20 @@ def quality_report(registry: DataFrame, key: str = C.KEY) -> DataFrame:
     """Q7: per ``uf`` row count, NULLs in critical columns, and codes seen more than once in the whole table.
 
     A code is duplicated when it occurs twice anywhere, also in two states; it then counts in each of its states.
-    Rows are cut to one per ``(code, uf)`` before the first exchange, and a code has at most one of these per
-    state, so hot states and codes never meet as rows. NULL codes are never duplicates of each other.
+    NULL codes are never duplicates of each other. The counts add up per task, so only a line per state is shuffled
+    for them; the one wide exchange is by code and carries a count and the code's states (28 at most), also reduced
+    per task first. The table is read twice, each time with its own columns.
     """
-    per_key = registry.groupBy(key, "uf").agg(
-        F.count(F.lit(1)).alias("n"),
+    empty = lambda c: F.col(c).isNull() | (F.col(c) == "")
+    counts = registry.groupBy("uf").agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col(key).isNull()).alias("null_codes"),
         F.count_if(F.col("pct_obtencao").isNull()).alias("null_pct"),
-        F.count_if(F.col("proprietario").isNull() | (F.col("proprietario") == "")).alias("no_owner"),
-        F.count_if(F.col("denominacao").isNull() | (F.col("denominacao") == "")).alias("no_status"),
-    )
-    measures = ["n", "null_pct", "no_owner", "no_status"]
-    per_code = per_key.groupBy(key).agg(F.sum("n").alias("seen"), F.collect_list(F.struct("uf", *measures)).alias("states"))
-    rows = per_code.select(key, "seen", F.inline("states"))
-    return rows.groupBy("uf").agg(
-        F.sum("n").cast("long").alias("total"),
-        F.sum(F.when(F.col(key).isNull(), F.col("n")).otherwise(0)).cast("long").alias("null_codes"),
-        F.sum("null_pct").cast("long").alias("null_pct"),
-        F.sum("no_owner").cast("long").alias("no_owner"),
-        F.sum("no_status").cast("long").alias("no_status"),
-        F.count_if((F.col("seen") > 1) & F.col(key).isNotNull()).cast("long").alias("duplicated_codes"),
+        F.count_if(empty("proprietario")).alias("no_owner"),
+        F.count_if(empty("denominacao")).alias("no_status"),
     )
+    measures = counts.columns[1:]
+    codes = registry.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.struct("uf")).alias("states"))
+    duplicated = codes.where("n > 1").select(F.inline("states")).groupBy("uf").agg(F.count(F.lit(1)).alias("duplicated_codes"))
+    both = counts.unionByName(duplicated, allowMissingColumns=True)
+    return both.groupBy("uf").agg(*[F.coalesce(F.sum(m), F.lit(0)).cast("long").alias(m) for m in [*measures, "duplicated_codes"]])

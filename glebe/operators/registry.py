@@ -275,7 +275,7 @@ def prepare_load(
     typed = spark.read.parquet(f"{work}/staged")
     rejected = L.rejected_files(typed)
     good = L.drop_rejected(typed, rejected, max_files).drop("reason")
-    firsts = L.first_per_key(good)
+    firsts = L.first_rows(good)
     seen = commits.current(spark, table)
     if seen.parts:  # the codes are compared with the parts and then joined: once computed, once written
         firsts.write.parquet(f"{work}/firsts")
@@ -317,7 +317,7 @@ def run_load(
 def insert_only(spark: SparkSession, table: str, staging: DataFrame, max_files: int | None = None) -> DataFrame:
     """K2: the rows that a load into ``table`` would append (nothing is committed)."""
     good = L.accepted_rows(staged(L.typed(staging), "typed"), max_files).drop("reason")
-    firsts = staged(L.first_per_key(good), "firsts")
+    firsts = staged(L.first_rows(good), "firsts")
     return rows_not_in(spark, table, commits.current(spark, table).parts, firsts)
 
 

@@ -111,6 +111,14 @@ def distinct_on_first(spark, sf):
     return L.first_per_key(t).select(*STAGING_COLUMNS)
 
 
+def first_rows_sparse(spark, sf):
+    """First line of every (part, supplier, ship date), which few lines share."""
+    lines = B.read_table(spark, sf, "lineitem")
+    code = F.concat_ws("-", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyy-MM-dd"))
+    keyed = lines.select(code.alias("code"), "l_orderkey", "l_linenumber", "l_returnflag")
+    return L.first_rows(keyed, order=["l_orderkey", "l_linenumber"], key="code")
+
+
 def load_idempotent(spark, sf):
     table = scratch_path(spark, "registry")
     stg = _staging(spark, sf)
@@ -254,7 +262,7 @@ def count_distinct_codes(spark, sf):
 
 
 def quality_report(spark, sf):
-    return Q.quality_report(I.table_with_duplicates(spark, sf))
+    return Q.quality_report(staged(I.table_with_duplicates(spark, sf), "with-duplicates"))
 
 
 # --- scalar functions -------------------------------------------------------------------------
@@ -492,6 +500,7 @@ QUERIES: dict[str, Query] = {
     "insert_only_load": insert_only_load,
     "count_existing": count_existing,
     "distinct_on_first": distinct_on_first,
+    "first_rows_sparse": first_rows_sparse,
     "load_idempotent": load_idempotent,
     "load_overlapping": load_overlapping,
     "load_timestamp": load_timestamp,

@@ -188,6 +188,9 @@ FROM states s LEFT JOIN (SELECT uf, count(*) AS records FROM registry GROUP BY u
 WHERE codigo_incra IN (SELECT codigo_incra FROM prior_keys) GROUP BY file"""
     ),
     "distinct_on_first": with_base(FIRSTS),
+    "first_rows_sparse": """SELECT DISTINCT ON (code) code, l_orderkey, l_linenumber, l_returnflag
+FROM (SELECT l_partkey || '-' || l_suppkey || '-' || strftime(l_shipdate, '%Y-%m-%d') AS code, * FROM lineitem)
+ORDER BY code, l_orderkey, l_linenumber""",
     "load_idempotent": with_base(
         "SELECT count(DISTINCT codigo_incra) AS first_run, CAST(0 AS BIGINT) AS second_run, "
         "count(DISTINCT codigo_incra) AS total_rows FROM base"

@@ -1,10 +1,11 @@
 """Landing files → staging → insert-only load."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from glebe.operators import load as L
 from glebe.operators import registry as R
-from glebe.session import scratch_path
+from glebe.session import scratch_path, staged
 from glebe.sources import landing
 
 HEADER = "codigo_incra;matricula;municipio;denominacao;proprietario;pct_obtencao\n"
@@ -123,6 +124,32 @@ def test_first_row_per_key_plan_is_partial_aggregate(spark):
     assert L.first_per_key(df).first().pos == 0
 
 
+def _keyed(spark, rows):
+    return staged(spark.createDataFrame(rows, "file string, pos long, codigo_incra string, v string"), "test-keyed")
+
+
+@pytest.mark.parametrize("max_keys", [L.MOST_REPEATED, 0])
+def test_first_rows_of_keys_that_mostly_occur_once(spark, max_keys):
+    lone = [("a", i, f"K{i}", f"a{i}") for i in range(3000)]
+    again = [("b", i, f"K{i}", "later") for i in range(0, 3000, 7)] + [("a", 9000 + i, "HOT", str(i)) for i in range(300)]
+    nulls = [("c", 1, None, "second"), ("b", 5000, None, "first")]
+    df = _keyed(spark, lone + again + nulls)
+    got = L.first_rows(df, max_keys=max_keys)
+    assert got.columns == df.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, L.first_per_key(df).select(*got.columns).collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert ("Union" in plan) == (max_keys > 0)  # the rows of lone keys go past the exchange
+
+
+def test_first_rows_where_keys_are_unique_or_all_repeat(spark):
+    unique = _keyed(spark, [("a", i, f"K{i}", "x") for i in range(50)])
+    assert "Exchange" not in L.first_rows(unique)._jdf.queryExecution().executedPlan().toString()
+    assert L.first_rows(unique).count() == 50
+    twice = _keyed(spark, [(f, i, f"K{i}", f) for i in range(50) for f in "ab"])
+    assert {r.v for r in L.first_rows(twice).collect()} == {"a"} and L.first_rows(twice).count() == 50
+    assert L.first_rows(twice.limit(0)).count() == 0
+
+
 def test_files_are_read_in_splits_and_keep_row_order(spark, landing_dir):
     d, put = landing_dir
     body = "".join(f"K{i % 50};M{i};;;;1\n" for i in range(4000))
