@@ -180,16 +180,25 @@ def _bound_file(fkey: str, landed_at):
 
 @contextmanager
 def split_bytes(spark: SparkSession, size: int):
-    """Within, files are read in splits of about this size; the plans must run inside."""
-    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
-    before = {n: spark.conf.get(n) for n in names}
-    for n in names:
-        spark.conf.set(n, str(size))
+    """Within, files are cut into splits of about this size; the plans must run inside.
+
+    A task reads many splits: there are about as many tasks as shuffle partitions, as each sends its status and metrics to
+    the driver, which a task per split would multiply by the input's size."""
+    tasks = spark.conf.get("spark.sql.shuffle.partitions")
+    within = {
+        "spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": str(size), "spark.sql.files.maxPartitionNum": tasks,
+    }
+    before = {n: spark.conf.get(n, None) for n in within}
+    for n, v in within.items():
+        spark.conf.set(n, v)
     try:
         yield
     finally:
         for n, v in before.items():
-            spark.conf.set(n, v)
+            if v is None:
+                spark.conf.unset(n)
+            else:
+                spark.conf.set(n, v)
 
 
 def list_csv(spark: SparkSession, directory: str) -> DataFrame:
