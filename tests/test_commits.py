@@ -194,6 +194,29 @@ def test_broken_lines_in_splits(spark, landing_dir, size):
         assert [x.row_no for x in mine] == list(range(1, 121))
 
 
+def test_splits_share_tasks(spark, landing_dir):
+    """Hundreds of splits are read by about as many tasks as shuffle partitions, whatever the input's size."""
+    d, put = landing_dir
+    put("AC_1.csv", HEADER + "".join(f'K{i};M;"two\n{i}";D;Ana;1\n' for i in range(3_000)))
+    sc, group = spark.sparkContext, "splits-share-tasks"
+    names = [f"spark.sql.files.{n}" for n in ("maxPartitionBytes", "openCostInBytes", "maxPartitionNum")]
+    before = [spark.conf.get(n, None) for n in names]
+    sc.setJobGroup(group, "")
+    try:
+        with landing.split_bytes(spark, 200):
+            splits = spark.read.text(d).select("_metadata.file_block_start").distinct().count()
+            got = landing.with_row_number(landing.read_landing(spark, d)).collect()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    tasks = [i.numTasks for i in map(tracker.getStageInfo, stages) if i]
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert splits >= 40 * partitions and tasks and max(tasks) <= 2 * partitions
+    assert sorted((x.row_no, x.codigo_incra, x.municipio) for x in got) == [(i + 1, f"K{i}", f"two\n{i}") for i in range(3_000)]
+    assert [spark.conf.get(n, None) for n in names] == before
+
+
 def test_stream_of_first_seen_codes(spark, landing_dir):
     d, put = landing_dir
     put("AC_1.csv", "pct_obtencao;codigo_incra\n1;K1\n1;K2\n2;K1\n")
